@@ -1,0 +1,38 @@
+"""Join helpers with a checked broadcast.
+
+A side is broadcast only when the optimizer's size estimate of its plan is
+under ``max_bytes``; otherwise the join is left to a shuffle join, where AQE's
+skew-join split handles a key that holds a large share of the rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from martlake.session import plan_size_bytes
+
+# Upper bound for broadcasting a side (bytes of the optimized plan estimate).
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def small_side(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Return ``df`` with a broadcast hint when its estimated size is bounded."""
+    if plan_size_bytes(df) <= max_bytes:
+        return F.broadcast(df)
+    return df
+
+
+def join_small(big: DataFrame, other: DataFrame, on, how: str = "inner",
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Join ``big`` to ``other``; ``other`` is broadcast only behind the size check."""
+    return big.join(small_side(other, max_bytes), on=on, how=how)
+
+
+def null_safe_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    """Join condition treating null as equal to null (``<=>``)."""
+    cond = None
+    for lk, rk in pairs:
+        c = left[lk].eqNullSafe(right[rk])
+        cond = c if cond is None else cond & c
+    return cond
