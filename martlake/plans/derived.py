@@ -58,12 +58,16 @@ def upsert_batch(orders: DataFrame) -> DataFrame:
     """Changed amounts: x 1.1 on exact decimals, back to double."""
     return (orders.filter(F.col("o_orderkey") % BATCH_EVERY == 0)
             .withColumn("o_totalprice",
-                        (F.col("o_totalprice").cast("decimal(12,2)") * F.lit("1.1").cast("decimal(2,1)"))
-                        .cast("double")))
+                        raised_amount(F.col("o_totalprice"))))
+
+
+def raised_amount(col):
+    """amount x 1.1 on exact decimals, rounded half-up to cents, as double."""
+    return F.round(col.cast("decimal(12,2)") * F.lit("1.1").cast("decimal(2,1)"), 2).cast("double")
 
 
 UPSERT_TARGET_SQL = f"(SELECT * FROM orders WHERE o_orderkey % {TARGET_EVERY} = 0)"
 UPSERT_BATCH_SQL = f"""(SELECT o_orderkey, o_custkey, o_orderstatus,
-   CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(1.1 AS DECIMAL(2,1)) AS DOUBLE) AS o_totalprice,
+   CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(1.1 AS DECIMAL(2,1)), 2) AS DOUBLE) AS o_totalprice,
    o_orderdate, o_orderpriority
  FROM orders WHERE o_orderkey % {BATCH_EVERY} = 0)"""

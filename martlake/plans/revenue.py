@@ -76,10 +76,15 @@ def mart_revenue(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
     )
 
 
+def _exact_sum(col: str):
+    """Sum of doubles that came from 4-place decimals, re-summed exactly."""
+    return F.sum(F.col(col).cast("decimal(38,4)")).cast("double")
+
+
 def revenue_kpis(mart: DataFrame) -> DataFrame:
     """Totals and unweighted means over the days; an empty mart sums to 0."""
     return mart.agg(
-        F.coalesce(F.sum("total_revenue"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(_exact_sum("total_revenue"), F.lit(0.0)).alias("total_revenue"),
         F.coalesce(F.sum("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
         F.round(F.avg("avg_order_value"), 6).alias("avg_order_value"),
         F.round(F.avg("avg_gross_margin_pct"), 6).alias("avg_gross_margin_pct"),
@@ -92,7 +97,7 @@ def revenue_by_category(mart: DataFrame, suffix: str = "_revenue") -> DataFrame:
     if not cols:
         return mart.sparkSession.createDataFrame([], "category string, revenue double")
     long = mart.unpivot(ids=[], values=cols, variableColumnName="name", valueColumnName="value")
-    return (long.groupBy("name").agg(F.sum("value").alias("revenue"))
+    return (long.groupBy("name").agg(_exact_sum("value").alias("revenue"))
             .select(F.regexp_replace("name", suffix + "$", "").alias("category"), "revenue"))
 
 

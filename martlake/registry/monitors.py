@@ -165,7 +165,7 @@ def q_dataset_fingerprint(spark, sf_dir):
 
 @register("dataset_diff", f"""
 WITH r AS (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0
-            THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(1.1 AS DECIMAL(2,1)) AS DOUBLE)
+            THEN CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(1.1 AS DECIMAL(2,1)), 2) AS DOUBLE)
             ELSE o_totalprice END AS o_totalprice) FROM orders)
 SELECT *, 'left_only' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM r)
 UNION ALL
@@ -174,6 +174,5 @@ def q_dataset_diff(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders")
     updated = orders.withColumn(
         "o_totalprice", F.when(F.col("o_orderkey") % D.BATCH_EVERY == 0,
-                               (F.col("o_totalprice").cast("decimal(12,2)") * F.lit("1.1").cast("decimal(2,1)"))
-                               .cast("double")).otherwise(F.col("o_totalprice")))
+                               D.raised_amount(F.col("o_totalprice"))).otherwise(F.col("o_totalprice")))
     return FP.diff(orders, updated)
