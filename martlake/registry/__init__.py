@@ -17,7 +17,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-_MODULES = ("marts", "quality", "monitors", "loads", "sources", "streams", "jobs")
+_MODULES = ("marts", "quality", "monitors", "functions", "loads", "sources", "streams", "jobs")
 
 
 def register(key: str, sql: str | None = None):
