@@ -67,7 +67,7 @@ def q_run_batch(spark, sf_dir):
                                 "stg_orders"))
     mart = L.stage(rev.mart_revenue(raw["lines"], raw["orders"], raw["products"], P), "mart_revenue")
     C.enforce_gate(C.run_checks(mart, [*C.unique("date_day"), *C.not_null("date_day", "total_revenue"),
-                                       C.in_range("avg_gross_margin_pct", -1000, 100)], "mart_revenue"))
+                                       C.in_range("avg_gross_margin_pct", None, 100)], "mart_revenue"))
     path = f"{root}/analytics/mart_revenue"
     L.full_refresh(mart, path, table="analytics_mart_revenue")
     return spark.read.parquet(path).orderBy("date_day")

@@ -101,6 +101,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def plan_size_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate of a plan (Parquet: file sizes after pruning)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # pragma: no cover - connect sessions have no JVM handle
         return 1 << 62
+    return int(size) if isinstance(size, int) else int(size.toString())
