@@ -90,12 +90,13 @@ def zscore_rows(df: DataFrame, column: str, keys: list[str],
                 limit: float = QP.zscore_limit, digits: int = 6) -> DataFrame:
     """Rows whose |z| exceeds ``limit`` against whole-column mean/stddev.
 
-    The two statistics are scalar subqueries: evaluated once, then constants
-    for every partition, so the scoring pass is a narrow filter.
+    The statistics are one scalar subquery (one extra aggregate pass),
+    evaluated once and then constants for every partition, so the scoring pass
+    is a narrow filter.
     """
     c = F.col(column)
-    mean = df.select(F.avg(c)).scalar()
-    std = df.select(F.stddev_samp(c)).scalar()
+    stats = df.select(F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s"))).scalar()
+    mean, std = stats.getField("m"), stats.getField("s")
     z = (c - mean) / F.when(std != 0, std)
     return (df.select(*keys, c.alias(column), z.alias("zscore"))
             .filter(F.abs("zscore") > F.lit(limit))

@@ -23,6 +23,17 @@ from martlake.session import scratch_path
 
 PARTS = ["year", "month", "day"]
 
+# Lake layers.
+LAYERS = ("raw", "staging", "curated")
+
+
+def lake_path(root: str, layer: str, entity: str, partition: str | None = None) -> str:
+    """``<root>/<layer>/<entity>[/<partition>]`` naming convention of the lake."""
+    if layer not in LAYERS:
+        raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
+    parts = [root.rstrip("/"), layer, entity] + ([partition] if partition else [])
+    return "/".join(parts)
+
 
 def with_date_partitions(df: DataFrame, date_col: str | None, default_date: str | None = None) -> DataFrame:
     src = F.col(date_col) if date_col else F.lit(default_date).cast("date")

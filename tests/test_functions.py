@@ -53,3 +53,13 @@ def test_date_parts_zero_padded(spark):
 def test_age_hours(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 30, 22, 30),)], "ts timestamp_ntz")
     assert df.select(S.age_hours("ts", "2024-01-31 00:00:00")).first()[0] == 1.5
+
+
+def test_sql_macros(spark):
+    from martlake.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    row = spark.sql("SELECT cents_to_dollars(12345.5) AS a, safe_divide(1, 0) AS b, "
+                    "safe_divide(1, 0, -1) AS c, safe_divide(6, 3) AS d").first()
+    assert (float(row["a"]), row["b"], row["c"], row["d"]) == (123.46, 0.0, -1.0, 2.0)
+    assert spark.sql("SELECT * FROM date_spine(DATE'2024-01-01', DATE'2024-01-03')").count() == 3
+    assert spark.sql("SELECT * FROM date_spine(DATE'2024-01-03', DATE'2024-01-01')").count() == 0

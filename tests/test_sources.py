@@ -103,3 +103,11 @@ def test_event_flatten_nested(spark):
     assert flat.orderBy("event_id").first()["payload_meta_region"] == "EU"
     v = EV.variant_fields(df, "payload", {"amt": "$.amount::double"}).orderBy("event_id").first()
     assert v["amt"] == 2.5
+
+
+def test_paged_offset_groups_pages_per_task(spark, tmp_dir):
+    _pages(spark, tmp_dir)
+    df = (spark.read.format("martlake_paged_offset").schema(CUST).option("path", tmp_dir)
+          .option("key", "id").option("page_size", 5).option("pages_per_partition", 2).load())
+    assert df.rdd.getNumPartitions() == 3
+    assert sorted(r["id"] for r in df.collect()) == list(range(23))
