@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 SQL_FUNCTIONS = (
-    """CREATE OR REPLACE TEMPORARY FUNCTION cents_to_dollars(cents DECIMAL(38,4), digits INT DEFAULT 2)
-       RETURNS DECIMAL(38,6) RETURN round(cents / 100.0, digits)""",
+    # round() needs a constant scale, so the precision is fixed at 2 here;
+    # functions.scalar.cents_to_dollars takes it as a parameter.
+    """CREATE OR REPLACE TEMPORARY FUNCTION cents_to_dollars(cents DECIMAL(38,4))
+       RETURNS DECIMAL(38,2) RETURN round(cents / 100.0, 2)""",
     """CREATE OR REPLACE TEMPORARY FUNCTION safe_divide(n DOUBLE, d DOUBLE, dflt DOUBLE DEFAULT 0)
        RETURNS DOUBLE RETURN CASE WHEN d IS NULL OR d = 0 THEN dflt ELSE n / d END""",
     """CREATE OR REPLACE TEMPORARY FUNCTION date_spine(start_date DATE, end_date DATE)
