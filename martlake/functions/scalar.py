@@ -31,6 +31,17 @@ def rate(col) -> Column:
     return _c(col).cast(RATE)
 
 
+def units(col, scale: int):
+    """Exact fixed-point value as a 64-bit integer of 10^-scale units."""
+    return (F.col(col).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("bigint")
+
+
+def units_to_double(col, scale: int):
+    """Integer units back to the nearest double, through an exact decimal."""
+    c = F.col(col) if isinstance(col, str) else col
+    return (c.cast("decimal(38,0)") / F.lit(10 ** scale).cast("decimal(19,0)")).cast("double")
+
+
 def cents_to_dollars(col, precision: int = 2) -> Column:
     """cents / 100.0 rounded half-up to ``precision`` digits (decimal stays decimal)."""
     return F.round(_c(col) / F.lit(100.0).cast("decimal(4,1)"), precision)

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.functions.scalar import money
 from martlake.params import MartParams
+from martlake.functions.scalar import units, units_to_double
 
 
 def order_history(orders: DataFrame) -> DataFrame:
     return orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.sum(money("o_totalprice")).alias("_revenue"),
+        F.sum(units("o_totalprice", 2)).alias("_revenue"),
         F.count(F.lit(1)).alias("total_orders"),
         F.min(F.to_date("o_orderdate")).alias("first_order"),
         F.max(F.to_date("o_orderdate")).alias("last_order"))
@@ -28,7 +28,7 @@ def mart_customer_analytics(customer: DataFrame, orders: DataFrame,
     c = customer.select("c_custkey", "c_name")
     j = c.join(hist, "c_custkey", "left")
     as_of = F.to_date(F.lit(params.as_of))
-    revenue = F.coalesce(F.col("_revenue").cast("double"), F.lit(0.0))
+    revenue = F.coalesce(units_to_double("_revenue", 2), F.lit(0.0))
     recency = F.datediff(as_of, F.col("last_order"))
     years = F.greatest(F.datediff("last_order", "first_order").cast("double") / F.lit(365.25), F.lit(1.0))
     engagement = (F.when(F.col("last_order").isNull(), "Never")

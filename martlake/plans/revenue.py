@@ -8,16 +8,19 @@ Plan shape (per day):
 
 Counting distinct orders per day would need an Expand and a second distinct
 shuffle; aggregating to one row per order first turns it into a plain count.
-Money stays decimal until the final cast so results do not depend on summation
-order.
+Money is exact 64-bit fixed point (cents, 10^-4 for revenue) until the final
+conversion of the few daily totals, so results do not depend on summation order
+and equal the decimal formulation bit for bit.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.functions.scalar import money, rate, safe_divide
+from martlake.functions.scalar import safe_divide, units, units_to_double
 from martlake.operators.joins import small_side
 from martlake.params import MartParams
 
@@ -26,24 +29,40 @@ def category_column(category: str) -> str:
     return f"{category.lower()}_revenue"
 
 
+def _ratio(text: str) -> tuple[int, int]:
+    d = Decimal(text)
+    scale = max(-d.as_tuple().exponent, 0)
+    return int(d.scaleb(scale)), scale
+
+
 def revenue_lines(lineitem: DataFrame, part: DataFrame, params: MartParams = MartParams()) -> DataFrame:
-    """One row per order line with exact revenue, cost and margin."""
+    """One row per order line with exact revenue and cost as integers.
+
+    ``revenue`` is in 10^-4 units (cents x percent), ``cost`` in
+    10^-(4+r) units where r is the decimal places of the cost ratio. 64-bit
+    integer arithmetic keeps every line exact and stays on Spark's fast path
+    (decimals wider than 18 digits fall back to arbitrary precision).
+    """
     li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
     p = part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_retailprice")
-    revenue = money("l_extendedprice") * (F.lit(1) - rate("l_discount"))
-    cost = (F.lit(params.cost_ratio).cast("decimal(2,1)") * money("p_retailprice")
-            * money("l_quantity"))
+    k, r = _ratio(params.cost_ratio)
+    revenue = units("l_extendedprice", 2) * (F.lit(100) - units("l_discount", 2))
+    cost = F.lit(k) * units("p_retailprice", 2) * units("l_quantity", 2)
+    rev_c = revenue * F.lit(10 ** r)
+    margin = F.lit(100.0) * safe_divide((rev_c - cost).cast("double") / F.lit(10.0 ** (4 + r)),
+                                        rev_c.cast("double") / F.lit(10.0 ** (4 + r)))
     return (li.join(small_side(p), "l_partkey")
-            .select("l_orderkey", "p_type", revenue.alias("revenue"), cost.alias("cost"))
-            .withColumn("margin_pct", F.lit(100.0) * safe_divide(
-                (F.col("revenue") - F.col("cost")).cast("double"),
-                F.col("revenue").cast("double"))))
+            .select("l_orderkey", "p_type", revenue.alias("revenue"), cost.alias("cost"),
+                    margin.alias("margin_pct")))
+
+
+REVENUE_SCALE = 4
 
 
 def order_revenue(lineitem: DataFrame, part: DataFrame, params: MartParams = MartParams()) -> DataFrame:
     """Per-order partial sums; the only lineitem-sized shuffle of the mart."""
     lines = revenue_lines(lineitem, part, params)
-    cats = [F.sum(F.when(F.col("p_type") == c, F.col("revenue")).otherwise(F.lit(0).cast("decimal(18,4)")))
+    cats = [F.sum(F.when(F.col("p_type") == c, F.col("revenue")).otherwise(F.lit(0).cast("bigint")))
             .alias(category_column(c)) for c in params.categories]
     return lines.groupBy("l_orderkey").agg(
         F.sum("revenue").alias("revenue"),
@@ -58,7 +77,7 @@ def mart_revenue(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"),
                       F.to_date("o_orderdate").alias("date_day"))
     joined = per_order.join(o, "l_orderkey")
-    cats = [F.sum(category_column(c)).cast("double").alias(category_column(c))
+    cats = [units_to_double(F.sum(category_column(c)), REVENUE_SCALE).alias(category_column(c))
             for c in params.categories]
     daily = joined.groupBy("date_day").agg(
         F.sum("revenue").alias("_rev"),
@@ -66,11 +85,12 @@ def mart_revenue(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
         F.sum("margin_sum").alias("_margin_sum"),
         F.sum("n_lines").alias("_lines"),
         *cats)
+    total = units_to_double("_rev", REVENUE_SCALE)
     return daily.select(
         "date_day",
-        F.col("_rev").cast("double").alias("total_revenue"),
+        total.alias("total_revenue"),
         "total_orders",
-        safe_divide(F.col("_rev").cast("double"), F.col("total_orders")).alias("avg_order_value"),
+        safe_divide(total, F.col("total_orders")).alias("avg_order_value"),
         F.round(safe_divide(F.col("_margin_sum"), F.col("_lines")), 6).alias("avg_gross_margin_pct"),
         *[category_column(c) for c in params.categories],
     )
