@@ -112,9 +112,17 @@ def read_target(spark: SparkSession, target_path: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether a table folder exists (Hadoop file system of the session)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # noqa: BLE001 - no JVM handle: ask Spark to list it instead
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:

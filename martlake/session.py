@@ -61,21 +61,27 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged files.
 
-    Read from the session (``spark.checkpoint.dir`` / the context's checkpoint
-    dir). Only when neither is set -- local runs and tests -- a fresh private
-    folder is created and registered, so the same code works on a cluster where
-    the folder is shared by all executors.
+    Read from the session (the context's checkpoint dir or
+    ``spark.checkpoint.dir``). Only when neither is set -- local runs and
+    tests -- a fresh private folder is created and registered, so the same code
+    works on a cluster where the folder is shared by all executors.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local context (Spark Connect)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
-        if current:
+        if current and sc is not None:
             sc.setCheckpointDir(current)
     if not current:
         current = tempfile.mkdtemp(prefix="martlake-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+        if sc is not None:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
+        else:
+            spark.conf.set("spark.checkpoint.dir", current)
     return current
 
 
