@@ -7,6 +7,8 @@ skew-join split handles a key that holds a large share of the rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,47 @@ def join_small(big: DataFrame, other: DataFrame, on, how: str = "inner",
     return big.join(small_side(other, max_bytes), on=on, how=how)
 
 
+def hot_keys(big: DataFrame, keys: list[str], fraction: float) -> DataFrame:
+    """Keys holding at least ``fraction`` of ``big``'s rows.
+
+    At most ``1 / fraction`` keys can qualify, so the result has a proven size
+    bound. Counting is a partial (map-side) aggregate over the key columns only.
+    """
+    total = big.select(F.count(F.lit(1))).scalar()
+    return (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") >= total * F.lit(fraction)).select(*keys))
+
+
+def join_dim(big: DataFrame, dim: DataFrame, keys: list[str] | str, how: str = "inner",
+             max_bytes: int = DEFAULT_BROADCAST_BYTES, hot_fraction: float = 0.01) -> DataFrame:
+    """Join a fact side to a dimension keyed by ``keys`` (unique in ``dim``).
+
+    * ``dim`` within ``max_bytes``: broadcast hash join, no shuffle of ``big``.
+    * otherwise: skew split. Keys holding >= ``hot_fraction`` of ``big`` (at
+      most 1/hot_fraction of them) join a broadcast slice of ``dim`` without
+      shuffling their rows; all other rows take a shuffle join. The union is
+      exactly the plain join.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if how not in ("inner", "left"):
+        raise ValueError("join_dim supports inner and left joins")
+    if plan_size_bytes(dim) <= max_bytes:
+        return big.join(F.broadcast(dim), keys, how)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    keyed = big.filter(~no_key)
+    hot = F.broadcast(hot_keys(keyed, keys, hot_fraction))
+    big_hot = keyed.join(hot, keys, "left_semi")
+    big_cold = keyed.join(hot, keys, "left_anti")
+    dim_hot = F.broadcast(dim.join(hot, keys, "left_semi"))
+    out = big_hot.join(dim_hot, keys, how).unionByName(big_cold.join(dim, keys, how))
+    if how == "left":
+        # rows without a key match nothing; they skip the shuffle (a null key
+        # would otherwise hash every such row into one task)
+        extra = [F.lit(None).cast(t).alias(c) for c, t in dim.dtypes if c not in keys]
+        out = out.unionByName(big.filter(no_key).select("*", *extra))
+    return out
+
+
 def null_safe_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     """Join condition treating null as equal to null (``<=>``)."""
     cond = None

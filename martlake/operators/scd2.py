@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.operators.joins import small_side
+from martlake.operators.joins import join_dim
 
 VALID_FROM, VALID_TO, IS_CURRENT, SURROGATE = "_scd_valid_from", "_scd_valid_to", "_scd_is_current", "_surrogate_key"
 SCD_COLUMNS = (VALID_FROM, VALID_TO, IS_CURRENT, SURROGATE)
@@ -52,8 +52,8 @@ def apply_scd2(history: DataFrame, batch: DataFrame, keys: list[str], as_of: str
         j = b.join(cur, keys, "left")
         same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_cur_{c}")) for c in detect_changes])
         b = j.filter(F.col("_has_cur").isNull() | ~same).select(*attrs)
-    hit = small_side(b.select(*keys).distinct().withColumn("_hit", F.lit(True)))
-    h = history.join(hit, keys, "left")
+    hit = b.select(*keys).distinct().withColumn("_hit", F.lit(True))
+    h = join_dim(history, hit, keys, "left")
     expire = F.coalesce(F.col("_hit"), F.lit(False)) & F.col(IS_CURRENT)
     old = h.select(
         *attrs,

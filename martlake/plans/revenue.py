@@ -1,7 +1,7 @@
 """Daily revenue mart and the dashboard queries that read it.
 
 Plan shape (per day):
-  lineitem (5 columns) --checked-broadcast join--> part
+  lineitem (5 columns) --join_dim (checked broadcast, else skew split)--> part
       -> partial + final aggregate per order key  (one shuffle, map-side combine)
       -> join orders on the same key              (re-uses that partitioning)
       -> aggregate per day                        (tiny: one row per day)
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.functions.scalar import safe_divide, units, units_to_double
-from martlake.operators.joins import small_side
+from martlake.operators.joins import join_dim
 from martlake.params import MartParams
 
 
@@ -51,7 +51,7 @@ def revenue_lines(lineitem: DataFrame, part: DataFrame, params: MartParams = Mar
     rev_c = revenue * F.lit(10 ** r)
     margin = F.lit(100.0) * safe_divide((rev_c - cost).cast("double") / F.lit(10.0 ** (4 + r)),
                                         rev_c.cast("double") / F.lit(10.0 ** (4 + r)))
-    return (li.join(small_side(p), "l_partkey")
+    return (join_dim(li, p, "l_partkey")
             .select("l_orderkey", "p_type", revenue.alias("revenue"), cost.alias("cost"),
                     margin.alias("margin_pct")))
 
