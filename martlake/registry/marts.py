@@ -169,7 +169,7 @@ def q_mart_customer_analytics(spark, sf_dir):
 
 
 @register("customer_kpis", f"""
-SELECT count(*) AS total_customers, count_if(engagement_status = 'Active') AS active_customers,
+SELECT count(*) AS total_customers, CAST(count_if(engagement_status = 'Active') AS BIGINT) AS active_customers,
        round(avg(lifetime_revenue), 6) AS avg_lifetime_revenue, round(avg(total_orders), 6) AS avg_orders
 FROM ({MART_CUSTOMER_SQL})""")
 def q_customer_kpis(spark, sf_dir):
@@ -222,8 +222,8 @@ def q_latest_runs(spark, sf_dir):
 
 
 @register("run_status_summary", f"""
-SELECT count(*) AS total_runs, count_if(status = 'success') AS successful_runs,
-       count_if(status = 'failed') AS failed_runs FROM ({LATEST_RUNS_SQL})""")
+SELECT count(*) AS total_runs, CAST(count_if(status = 'success') AS BIGINT) AS successful_runs,
+       CAST(count_if(status = 'failed') AS BIGINT) AS failed_runs FROM ({LATEST_RUNS_SQL})""")
 def q_run_status_summary(spark, sf_dir):
     return dash.run_status_summary(build_latest_runs(spark, sf_dir))
 

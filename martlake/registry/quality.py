@@ -123,7 +123,8 @@ SUITE_SQL = f"WITH d AS {ORDERS_D}, r AS (\n" + "\nUNION ALL\n".join(ALL_PARTS)
 
 
 @register("dq_summary", SUITE_SQL + """
-SELECT count(*) AS total_checks, count_if(passed) AS passed, count_if(NOT passed) AS failed,
+SELECT count(*) AS total_checks, CAST(count_if(passed) AS BIGINT) AS passed,
+       CAST(count_if(NOT passed) AS BIGINT) AS failed,
        CASE WHEN count(*) > 0 THEN count_if(passed) / count(*) ELSE 1.0 END AS pass_rate
 FROM r""")
 def q_dq_summary(spark, sf_dir):

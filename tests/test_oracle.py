@@ -43,8 +43,9 @@ def test_query_matches_oracle(spark, duck, key):
         assert len(rows) >= 0
         return
     rel = duck.sql(sql)
-    ocols, orows = rel.columns, rel.fetchall()
+    ocols, otypes, orows = rel.columns, rel.types, rel.fetchall()
     assert sorted(cols) == sorted(ocols)
+    assert OC.type_mismatches(df.dtypes, ocols, otypes) == []
     assert len(rows) == len(orows)
     assert OC.digest(rows, cols, False)[0] == OC.digest(orows, ocols, False)[0]
 
