@@ -33,8 +33,7 @@ def paged_customers(spark, sf_dir):
     PG.register_sources(spark)
     path = scratch_path(spark, "api_customers")
     PG.export_pages(_t(spark, sf_dir, "customer"), "c_custkey", 500, path)
-    return (spark.read.format("martlake_paged_offset").schema(CUSTOMER_DDL)
-            .option("path", path).option("key", "c_custkey").option("page_size", 500).load())
+    return PG.paged_scan(spark, path, CUSTOMER_DDL, "c_custkey", 500)
 
 
 @register("run_full_ingestion", """
@@ -47,7 +46,9 @@ def q_run_full_ingestion(spark, sf_dir):
         J.EntitySpec("customers", lambda: paged_customers(spark, sf_dir), "c_custkey"),
         J.EntitySpec("products", lambda: _t(spark, sf_dir, "part"), "p_partkey"),
         J.EntitySpec("orders", lambda: _t(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate",
-                     [C.accepted_values("o_orderstatus", ["F", "O", "P"])]),
+                     [C.accepted_values("o_orderstatus", ["F", "O", "P"]),
+                      # conditional: only when the extract carries the column
+                      *C.not_null("o_comment", if_present=True)]),
     ]
     return J.run_full_ingestion(spark, entities, root, DEFAULT_DATE)
 

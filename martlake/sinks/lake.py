@@ -68,7 +68,12 @@ def batch_bounds(df: DataFrame, mark_col: str, pipeline: str) -> DataFrame:
 
 def write_incremental(df: DataFrame, base: str, mark_col: str, pipeline: str) -> str:
     """Write a batch to its own ``batch_id=`` folder; a replay overwrites itself."""
-    bid = batch_bounds(df, mark_col, pipeline).first()["batch_id"]
+    row = batch_bounds(df, mark_col, pipeline).first()
+    if row["row_count"] == 0:
+        raise ValueError("empty batch: nothing to write")
+    if row["batch_id"] == pipeline:   # no non-null mark values to name the batch by
+        raise ValueError(f"batch has no {mark_col} values; refusing a non-idempotent batch id")
+    bid = row["batch_id"]
     (df.withColumn("batch_id", F.lit(bid)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(base))
     return bid

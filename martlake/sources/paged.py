@@ -271,6 +271,19 @@ class PagedCursorSource(DataSource):
         return PagedCursorReader(schema, dict(self.options))
 
 
+def paged_scan(spark: SparkSession, path: str, schema: str, key: str, page_size: int = 500,
+               transport: str = "pages", **options) -> DataFrame:
+    """Offset-paged read, de-duplicated by key: a source that changes while it
+    is paged can shift a row across a page boundary and return it twice."""
+    from martlake.operators.dedup import latest_by_key
+    register_sources(spark)
+    reader = (spark.read.format("martlake_paged_offset").schema(schema).option("path", path)
+              .option("key", key).option("page_size", page_size).option("transport", transport))
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return latest_by_key(reader.load(), [key], [key])
+
+
 def register_sources(spark: SparkSession) -> None:
     spark.dataSource.register(PagedOffsetSource)
     spark.dataSource.register(PagedCursorSource)

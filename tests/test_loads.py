@@ -108,3 +108,10 @@ def test_incremental_batch_replay_overwrites_itself(spark, tmp_dir):
     b2 = L.write_incremental(df, tmp_dir, "ts", "orders")
     assert b1 == b2 == "orders_20240101_000000_20240101_000005"
     assert spark.read.parquet(tmp_dir).count() == 2
+
+
+def test_incremental_batch_needs_mark_values(spark, tmp_dir):
+    import pytest
+    df = spark.createDataFrame([(1, 1.0, None)], SCHEMA)
+    with pytest.raises(ValueError, match="non-idempotent"):
+        L.write_incremental(df, tmp_dir, "ts", "orders")
