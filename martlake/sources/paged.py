@@ -161,14 +161,6 @@ class PagedOffsetReader(DataSourceReader):
     def _store(self):
         return TRANSPORTS[self.transport](self.path, self.key)
 
-    def pushFilters(self, filters):
-        for f in filters:
-            if self.date_column and f.attribute == (self.date_column,) and isinstance(
-                    f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)):
-                self.bounds[type(f).__name__] = _parse_filter_value(f.value)
-            else:
-                yield f
-
     def partitions(self):
         recs, total, raw = self._store().fetch_offset(0, self.page_size)
         step = raw or self.page_size
@@ -211,6 +203,18 @@ class PagedOffsetReader(DataSourceReader):
                 yield row(r, extra)
 
 
+class PagedOffsetPushdownReader(PagedOffsetReader):
+    """Offset reader that hands date bounds to the server."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            if self.date_column and f.attribute == (self.date_column,) and isinstance(
+                    f, (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)):
+                self.bounds[type(f).__name__] = _parse_filter_value(f.value)
+            else:
+                yield f
+
+
 class PagedOffsetSource(DataSource):
     @classmethod
     def name(cls):
@@ -220,7 +224,10 @@ class PagedOffsetSource(DataSource):
         raise ValueError("martlake_paged_offset needs an explicit schema")
 
     def reader(self, schema: StructType):
-        return PagedOffsetReader(schema, dict(self.options))
+        opts = dict(self.options)
+        # only a reader with a date column takes filters; Spark refuses a
+        # pushFilters reader when Python filter pushdown is switched off
+        return (PagedOffsetPushdownReader if opts.get("date_column") else PagedOffsetReader)(schema, opts)
 
 
 # ------------------------------------------------------------------ cursor source
@@ -285,5 +292,8 @@ def paged_scan(spark: SparkSession, path: str, schema: str, key: str, page_size:
 
 
 def register_sources(spark: SparkSession) -> None:
+    """Register both sources and enable Python filter pushdown (date bounds)."""
+    if spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") != "true":
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedOffsetSource)
     spark.dataSource.register(PagedCursorSource)

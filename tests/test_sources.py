@@ -111,3 +111,15 @@ def test_paged_offset_groups_pages_per_task(spark, tmp_dir):
           .option("key", "id").option("page_size", 5).option("pages_per_partition", 2).load())
     assert df.rdd.getNumPartitions() == 3
     assert sorted(r["id"] for r in df.collect()) == list(range(23))
+
+
+def test_offset_source_without_date_column_needs_no_pushdown(spark, tmp_dir):
+    _pages(spark, tmp_dir)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    try:
+        df = (spark.read.format("martlake_paged_offset").schema(CUST).option("path", tmp_dir)
+              .option("key", "id").option("page_size", 5).load().filter(F.col("id") > 20))
+        assert sorted(r["id"] for r in df.collect()) == [21, 22]
+    finally:
+        PG.register_sources(spark)
+    assert spark.conf.get("spark.sql.python.filterPushdown.enabled") == "true"
