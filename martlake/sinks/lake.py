@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from martlake.functions.scalar import batch_stamp, date_parts
 from martlake.operators.joins import small_side
 from martlake.operators.merge import upsert
-from martlake.session import scratch_path
+from martlake.session import plan_size_bytes, scratch_path
 
 PARTS = ["year", "month", "day"]
 
@@ -35,6 +35,29 @@ def lake_path(root: str, layer: str, entity: str, partition: str | None = None)
     return "/".join(parts)
 
 
+# Inputs up to this estimated size are written by all cores at once.
+SMALL_WRITE_BYTES = 256 * 1024 * 1024
+
+
+def spread_for_write(df: DataFrame, folder_cols: list[str]) -> DataFrame:
+    """Distribute rows so each task writes few folders.
+
+    Large inputs: a ``rebalance`` on the folder columns -- rows of one folder
+    meet in few tasks (few files per folder) and AQE splits a folder that is
+    too large for one task (a hot day). Small inputs (size-checked): AQE would
+    coalesce everything into one task that then creates every folder in
+    turn; hash-spreading folders over all cores writes them in parallel.
+    """
+    if plan_size_bytes(df) <= SMALL_WRITE_BYTES:
+        spark = df.sparkSession
+        try:
+            n = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no local context
+            n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+        return df.repartition(max(n, 1), *folder_cols)
+    return df.hint("rebalance", *folder_cols)
+
+
 def with_date_partitions(df: DataFrame, date_col: str | None, default_date: str | None = None) -> DataFrame:
     src = F.col(date_col) if date_col else F.lit(default_date).cast("date")
     return df.select("*", *date_parts(src))
@@ -44,10 +67,8 @@ def write_partitioned(df: DataFrame, path: str, date_col: str | None, default_da
                       mode: str = "overwrite", compression: str = "snappy") -> Observation:
     """Write ``df`` under year/month/day folders; returns the row-count observation."""
     obs = Observation("lake_write")
-    # Rebalance on the folder columns: rows of one day meet in few tasks (few
-    # files per folder), and AQE splits a day that is too large for one task.
-    out = (with_date_partitions(df, date_col, default_date).hint("rebalance", *PARTS)
-           .observe(obs, F.count(F.lit(1)).alias("rows")))
+    out = spread_for_write(with_date_partitions(df, date_col, default_date), PARTS)
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     (out.write.mode(mode).option("compression", compression)
      .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path))
     return obs

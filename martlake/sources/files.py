@@ -47,6 +47,19 @@ def csv_scan(spark: SparkSession, path: str, expected_columns: list[str] | None
                       ts.alias("_ingestion_timestamp"))
 
 
+def typed_csv_scan(spark: SparkSession, path: str, schema: str,
+                   corrupt_column: str = "_corrupt_record") -> DataFrame:
+    """CSV read against a declared schema; a line that does not fit (bad
+    number, bad timestamp, wrong field count) keeps its raw text in
+    ``corrupt_column`` instead of failing the job (PERMISSIVE mode). Pair with
+    ``operators.quarantine.corrupt_record_rule`` to split it off."""
+    from pyspark.sql import types as T
+    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    st = T.StructType(list(st.fields) + [T.StructField(corrupt_column, T.StringType())])
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", corrupt_column).schema(st).csv(path))
+
+
 def directory_manifest(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """One row per file under ``path`` matching ``glob``: path, name, size,
     modification time and data rows, ordered by name."""

@@ -123,3 +123,13 @@ def test_offset_source_without_date_column_needs_no_pushdown(spark, tmp_dir):
     finally:
         PG.register_sources(spark)
     assert spark.conf.get("spark.sql.python.filterPushdown.enabled") == "true"
+
+
+def test_typed_csv_quarantines_malformed_lines(spark, tmp_dir):
+    from martlake.operators import quarantine as Q
+    _csv(tmp_dir, ["id,amount,ts", "1,2.5,2024-01-01 10:00:00", "2,abc,2024-01-01 11:00:00",
+                   "3,4.0,not-a-time", "4,1.0"])
+    df = FS.typed_csv_scan(spark, tmp_dir, "id int, amount double, ts timestamp_ntz")
+    valid, bad = Q.split(df.cache(), Q.corrupt_record_rule())
+    assert sorted(r["id"] for r in valid.collect()) == [1]
+    assert sorted(r["_corrupt_record"].split(",")[0] for r in bad.collect()) == ["2", "3", "4"]
