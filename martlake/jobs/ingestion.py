@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from martlake.operators import checks as C
 from martlake.operators import control as CT
-from martlake.operators import merge as MG
 from martlake.sinks import lake as L
 from martlake.sources.files import incremental_scan
 

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.functions.scalar import age_hours, safe_divide
+from martlake.functions.scalar import age_hours
 from martlake.params import QualityParams
 
 QP = QualityParams()
@@ -152,6 +152,3 @@ def extraction_thresholds(required: dict[str, DataFrame], optional: dict[str, Da
     ok = reduce(lambda a, b: a & b, [F.col(f"{n}_count") > 0 for n in required]) if required else F.lit(True)
     return row.select(*[f"{n}_count" for n in names], total.alias("total"), ok.alias("passed"))
 
-
-def safe_ratio(n: Column, d: Column) -> Column:
-    return safe_divide(n, d)

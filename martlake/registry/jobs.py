@@ -12,7 +12,7 @@ from martlake.plans import revenue as rev
 from martlake.plans import staging as stg
 from martlake.registry import register
 from martlake.registry.marts import MART_REVENUE_SQL, P
-from martlake.registry.monitors import AS_OF, FRESHNESS_SQL, RECONCILE_SQL, _freshness, _reconcile
+from martlake.registry.monitors import FRESHNESS_SQL, RECONCILE_SQL, _freshness, _reconcile
 from martlake.session import prepare, read_table, scratch_path
 from martlake.sinks import lake as L
 from martlake.sources import paged as PG
@@ -131,5 +131,3 @@ def q_run_entity_load(spark, sf_dir):
     rows = [J.run_entity_load(spark, s, root, DEFAULT_DATE) for s in specs]
     return spark.createDataFrame(rows, "entity string, status string, rows bigint")
 
-
-del AS_OF

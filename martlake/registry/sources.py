@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martlake.plans import derived as D
 from martlake.registry import register
 from martlake.session import prepare, read_table, scratch_path
 from martlake.sources import events as EV
@@ -176,5 +175,3 @@ FROM events""")
 def q_event_flatten(spark, sf_dir):
     return EV.flatten_events(_t(spark, sf_dir, "events"), {"props": "struct<k:int>"}, timestamp_col="ts")
 
-
-del D
