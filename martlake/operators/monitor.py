@@ -96,9 +96,11 @@ def zscore_rows(df: DataFrame, column: str, keys: list[str],
     """
     c = F.col(column)
     stats = df.select(F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s"))).scalar()
-    mean, std = stats.getField("m"), stats.getField("s")
-    z = (c - mean) / F.when(std != 0, std)
-    return (df.select(*keys, c.alias(column), z.alias("zscore"))
+    # bind the subquery to one column so it appears (and runs) once
+    scored = df.select(*keys, c.alias(column), stats.alias("_st"))
+    std = F.col("_st.s")
+    z = (F.col(column) - F.col("_st.m")) / F.when(std != 0, std)
+    return (scored.select(*keys, column, z.alias("zscore"))
             .filter(F.abs("zscore") > F.lit(limit))
             .select(*keys, column, F.round("zscore", digits).alias("zscore")))
 
