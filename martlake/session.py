@@ -100,8 +100,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver test tables: one Parquet file per table."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Input tables (one Parquet file or folder per table), read with their
+    declared schema when one exists (``martlake.contracts``)."""
+    from martlake.contracts import TABLE_SCHEMAS
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = TABLE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
 
 
 def plan_size_bytes(df: DataFrame) -> int:

@@ -63,3 +63,11 @@ def test_sql_macros(spark):
     assert (float(row["a"]), row["b"], row["c"], row["d"]) == (123.46, 0.0, -1.0, 2.0)
     assert spark.sql("SELECT * FROM date_spine(DATE'2024-01-01', DATE'2024-01-03')").count() == 3
     assert spark.sql("SELECT * FROM date_spine(DATE'2024-01-03', DATE'2024-01-01')").count() == 0
+
+
+def test_units_match_decimal_cast(spark):
+    vals = [0.285, 1.005, 2.675, 68423.46, -0.125, 0.0, 123456.785, 1e-7, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.select(S.units("x", 2).alias("u"),
+                    (F.col("x").cast("decimal(18,2)") * 100).cast("bigint").alias("want")).collect()
+    assert all(r["u"] == r["want"] for r in got)
