@@ -47,7 +47,8 @@ def units(col, scale: int):
     near_half = F.abs(frac - F.lit(0.5)) < F.lit(1e-6)
     exact = (c.cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("bigint")
     nearest = F.when(scaled >= 0, F.floor(scaled + F.lit(0.5))).otherwise(-F.floor(F.lit(0.5) - scaled))
-    return F.when(near_half, exact).otherwise(nearest.cast("bigint"))
+    finite = ~F.isnan(c) & (F.abs(scaled) < F.lit(1e15))   # NaN, infinities, overflow -> null
+    return F.when(finite, F.when(near_half, exact).otherwise(nearest.cast("bigint")))
 
 
 def units_to_double(col, scale: int):

@@ -66,8 +66,10 @@ def test_sql_macros(spark):
 
 
 def test_units_match_decimal_cast(spark):
-    vals = [0.285, 1.005, 2.675, 68423.46, -0.125, 0.0, 123456.785, 1e-7, None]
+    vals = [0.285, 1.005, 2.675, 68423.46, -0.125, -2.675, 0.0, 123456.785, 1e-7, None]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = df.select(S.units("x", 2).alias("u"),
                     (F.col("x").cast("decimal(18,2)") * 100).cast("bigint").alias("want")).collect()
     assert all(r["u"] == r["want"] for r in got)
+    bad = spark.createDataFrame([(float("nan"),), (float("inf"),)], "x double")
+    assert [r[0] for r in bad.select(S.units("x", 2)).collect()] == [None, None]
