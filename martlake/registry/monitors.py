@@ -158,9 +158,27 @@ def q_quarantine_split(spark, sf_dir):
 FINGERPRINT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-@register("dataset_fingerprint")
+def _fingerprint_sql(table: str) -> str:
+    from martlake.contracts import TABLE_SCHEMAS
+    cols = sorted((c.split()[0], c.split()[1]) for c in TABLE_SCHEMAS[table].split(", "))
+    parts = []
+    for name, t in cols:
+        if t in ("double", "float") or t.startswith("decimal"):
+            s = f"CAST(TRY_CAST({name} AS DECIMAL(38,4)) AS VARCHAR)"
+        elif t.startswith("timestamp"):
+            s = f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')"
+        else:
+            s = f"CAST({name} AS VARCHAR)"
+        parts.append(f"coalesce({s}, '{FP.NULL_MARK}')")
+    text = f"concat_ws(chr(31), {', '.join(parts)})"
+    h = f"CAST(CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT) AS DECIMAL(38,0))"
+    return (f"SELECT '{table}' AS \"table\", count(*) AS row_count, "
+            f"CAST(coalesce(sum({h}), 0) AS VARCHAR) AS fingerprint FROM {table}")
+
+
+@register("dataset_fingerprint", "\nUNION ALL\n".join(_fingerprint_sql(t) for t in FINGERPRINT_TABLES))
 def q_dataset_fingerprint(spark, sf_dir):
-    return FP.fingerprints({t: _t(spark, sf_dir, t) for t in FINGERPRINT_TABLES})
+    return FP.fingerprints({t: _t(spark, sf_dir, t) for t in FINGERPRINT_TABLES}, portable=True)
 
 
 @register("dataset_diff", f"""
