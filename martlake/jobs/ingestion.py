@@ -56,7 +56,8 @@ def run_full_ingestion(spark: SparkSession, entities: list[EntitySpec], lake_roo
     rows = []
     for spec in entities:
         path = f"{lake_root}/raw/{spec.name}"
-        obs = L.write_partitioned(staged[spec.name], path, spec.date_column, default_date)
+        obs = L.write_partitioned(staged[spec.name], path, spec.date_column, default_date,
+                                  metadata={"source": spec.name, "ingestion_date": default_date})
         L.register_table(spark, f"raw_{spec.name}", path)
         rows.append((spec.name, int(obs.get.get("rows", 0))))
     return spark.createDataFrame(rows, "entity string, rows_loaded bigint")

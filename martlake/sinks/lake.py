@@ -64,16 +64,35 @@ def with_date_partitions(df: DataFrame, date_col: str | None, default_date: str
 
 
 def write_partitioned(df: DataFrame, path: str, date_col: str | None, default_date: str | None = None,
-                      mode: str = "overwrite", compression: str = "snappy") -> Observation:
-    """Write ``df`` under year/month/day folders; returns the row-count observation."""
+                      mode: str = "overwrite", compression: str = "snappy",
+                      metadata: dict[str, str] | None = None) -> Observation:
+    """Write ``df`` under year/month/day folders; returns the row-count observation.
+
+    With ``metadata`` (ingestion time, source, custom keys), a one-row
+    ``_manifest`` record is written next to the data with the row count the
+    write observed; readers skip ``_``-prefixed folders.
+    """
     obs = Observation("lake_write")
     out = spread_for_write(with_date_partitions(df, date_col, default_date), PARTS)
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     (out.write.mode(mode).option("compression", compression)
      .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path))
+    if metadata is not None:
+        write_manifest(df.sparkSession, path, {**metadata, "row_count": str(obs.get.get("rows", 0))})
     return obs
 
 
+def write_manifest(spark: SparkSession, path: str, metadata: dict[str, str]) -> None:
+    """One-row JSON record of a write, stored under ``<path>/_manifest``."""
+    keys = sorted(metadata)
+    row = spark.createDataFrame([tuple(str(metadata[k]) for k in keys)], ", ".join(f"`{k}` string" for k in keys))
+    row.coalesce(1).write.mode("overwrite").json(f"{path}/_manifest")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.json(f"{path}/_manifest")
+
+
 def read_partitioned(spark: SparkSession, path: str, data_schema: T.StructType) -> DataFrame:
     """Read back with the partition columns kept as zero-padded strings."""
     schema = T.StructType(list(data_schema.fields) + [T.StructField(p, T.StringType()) for p in PARTS])

@@ -115,3 +115,12 @@ def test_incremental_batch_needs_mark_values(spark, tmp_dir):
     df = spark.createDataFrame([(1, 1.0, None)], SCHEMA)
     with pytest.raises(ValueError, match="non-idempotent"):
         L.write_incremental(df, tmp_dir, "ts", "orders")
+
+
+def test_lake_write_manifest(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 1.0, T), (2, 2.0, T + dt.timedelta(days=1))], SCHEMA)
+    L.write_partitioned(df, tmp_dir, "ts", metadata={"source": "api", "ingestion_time": "2024-01-03 00:00:00"})
+    m = L.read_manifest(spark, tmp_dir).first()
+    assert (m["source"], m["row_count"]) == ("api", "2")
+    back = spark.read.parquet(tmp_dir)
+    assert back.count() == 2 and sorted(r["day"] for r in back.select("day").collect()) == [1, 2]
