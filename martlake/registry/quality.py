@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martlake.operators import checks as C
+from martlake.operators import constraints as CV
 from martlake.plans import derived as D
 from martlake.registry import register
 from martlake.session import prepare, read_table
@@ -142,33 +143,6 @@ def q_dq_gate(spark, sf_dir):
 
 # ---------------------------------------------------------------- B12
 
-def constraint_violations(df, primary_key: list[str], not_null: list[str], unique_cols: list[str]):
-    """Pre-write constraint report: composite primary key, not null, unique."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-    parts = []
-    keyed = df.groupBy(*primary_key).agg(F.count(F.lit(1)).alias("n"))
-    parts.append(keyed.agg(
-        F.lit("primary_key").alias("constraint"),
-        F.lit(",".join(primary_key)).alias("columns"),
-        (F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-         + F.coalesce(F.sum(F.when(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in primary_key]),
-                                     F.col("n"))), F.lit(0)))
-        .cast("bigint").alias("violations")))
-    parts.append(df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null])
-                 .select(F.explode(F.array(*[F.struct(F.lit("not_null").alias("constraint"),
-                                                      F.lit(c).alias("columns"),
-                                                      F.col(c).cast("bigint").alias("violations"))
-                                             for c in not_null])).alias("s")).select("s.*"))
-    for c in unique_cols:
-        g = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(g.agg(F.lit("unique").alias("constraint"), F.lit(c).alias("columns"),
-                           F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations")))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.withColumn("passed", F.col("violations") == 0)
-
-
 @register("constraint_violations", """
 SELECT 'primary_key' AS "constraint", 'l_orderkey,l_linenumber' AS columns,
        CAST((SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) n FROM lineitem GROUP BY l_orderkey, l_linenumber))
@@ -184,8 +158,8 @@ FROM (SELECT count(*) n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_or
 def q_constraint_violations(spark, sf_dir):
     prepare(spark)
     li = read_table(spark, sf_dir, "lineitem")
-    return constraint_violations(li, ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"],
-                                 ["l_orderkey"]).drop("passed")
+    return CV.constraint_violations(li, ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"],
+                                    ["l_orderkey"]).drop("passed")
 
 
 # ---------------------------------------------------------------- C1 / A3
