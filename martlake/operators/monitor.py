@@ -55,6 +55,29 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], as_of: str,
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def freshness_of_tables(spark, tables: dict[str, tuple[str, str]], as_of: str,
+                        limit_hours: float = QP.freshness_hours) -> DataFrame:
+    """Freshness by table location: ``{name: (parquet path or table name, column)}``.
+
+    A table that cannot be read (missing, no such column) is reported stale
+    with the error text instead of failing the whole check.
+    """
+    frames, broken = {}, []
+    for name, (where, col) in tables.items():
+        try:
+            df = spark.read.parquet(where) if "/" in where else spark.table(where)
+            df.select(col).schema  # resolve the column now
+            frames[name] = (df, col)
+        except Exception as e:  # noqa: BLE001 - reported per table, as a stale row
+            broken.append((name, str(e).splitlines()[0][:200]))
+    parts = [freshness(frames, as_of, limit_hours)] if frames else []
+    if broken:
+        parts.append(spark.createDataFrame(
+            [(n, None, None, False, err) for n, err in broken],
+            "table string, last_load timestamp_ntz, age_hours double, is_fresh boolean, error string"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 # ------------------------------------------------------------------ C11
 
 def reconcile(source: DataFrame, target: DataFrame, source_name: str, target_name: str,
