@@ -77,10 +77,12 @@ class PageStore:
         rows = self._read_json_dir(META_DIR)
         return rows[0] if rows else {}
 
-    def fetch_offset(self, offset: int, limit: int, where=None) -> tuple[list[dict], int, int]:
+    def fetch_offset(self, offset: int, limit: int, where=None, meta: dict | None = None
+                     ) -> tuple[list[dict], int, int]:
         """Rows [offset, offset+limit) capped at the server's page length.
-        Returns (matching records, total, records on the page before filtering)."""
-        meta = self.meta()
+        Returns (matching records, total, records on the page before filtering).
+        ``meta`` (from the planning probe) saves re-reading it per page."""
+        meta = meta if meta is not None else self.meta()
         size = int(meta.get("page_size", limit))
         page = offset // size
         recs = sorted(self._read_json_dir(f"page={page}"), key=lambda r: r[self.key])
@@ -142,6 +144,7 @@ class OffsetPage(InputPartition):
     limit: int
     total: int
     first_number: int
+    meta: dict | None = None
 
 
 class PagedOffsetReader(DataSourceReader):
@@ -162,13 +165,15 @@ class PagedOffsetReader(DataSourceReader):
         return TRANSPORTS[self.transport](self.path, self.key)
 
     def partitions(self):
-        recs, total, raw = self._store().fetch_offset(0, self.page_size)
+        store = self._store()
+        meta = store.meta() if hasattr(store, "meta") else None
+        recs, total, raw = store.fetch_offset(0, self.page_size, meta=meta)
         step = raw or self.page_size
         offsets = list(range(0, total, step)) if total > 0 else [0]
         if self.max_pages:
             offsets = offsets[:self.max_pages]
         k = self.pages_per_partition
-        return [OffsetPage(offsets[i:i + k], step, total, i) for i in range(0, len(offsets), k)]
+        return [OffsetPage(offsets[i:i + k], step, total, i, meta) for i in range(0, len(offsets), k)]
 
     def _where(self):
         if not self.bounds or not self.date_column:
@@ -194,7 +199,7 @@ class PagedOffsetReader(DataSourceReader):
     def read(self, partition: OffsetPage):
         store, where, row = self._store(), self._where(), _converter(self.schema)
         for j, offset in enumerate(partition.offsets):
-            recs, total, raw = store.fetch_offset(offset, partition.limit, where)
+            recs, total, raw = store.fetch_offset(offset, partition.limit, where, meta=partition.meta)
             expected = min(partition.limit, max(partition.total - offset, 0))
             if partition.total > 0 and raw < expected:
                 raise RuntimeError(f"short page at offset {offset}: {raw} of {expected} rows")
