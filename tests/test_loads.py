@@ -124,3 +124,21 @@ def test_lake_write_manifest(spark, tmp_dir):
     assert (m["source"], m["row_count"]) == ("api", "2")
     back = spark.read.parquet(tmp_dir)
     assert back.count() == 2 and sorted(r["day"] for r in back.select("day").collect()) == [1, 2]
+
+
+def test_scd2_bucketed_rewrites_touched_buckets_only(spark, tmp_dir):
+    import glob
+    import os
+    base = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("seg"))
+    h0 = S.initial_history(base, ["k"], "2024-01-01 00:00:00")
+    L.write_scd2_history(h0, tmp_dir, ["k"], buckets=8)
+    batch = spark.createDataFrame([(3, "B"), (500, "new")], "k int, seg string")
+    touched = {r[0] for r in batch.select(L.key_bucket(["k"], 8)).collect()}
+    untouched = [d for d in glob.glob(os.path.join(tmp_dir, f"{L.BUCKET}=*"))
+                 if int(d.rsplit("=", 1)[1]) not in touched]
+    before = {d: sorted(os.listdir(d)) for d in untouched}
+    L.apply_scd2_partitions(spark, tmp_dir, batch, ["k"], "2024-01-02 00:00:00", buckets=8)
+    h = spark.read.parquet(tmp_dir).drop(L.BUCKET)
+    want = S.apply_scd2(h0, batch, ["k"], "2024-01-02 00:00:00")
+    assert fp(h.select(*want.columns)) == fp(want)
+    assert {d: sorted(os.listdir(d)) for d in untouched} == before
