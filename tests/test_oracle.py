@@ -63,3 +63,19 @@ def test_fingerprint_is_order_insensitive(spark):
     a = fingerprint(orders, "o").first()
     b = fingerprint(orders.orderBy(F.rand(3)).repartition(5), "o").first()
     assert a == b
+
+
+def test_dashboard_sql_over_views(spark):
+    from martlake.operators.fingerprint import fingerprint
+    from martlake.plans.views import register_views
+    assert "mart_revenue" in register_views(spark, SF)
+    by_sql = spark.sql("SELECT * FROM mart_revenue ORDER BY date_day")
+    by_df = ENTRY.queries()["mart_revenue"](spark, SF)
+    assert fingerprint(by_sql, "m").first() == fingerprint(by_df.select(*by_sql.columns), "m").first()
+    runs = spark.sql("""SELECT pipeline_name, status, start_time, end_time, rows_processed, rows_loaded,
+                               error_message
+                        FROM pipeline_runs ORDER BY start_time DESC NULLS FIRST, run_id DESC LIMIT 20""")
+    want = ENTRY.queries()["latest_runs"](spark, SF)
+    assert fingerprint(runs, "r").first() == fingerprint(want.select(*runs.columns), "r").first()
+    kpi = spark.sql("SELECT sum(total_revenue) AS r, sum(total_orders) AS n FROM mart_revenue").first()
+    assert kpi["n"] > 0
