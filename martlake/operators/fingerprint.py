@@ -60,13 +60,21 @@ def canonical_text(df: DataFrame):
 
 def portable_fingerprint(df: DataFrame, name: str) -> DataFrame:
     """Order-insensitive fingerprint another engine can reproduce: the sum of
-    the first 60 bits of md5(row text), exact in decimal(38,0). Slower than
-    :func:`fingerprint` (md5 of a text row), used to compare across engines."""
-    h = F.conv(F.substring(F.md5(canonical_text(df)), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.agg(
-        F.lit(name).alias("table"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("fingerprint"))
+    the first 60 bits of md5(row text), exact. Slower than :func:`fingerprint`
+    (md5 of a text row); used to compare across engines.
+
+    The 60-bit value is summed as three 20-bit parts in plain longs (exact up
+    to 2^43 rows) and recombined once; a decimal(38,0) running sum would go
+    through arbitrary-precision arithmetic on every row.
+    """
+    hx = F.substring(F.md5(canonical_text(df)), 1, 15)
+    parts = [F.conv(F.substring(hx, 1 + 5 * i, 5), 16, 10).cast("bigint") for i in range(3)]
+    sums = df.agg(F.count(F.lit(1)).alias("row_count"),
+                  *[F.coalesce(F.sum(p), F.lit(0)).alias(f"_p{i}") for i, p in enumerate(parts)])
+    d = "decimal(38,0)"
+    total = (F.col("_p0").cast(d) * F.lit(1 << 40).cast(d) + F.col("_p1").cast(d) * F.lit(1 << 20).cast(d)
+             + F.col("_p2").cast(d))
+    return sums.select(F.lit(name).alias("table"), "row_count", total.cast(d).cast("string").alias("fingerprint"))
 
 
 def fingerprints(tables: dict[str, DataFrame], portable: bool = False) -> DataFrame:

@@ -73,3 +73,4 @@ def test_units_match_decimal_cast(spark):
     assert all(r["u"] == r["want"] for r in got)
     bad = spark.createDataFrame([(float("nan"),), (float("inf"),)], "x double")
     assert [r[0] for r in bad.select(S.units("x", 2)).collect()] == [None, None]
+
