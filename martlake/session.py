@@ -62,9 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged files.
 
     Read from the session (the context's checkpoint dir or
-    ``spark.checkpoint.dir``). Only when neither is set -- local runs and
-    tests -- a fresh private folder is created and registered, so the same code
-    works on a cluster where the folder is shared by all executors.
+    ``spark.checkpoint.dir``). When neither is set, a local-mode session (tests,
+    local runs) gets a fresh private folder; a cluster session raises, because
+    executors cannot reach a folder on the driver's disk.
     """
     try:
         sc = spark.sparkContext
@@ -76,6 +76,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if current and sc is not None:
             sc.setCheckpointDir(current)
     if not current:
+        master = sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")
+        if not master.startswith("local"):
+            # executors on other machines cannot see a driver-local folder
+            raise RuntimeError("set spark.checkpoint.dir to shared storage (e.g. an HDFS or object-store "
+                               "path) before running martlake jobs on a cluster")
         current = tempfile.mkdtemp(prefix="martlake-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(current)
