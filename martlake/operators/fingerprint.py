@@ -83,8 +83,17 @@ def fingerprints(tables: dict[str, DataFrame], portable: bool = False) -> DataFr
 
 
 def diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows in one side but not the other, multiplicities respected."""
+    """Rows in one side but not the other, multiplicities respected.
+
+    One shuffle: rows are tagged +1 (left) / -1 (right) and summed per distinct
+    row (map-side combine absorbs heavily repeated rows); a non-zero sum n
+    yields |n| copies on the side its sign names. Two ``exceptAll`` calls would
+    shuffle both inputs twice. Nulls and NaNs group as equal, as in EXCEPT ALL.
+    """
     cols = left.columns
     r = right.select(*cols)
-    return (left.exceptAll(r).withColumn("side", F.lit("left_only"))
-            .unionByName(r.exceptAll(left).withColumn("side", F.lit("right_only"))))
+    tagged = left.select(*cols, F.lit(1).alias("_d")).unionByName(r.select(*cols, F.lit(-1).alias("_d")))
+    counts = tagged.groupBy(*cols).agg(F.sum("_d").alias("_n")).filter(F.col("_n") != 0)
+    return counts.select(
+        *cols, F.when(F.col("_n") > 0, F.lit("left_only")).otherwise(F.lit("right_only")).alias("side"),
+        F.explode(F.sequence(F.lit(1), F.abs(F.col("_n")).cast("int"))).alias("_copy")).drop("_copy")

@@ -56,3 +56,13 @@ def test_scd2_with_change_detection_is_idempotent(spark):
     h1 = S.apply_scd2(h0, batch, ["k"], "2024-01-02 00:00:00", detect_changes=["seg"])
     h2 = S.apply_scd2(h1, batch, ["k"], "2024-01-03 00:00:00", detect_changes=["seg"])
     assert fingerprint(h1, "x").first() == fingerprint(h2, "x").first()
+
+
+def test_diff_matches_except_all(spark):
+    from martlake.operators.fingerprint import diff
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c"), (4, "d")], "k int, v string")
+    right = spark.createDataFrame([(1, "a"), (2, None), (3, "x"), (5, "e"), (5, "e")], "k int, v string")
+    got = sorted(tuple(r) for r in diff(left, right).collect())
+    want = sorted([tuple(r) + ("left_only",) for r in left.exceptAll(right).collect()]
+                  + [tuple(r) + ("right_only",) for r in right.exceptAll(left).collect()])
+    assert got == want
