@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import fingerprints, sharding
+from martlake.llm import fingerprints, jaccard, sharding
 from martlake.llm.text import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,30 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_jump_shards")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=24)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+reps AS (SELECT s, min(doc_id) AS rep FROM (SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s),
+rep_grams AS (SELECT g.* FROM grams g JOIN reps r ON g.doc_id = r.rep),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM rep_grams a
+  JOIN rep_grams b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY ALL HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM common UNION SELECT b, a FROM common),
+reach AS (SELECT rep AS a, rep AS b FROM reps UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+  CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE c.component_id END AS component_id
+FROM sets s LEFT JOIN reps r ON list_sort(s.s) = r.s LEFT JOIN comp c ON c.rep = r.rep
+"""
+
+
+@query("op5_ngram_jaccard", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=90)
