@@ -8,9 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import fingerprints, jaccard, sharding
+from martlake.llm import decontam, fingerprints, jaccard, packing, sharding
 from martlake.llm.text import table
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public tokenizer's vocabulary file on this machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -60,3 +66,40 @@ FROM sets s LEFT JOIN reps r ON list_sort(s.s) = r.s LEFT JOIN comp c ON c.rep =
 @query("op5_ngram_jaccard", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT item_id, least(len(w), 13) AS n,
+    unnest(list_transform(range(1, greatest(len(w) - 13, 0) + 2), lambda i: array_to_string(w[i:i + 12], ' '))) AS g
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p,
+    unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g
+  FROM d, sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, p, grams.n, item_id FROM grams JOIN windows ON grams.n = windows.n AND grams.g = windows.g),
+spots AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op7_winnowing", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_best_fit")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
