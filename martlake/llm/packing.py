@@ -8,9 +8,9 @@ time. The outcome is the one of best-fit decreasing piece by piece. Its table
 of runs (length, ranks, sequences, offset) is applied to all pieces, which are
 numbered within their length in parallel.
 
-Tokens: a text's ids are those of its white-space separated chunks one after
-the other (the tokenizer drops white space and never joins across it). Each
-distinct chunk of a block is encoded once; ids are then gathered by numpy.
+Tokens: a text's ids are those of its units one after the other (the tokenizer
+drops white space and never joins across it, see ``units``). Each distinct unit
+is encoded once and remembered; ids are then gathered by numpy.
 
 Defined cases: null text = empty, which is the one id 0; repeated rows are
 packed each; an empty table gives an empty result.
@@ -19,6 +19,7 @@ packed each; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,20 +29,33 @@ from pyspark.sql import functions as F
 from martlake.llm.text import LOWER, SPACED, blocks, saved, texts, word_hashes, word_spans
 
 CAPACITY = 2048
-_MARK = "<|endoftext|>"
+#: byte classes for cutting: 1 ASCII letters and digits, 2 ASCII punctuation without the apostrophe
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = 2
+_CLASS[0x27] = 0
+_CLASS[0x30:0x3A] = _CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = 1
+
+
+def units(data: np.ndarray, off: np.ndarray):
+    """White-space separated chunks, also cut between an ASCII letter or digit and
+    ASCII punctuation. The tokenizer's own word rule always cuts there (only
+    its contractions join an apostrophe and letters, so that one is left out)."""
+    c = _CLASS[data]
+    return word_spans(data, off, SPACED, (c[1:] + c[:-1] == 3) & (c[1:] > 0) & (c[:-1] > 0))
 
 
 class ChunkEncoder:
-    """Ids of white-space separated chunks, remembered by hash of their bytes."""
+    """Ids of units, remembered by hash of their bytes."""
 
-    LIMIT = 300_000  # remembered chunks; then the memory starts anew
+    LIMIT = 400_000  # remembered units; then the memory starts anew
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True  # special strings in a text are ordinary text
-        self.marked = Tokenizer.from_file(path)
-        self.mark = self.marked.token_to_id(_MARK)
+        vocab = self.plain.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
@@ -50,14 +64,17 @@ class ChunkEncoder:
         self.pool, self.size = [np.zeros(1, np.uint32)], 1
 
     def learn(self, words: list[str], hashes: list[int]) -> None:
-        odd = [w for w in words if "<|" in w]
-        ids = {w: np.array(self.plain.encode(w, add_special_tokens=False).ids, np.uint32) for w in odd}
-        even = [w for w in words if w not in ids]
+        # units of letters only are one word of the tokenizer each: encoded together, parted at word ends
+        even = [w for w in words if w.isalpha() and (w.isascii() or is_normalized("NFC", w))]
+        ids: dict[str, np.ndarray] = {}
         if even:
-            flat = np.array(self.marked.encode(_MARK.join(even), add_special_tokens=False).ids, np.uint32)
-            cut = np.flatnonzero(flat == self.mark)
-            for w, a, z in zip(even, np.append(0, cut + 1).tolist(), np.append(cut, len(flat)).tolist(), strict=True):
-                ids[w] = flat[a:z]
+            flat = np.array(self.plain.encode_batch_fast([" ".join(even)], add_special_tokens=False)[0].ids, np.uint32)
+            stop = np.flatnonzero(self.ends_word[flat]) + 1
+            if len(stop) == len(even):
+                ids = dict(zip(even, np.split(flat, stop[:-1]), strict=True))
+        odd = [w for w in words if w not in ids]
+        for w, e in zip(odd, self.plain.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            ids[w] = np.array(e.ids, np.uint32)
         for w, h in zip(words, hashes, strict=True):
             self.slot[h] = len(self.begin)
             self.begin.append(self.size)
@@ -71,7 +88,7 @@ class ChunkEncoder:
         if len(self.slot) > self.LIMIT:
             self.reset()
         data = LOWER[data]
-        starts, ends, first = word_spans(data, off, SPACED)
+        starts, ends, first = units(data, off)
         uniq, where, back = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         hashes = uniq.tolist()
         new = [i for i, h in enumerate(hashes) if h not in self.slot]

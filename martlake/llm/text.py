@@ -70,17 +70,22 @@ def blocks(col: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int,
         lo = hi
 
 
-def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray,
+               cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all words, and each document's first word
     (``first[d]:first[d+1]`` are the words of document d). No word crosses a
-    document boundary."""
+    document boundary; ``cut[i]`` also ends a word between bytes i and i+1."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(off), np.int64)
     w = is_word[data]
     begin, last = w.copy(), w.copy()
-    begin[1:] &= ~w[:-1]
-    last[:-1] &= ~w[1:]
+    if cut is None:
+        begin[1:] &= ~w[:-1]
+        last[:-1] &= ~w[1:]
+    else:
+        begin[1:] &= ~w[:-1] | cut
+        last[:-1] &= ~w[1:] | cut
     inner = off[1:-1]
     inner = inner[(inner > 0) & (inner < len(data))]
     begin[inner] = w[inner]
