@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import decontam, fingerprints, jaccard, langid, packing, sharding
+from martlake.llm import decontam, fingerprints, jaccard, langid, lm, packing, sharding
 from martlake.llm.text import table
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -108,3 +108,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_cross_parsing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op10_suffix_tree")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
