@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.llm.text import (ALNUM, LOWER, U64, blocks, bloom_bits, bloom_has, gram_hashes, mix64, saved, texts,
-                               word_hashes, word_spans)
+from martlake.llm.text import (ALNUM, LOWER, U64, blocks, bloom_bits, bloom_has, gram_hashes, keyed, mix64, saved, texts,
+                               without, word_hashes, word_spans)
 
 K = 5
 WINDOW = 13
@@ -109,7 +109,7 @@ def benchmark_index(items: DataFrame, k: int, window: int) -> DataFrame:
 
 
 def candidates(docs: DataFrame, index: DataFrame, k: int, window: int) -> DataFrame:
-    """One row per document: (row, doc_id, n_words, found); ``found`` holds its
+    """One row per document: (row, doc_id, fp, n_words, found); ``found`` holds its
     fingerprints that may be in the benchmark. ``row`` is unique per row."""
     short = sorted(r.kind for r in index.where(F.col("kind") < window).select("kind").distinct().collect())
     seen = docs.sparkSession.sparkContext.broadcast(np.packbits(bloom_bits(index, "fp")))
@@ -119,7 +119,7 @@ def candidates(docs: DataFrame, index: DataFrame, k: int, window: int) -> DataFr
         nth = TaskContext.get().partitionId() << 40
         for b in it:
             ids, rows, n_words, found = b.column(0), [], [], []
-            for _, _, data, off in blocks(b.column(1)):
+            for _, _, data, off in blocks(b.column(2)):
                 h, first = _hashed(data, off)
                 sizes = np.diff(first)
                 per_doc: dict[int, list[tuple]] = {}
@@ -144,10 +144,10 @@ def candidates(docs: DataFrame, index: DataFrame, k: int, window: int) -> DataFr
                           for d in range(len(sizes))]
             rows = list(range(nth, nth + len(n_words)))
             nth += len(n_words)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), ids, pa.array(n_words, pa.int64()),
-                                              pa.array(found, pa.list_(FOUND))], ["row", "doc_id", "n_words", "found"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), ids, b.column(1), pa.array(n_words, pa.int64()),
+                                              pa.array(found, pa.list_(FOUND))], ["row", "doc_id", "fp", "n_words", "found"])
 
-    return docs.mapInArrow(run, f"row long, doc_id long, n_words long, found {FOUND_DDL}")
+    return docs.select("doc_id", "fp", "text").mapInArrow(run, f"row long, doc_id long, fp long, n_words long, found {FOUND_DDL}")
 
 
 def _same_run(x: str, y: str) -> Column:
@@ -159,11 +159,11 @@ def _same_run(x: str, y: str) -> Column:
 
 def hit_spans(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               item_col: str = "item_id", k: int = K, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): every document row (row, doc_id, n_words), and the matched
+    """(rows, spans): every document row (row, doc_id, fp, n_words), and the matched
     word spans (row, begin, end, item_id)."""
     items = texts(benchmark, item_col, text_col).withColumnRenamed("doc_id", "item_id")
     index = saved(benchmark_index(items, k, window), "bench")
-    rows = saved(candidates(texts(df, id_col, text_col), index, k, window), "decon")
+    rows = saved(candidates(keyed(df, id_col, text_col), index, k, window), "decon")
     found = rows.where(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.*")
     other = index.select("kind", "fp", "item_id", F.col("left").alias("ileft"), F.col("right").alias("iright")).distinct()
     spans = found.join(other, ["kind", "fp"]) \
@@ -172,12 +172,12 @@ def hit_spans(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         .where(F.col("len") >= F.col("kind")) \
         .select("row", (F.col("pos") - F.col("l")).alias("begin"), (F.col("pos") - F.col("l") + F.col("len")).alias("end"),
                 "item_id").distinct()
-    return rows.select("row", "doc_id", "n_words"), spans
+    return rows.select("row", "doc_id", "fp", "n_words"), spans
 
 
 def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", share: int = 20) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row;
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, fp) of every row;
     contaminated: a hit, and ``share`` times the hit words reach all words."""
     rows, spans = hit_spans(df, benchmark, id_col, text_col, item_col)
     spans = saved(spans, "spans")
@@ -191,11 +191,9 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) * share >= F.greatest(F.col("n_words"), F.lit(1))).alias("contaminated"))
+        (F.coalesce("n_hit", F.lit(0)) * share >= F.greatest(F.col("n_words"), F.lit(1))).alias("contaminated"), "fp")
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``df`` without the contaminated documents (by doc_id; a row without id stays
-    only if no row without id is contaminated)."""
-    bad = contamination(df, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return df.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """``df`` without its contaminated rows; all columns stay."""
+    return without(df, contamination(df, benchmark).where("contaminated"))

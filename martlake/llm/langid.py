@@ -111,9 +111,9 @@ class Model:
                 phrases[i] += np.bincount(doc[a: a + lanes], weights=count[i], minlength=len(texts))
         return phrases * np.array(self.log)[:, None] / np.maximum(n, 1), n
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
-        """(language, score, smallest entropy) of each text."""
-        lang, score, best = [UND] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float], list[int]]:
+        """(language, score, smallest entropy, symbols) of each text."""
+        lang, score, best, size_of = [UND] * len(texts), [0.0] * len(texts), [0.0] * len(texts), [0] * len(texts)
         known = [i for i, t in enumerate(texts) if t]
         lo = 0
         while lo < len(known) and self.langs:
@@ -129,9 +129,10 @@ class Model:
             least = h.min(axis=0)
             conf = 1.0 / np.exp2(-(h - least) * np.minimum(n, 32)).sum(axis=0)
             for j, i in enumerate(rows):
+                size_of[i] = int(n[j])
                 if letters[_codes(texts[i])].any():
                     lang[i], score[i], best[i] = self.langs[first[j]], float(conf[j]), float(least[j])
-        return lang, score, best
+        return lang, score, best, size_of
 
 
 def labelled_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, list[str]]:
@@ -154,16 +155,25 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) ->
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, entropy) of every row of ``df``."""
+    """(doc_id, held_out, lang_pred, score, entropy, symbols, fp) of every row of ``df``."""
     model = df.sparkSession.sparkContext.broadcast(Model(labelled_sample(df, id_col, text_col, lang_col)))
 
     def run(it):
         for b in it:
-            lang, score, best = model.value.predict(b.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()),
-                                              pa.array(score, pa.float64()), pa.array(best, pa.float64())],
-                                             ["doc_id", "held_out", "lang_pred", "score", "entropy"])
+            lang, score, best, n = model.value.predict(b.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                                              pa.array(best, pa.float64()), pa.array(n, pa.int64()), b.column(2)],
+                                             ["doc_id", "held_out", "lang_pred", "score", "entropy", "symbols", "fp"])
 
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), held_out(id_col).alias("held_out"),
-                     F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, entropy double")
+                     F.xxhash64(F.col(f"`{text_col}`")).alias("fp"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, entropy double, "
+                                "symbols long, fp long")
+
+
+def keep_language(df: DataFrame, least: int = 32) -> DataFrame:
+    """``df`` without the rows in no language: those without a letter, and those of
+    at least ``least`` symbols that cost more bits than symbols spread evenly
+    over the alphabet, whatever the language. All columns stay."""
+    no = (F.col("lang_pred") == UND) | ((F.col("symbols") >= least) & (F.col("entropy") > float(np.log2(ALPHABET))))
+    return without(df, identify(df).where(no))

@@ -40,9 +40,9 @@ from martlake.llm.automata import columns, stretches
 from martlake.llm.text import LOWER, SPACED, U64, blocks, saved, word_hashes, word_spans
 
 DEPTH = 7
-MIN_SHARE = 2e-5
+MIN_SHARE = 4e-6
 MIN_COUNT = 8
-GAIN_BITS = 2.0  # a context must save this many bits per next byte that it stores
+GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
 CHUNK = 16 << 20
 STRETCH = 512
 END = 0x0A
@@ -134,6 +134,17 @@ def _unpack(raw: bytes, kind) -> np.ndarray:
     return np.frombuffer(zlib.decompress(raw), kind)
 
 
+def _pack_keys(k: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte by byte: most of those bytes are zero."""
+    d = np.diff(k, prepend=U64(0))
+    return zlib.compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    d = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(d.T).view(U64)[:, 0], dtype=U64)
+
+
 def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
     """One pass over (doc_id, held_out, text). Rows by kind: DOC (a document's
     words as positions in its chunk's word list), WORDS (a chunk's distinct word
@@ -167,7 +178,7 @@ def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
                 train = np.repeat(~held[lo:hi], size)
                 count = np.bincount(back[train], minlength=len(uniq))
                 cut = np.searchsorted(uniq, _bounds(buckets))
-                yield _batch([(WORDS, chunk, i, None, None, None, None, None, uniq[x:y].tobytes(), _pack(count[x:y].astype(np.int32)))
+                yield _batch([(WORDS, chunk, i, None, None, None, None, None, _pack_keys(uniq[x:y]), _pack(count[x:y].astype(np.int32)))
                               for i, (x, y) in enumerate(zip(cut, np.append(cut[1:], len(uniq)), strict=True)) if y > x])
                 upto = np.concatenate([[0], np.cumsum(size)])
                 yield _batch([(DOC, chunk, None, ids[lo + d], fp[lo + d], bool(held[lo + d]), int(size[d]) + 1, int(symbol[d]),
@@ -179,7 +190,7 @@ def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
         for i in range(buckets):
             rows = order[cut[i]: cut[i + 1]]
             if len(rows):
-                yield _batch([(GRAMS, None, i, None, None, None, None, None, _pack(keys[rows]), _pack(counts[rows].astype(np.int32)))])
+                yield _batch([(GRAMS, None, i, None, None, None, None, None, _pack_keys(keys[rows]), _pack(counts[rows].astype(np.int32)))])
     return docs.select("doc_id", "held_out", "fp", "text").mapInArrow(run, READ)
 
 
@@ -203,7 +214,7 @@ def word_answers(rows: DataFrame) -> tuple[DataFrame, int, int]:
     schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("words", pa.int64())])
 
     def answer(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, U64) for x in table.column("keys").to_pylist()]
+        keys = [_unpack_keys(x) for x in table.column("keys").to_pylist()]
         counts = [_unpack(x, np.int32).astype(np.int64) for x in table.column("counts").to_pylist()]
         all_keys, all_counts = _sum_by_key(keys, counts)
         known = int((all_counts > 0).sum())
@@ -227,7 +238,7 @@ def candidate_contexts(rows: DataFrame, least: int) -> dict[int, tuple[np.ndarra
     schema = pa.schema([("depth", pa.int32()), ("context", pa.binary()), ("next", pa.binary()), ("counts", pa.binary())])
 
     def build(table: pa.Table) -> pa.Table:
-        keys, counts = _sum_by_key([_unpack(x, U64) for x in table.column("keys").to_pylist()],
+        keys, counts = _sum_by_key([_unpack_keys(x) for x in table.column("keys").to_pylist()],
                                    [_unpack(x, np.int32).astype(np.int64) for x in table.column("counts").to_pylist()])
         out = []
         for depth in range(2, DEPTH + 1):
@@ -269,14 +280,14 @@ class Level:
         new = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
         self.ctx, self.n = ctx[new], np.add.reduceat(c, new)
         self.kinds = np.diff(np.append(new, len(ctx)))
-        self.row = np.repeat(np.arange(len(new)), self.kinds)
+        self.row = np.repeat(np.arange(len(new), dtype=np.int32), self.kinds)
         if shorter is None:  # the root, towards uniform bytes
             self.p = (c + 1) / (self.n[self.row] + 256)
             self.gain = np.full(1, np.inf)
         else:
             base = shorter.p[np.searchsorted(shorter.key, ((ctx >> U64(8)) << U64(8)) | (self.key & U64(255)))]
             n, kinds = self.n[self.row], self.kinds[self.row]
-            self.p = (c + kinds * base) / (n + kinds)
+            self.p = ((c + kinds * base) / (n + kinds)).astype(np.float32)
             self.gain = np.bincount(self.row, c * np.log2(c / n / base), minlength=len(new))
 
     def at(self, ctx: np.ndarray) -> np.ndarray:
@@ -313,16 +324,16 @@ class Tree:
             ids = np.full(len(x.ctx), -1, np.int64)
             ids[keep[d]] = states + np.arange(int(keep[d].sum()))
             if d == 0:
-                mine = np.full((1, width), self.unseen / (x.n[0] + 256))
+                mine = np.full((1, width), self.unseen / (x.n[0] + 256), np.float32)
             else:
                 parent = self.ids[d - 1][levels[d - 1].at(x.ctx[keep[d]] >> U64(8))] - self.first
-                mine = rows[-1][parent] * (x.kinds / (x.n + x.kinds))[keep[d]][:, None]
+                mine = rows[-1][parent] * (x.kinds / (x.n + x.kinds))[keep[d]][:, None].astype(np.float32)
             entry = keep[d][x.row]
             mine[ids[x.row[entry]] - states, self.symbol[x.next[entry]]] = x.p[entry]
             rows.append(mine)
             self.ids.append(ids)
             self.first, states = states, states + len(mine)
-        self.log10 = np.log10(np.concatenate(rows)).astype(np.float32)
+        self.log10 = np.log10(np.concatenate(rows))
         self.states = states
         self.move = self._moves(levels, keep)
 

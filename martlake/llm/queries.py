@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import decontam, fingerprints, jaccard, langid, lm, packing, sharding
+from martlake.llm import decontam, fingerprints, jaccard, langid, lm, packing, quality, sharding, warc
 from martlake.llm.text import table
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -97,7 +97,7 @@ FROM d LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
 
 @query("op7_winnowing", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("fp")
 
 
 @query("op8_best_fit")
@@ -107,9 +107,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_cross_parsing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(table(spark, sf_dir, "documents"))
+    return langid.identify(table(spark, sf_dir, "documents")).drop("fp")
 
 
 @query("op10_suffix_tree")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op2_warc_index")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_empirical_bayes")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("fp")

@@ -124,6 +124,17 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
+def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id, hash of the text (``fp``) and text; id and hash tell rows apart."""
+    return texts(df, id_col, text_col).withColumn("fp", F.xxhash64("text"))
+
+
+def without(df: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``df`` without the rows whose (doc_id, fp) is in ``rejected``; all columns stay."""
+    bad = rejected.select(F.col("doc_id").alias("_bad_id"), F.col("fp").alias("_bad_fp")).distinct()
+    return df.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_fp")), "left_anti")
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path (full URI) under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex[:12]}"
