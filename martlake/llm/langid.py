@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.automata import columns, stretches, suffix_automaton
+from martlake.llm.text import without
 
 STRETCH = 512
 UND = "und"

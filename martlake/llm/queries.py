@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import decontam, fingerprints, jaccard, langid, lm, packing, quality, sharding, warc
+from martlake.llm import decontam, fingerprints, jaccard, langid, lm, packing, quality, sharding, toxicity, warc
 from martlake.llm.text import table
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -124,3 +124,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_empirical_bayes")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("fp")
+
+
+@query("op3_ordinal_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
