@@ -160,7 +160,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict[int
 
 
 def severity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
-             least: float = 0.5) -> DataFrame:
+             least: float = 0.25) -> DataFrame:
     """(doc_id, severity, p_toxic, toxic) of every row of ``df``."""
     docs = texts(df, id_col, text_col)
     model = df.sparkSession.sparkContext.broadcast(fit(docs, labels, label))
