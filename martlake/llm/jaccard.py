@@ -36,8 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.components import components
-from martlake.llm.text import (GOLDEN, LOWER, SPACED, U64, blocks, bloom_bits, bloom_has, gram_hashes, mix64, saved,
-                               texts, word_hashes, word_spans)
+from martlake.llm.text import (LOWER, SPACED, U64, blocks, bloom_bits, bloom_has, gram_hashes, may_repeat,
+                               repeated_bits, saved, texts, word_hashes, word_spans)
 
 SKETCH_BITS = 22
 SHARED = 3  # n-grams of the prefixes that a link must share
@@ -132,10 +132,29 @@ def class_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, cls long, prefix array<long>")
 
 
+def repeated_grams(classes: DataFrame) -> DataFrame:
+    """(cls, n, gram) of the classes' first n-grams, without most of those that only
+    one class has (a bitmap of fixed size knows them); the joins behind are exact."""
+    seen = classes.sparkSession.sparkContext.broadcast(repeated_bits(classes, "prefix"))
+
+    def run(it):
+        for b in it:
+            lists = b.column(2)
+            gram = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(b.num_rows), size)
+            keep = may_repeat(seen.value, gram)
+            take = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(gram[keep])],
+                                             ["cls", "n", "gram"])
+    return classes.select("cls", "n", "prefix").mapInArrow(run, "cls long, n long, gram long")
+
+
 def segments(docs: DataFrame, ids: DataFrame, n: int, levels, fragments: int) -> DataFrame:
     """(cls, f, keys) of the classes in ``ids`` (cls, doc_id): a set's order keys
     cut at the global order's pivots. A bitmap of fixed size drops most other
-    texts before they are read; the join then is exact."""
+    texts before they are read; the few that pass are not asked for later (a
+    class may appear more than once, always with the same keys)."""
     sc = docs.sparkSession.sparkContext
     seen = sc.broadcast(bloom_bits(ids, "doc_id"))
 
@@ -146,26 +165,22 @@ def segments(docs: DataFrame, ids: DataFrame, n: int, levels, fragments: int) ->
             valid = ~np.asarray(b.column(0).is_null())
             keep[valid] = bloom_has(seen.value, b.column(0).drop_null().to_numpy(zero_copy_only=False))
             b = b.filter(pa.array(keep))
-            for lo, hi, data, off in blocks(b.column(1)):
-                out_id, out_cls, out_f, out_keys = [], [], [], []
-                for d, keys in zip(b.column(0).slice(lo, hi - lo).to_pylist(), order_keys(*_words(data, off), n, lev),
-                                   strict=True):
+            for _, _, data, off in blocks(b.column(1)):
+                out_cls, out_f, out_keys = [], [], []
+                for keys in order_keys(*_words(data, off), n, lev):
                     if not len(keys):
                         continue
                     cls, f = _digest(keys), _fragment(keys, fragments)
                     cuts = np.searchsorted(f, np.arange(fragments + 1))
                     for i in range(fragments):
                         if cuts[i + 1] > cuts[i]:
-                            out_id.append(d)
                             out_cls.append(cls)
                             out_f.append(i)
                             out_keys.append(keys[cuts[i]: cuts[i + 1]])
-                yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(out_cls, pa.int64()),
-                                                  pa.array(out_f, pa.int32()), _lists(out_keys)],
-                                                 ["doc_id", "cls", "f", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(out_cls, pa.int64()), pa.array(out_f, pa.int32()),
+                                                  _lists(out_keys)], ["cls", "f", "keys"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, cls long, f int, keys array<long>")
-    return found.join(ids, ["doc_id", "cls"], "left_semi").select("cls", "f", "keys").dropDuplicates(["cls", "f"])
+    return docs.select("doc_id", "text").mapInArrow(run, "cls long, f int, keys array<long>")
 
 
 def _fragment(keys: np.ndarray, fragments: int) -> np.ndarray:
@@ -181,7 +196,8 @@ def confirmed(pairs: DataFrame, segs: DataFrame, sizes: DataFrame, percent: int,
     left = segs.select(F.col("cls").alias("a"), "f", F.col("keys").alias("ka"))
     right = segs.select(F.col("cls").alias("b"), "f", F.col("keys").alias("kb"))
     partial = each.join(left, ["a", "f"]).join(right, ["b", "f"]) \
-        .select("a", "b", F.size(F.array_intersect("ka", "kb")).alias("part"))
+        .select("a", "b", "f", F.size(F.array_intersect("ka", "kb")).alias("part")) \
+        .groupBy("a", "b", "f").agg(F.max("part").alias("part"))
     sa, sb = (sizes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
     both = partial.groupBy("a", "b").agg(F.sum("part").alias("overlap")).join(sa, "a").join(sb, "b")
     return both.where(F.col("overlap") * 100 >= (F.col("na") + F.col("nb") - F.col("overlap")) * percent) \
@@ -199,7 +215,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     .groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
                                         F.first("prefix").alias("prefix")), "classes")
     sizes = classes.select("cls", "n")
-    prefix = classes.select("cls", "n", F.explode("prefix").alias("gram"))
+    prefix = repeated_grams(classes)
     stars = prefix.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high")) \
         .where(F.col("low") != F.col("high"))
     shared = saved(prefix.join(stars, "gram"), "shared")

@@ -197,3 +197,62 @@ def bloom_has(seen: np.ndarray, x: np.ndarray) -> np.ndarray:
     idx = np.flatnonzero(hit)
     hit[idx] = seen[b[idx]]
     return hit
+
+
+REPEAT_BITS = 1 << 27
+
+
+def _bit(packed: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 != 0
+
+
+def _set(packed: np.ndarray, slot: np.ndarray) -> None:
+    np.bitwise_or.at(packed, slot >> 3, np.uint8(1) << (slot & 7).astype(np.uint8))
+
+
+def repeat_slots(x: np.ndarray, bits: int) -> np.ndarray:
+    return (mix64(x.view(U64) + M2) & U64(bits - 1)).astype(np.int64)
+
+
+def repeated_bits(df: DataFrame, col: str, bits: int = REPEAT_BITS) -> np.ndarray:
+    """Packed bitmap of fixed size (``bits``/8 bytes) of the values of an array<long>
+    column that may occur in it more than once: no repeated value is missed, a
+    few single ones pass. A prefilter in front of an exact join."""
+    schema = pa.schema([("once", pa.binary()), ("twice", pa.binary())])
+
+    def packed(once, twice):
+        return pa.RecordBatch.from_pydict({"once": [zlib.compress(once.tobytes(), 1)], "twice": [zlib.compress(twice.tobytes(), 1)]},
+                                          schema=schema)
+
+    def mark(it):
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        for b in it:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            slot, n = np.unique(repeat_slots(x, bits), return_counts=True)
+            _set(twice, slot[(n > 1) | _bit(once, slot)])
+            _set(once, slot)
+        yield packed(once, twice)
+
+    def merge(it):
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        for b in it:
+            for o, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                more = np.frombuffer(zlib.decompress(o), np.uint8)
+                twice |= np.frombuffer(zlib.decompress(t), np.uint8)
+                twice |= once & more
+                once |= more
+        yield packed(once, twice)
+
+    ddl = "once binary, twice binary"
+    parts = df.select(col).mapInArrow(mark, ddl).coalesce(4).mapInArrow(merge, ddl)
+    once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+    for r in parts.toLocalIterator():  # at most 4 rows of fixed size
+        more = np.frombuffer(zlib.decompress(r.once), np.uint8)
+        twice |= np.frombuffer(zlib.decompress(r.twice), np.uint8)
+        twice |= once & more
+        once |= more
+    return twice
+
+
+def may_repeat(packed: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return _bit(packed, repeat_slots(x, len(packed) * 8))
