@@ -26,7 +26,6 @@ training token the base and the model are uniform.
 
 from __future__ import annotations
 
-import functools
 import math
 import zlib
 
@@ -43,7 +42,8 @@ DEPTH = 7
 MIN_SHARE = 4e-6
 MIN_COUNT = 8
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
-CHUNK = 16 << 20
+CHUNK = 12 << 20
+HELD_KEYS = 3_000_000  # distinct contexts that a task keeps before it passes them on
 STRETCH = 512
 END = 0x0A
 
@@ -100,15 +100,16 @@ class Grams:
     def add(self, keys: np.ndarray) -> None:
         k, c = np.unique(keys, return_counts=True)
         self.keys.append(k)
-        self.counts.append(c)
+        self.counts.append(c.astype(np.int32))
         self.waiting += len(k)
-        if self.waiting > 2_000_000:
+        if self.waiting > HELD_KEYS // 3:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.keys:
-            return np.zeros(0, U64), np.zeros(0, np.int64)
+            return np.zeros(0, U64), np.zeros(0, np.int32)
         k, c = _sum_by_key(self.keys, self.counts)
+        c = c.astype(np.int32)
         self.keys, self.counts, self.waiting = [k], [c], 0
         return k, c
 
@@ -150,6 +151,16 @@ def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
     words as positions in its chunk's word list), WORDS (a chunk's distinct word
     hashes and training counts, by bucket), GRAMS (a task's byte contexts with
     counts, by the two nearest bytes)."""
+    def grams_out(grams: Grams):
+        keys, counts = grams.merge()
+        pair = (keys >> U64(48)).astype(np.int64) * 40503 % 65536 * buckets // 65536
+        order = np.argsort(pair, kind="stable")
+        cut = np.searchsorted(pair[order], np.arange(buckets + 1))
+        for i in range(buckets):
+            rows = order[cut[i]: cut[i + 1]]
+            if len(rows):
+                yield _batch([(GRAMS, None, i, None, None, None, None, None, _pack_keys(keys[rows]), _pack(counts[rows]))])
+
     def run(it):
         part = TaskContext.get().partitionId()
         grams, nth = Grams(), 0
@@ -173,6 +184,9 @@ def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
                     at = np.flatnonzero(np.cumsum(own[:-1]))
                     if len(at):
                         grams.add(context_keys(text, at))
+                        if len(grams.keys[0]) > HELD_KEYS:
+                            yield from grams_out(grams)
+                            grams = Grams()
                 size, symbol = np.concatenate(sizes), np.concatenate(symbols)
                 uniq, back = np.unique(np.concatenate(hashes), return_inverse=True)
                 train = np.repeat(~held[lo:hi], size)
@@ -183,14 +197,7 @@ def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
                 upto = np.concatenate([[0], np.cumsum(size)])
                 yield _batch([(DOC, chunk, None, ids[lo + d], fp[lo + d], bool(held[lo + d]), int(size[d]) + 1, int(symbol[d]),
                                _pack(back[upto[d]: upto[d + 1]].astype(np.uint32)), None) for d in range(hi - lo)])
-        keys, counts = grams.merge()
-        pair = (keys >> U64(48)).astype(np.int64) * 40503 % 65536 * buckets // 65536
-        order = np.argsort(pair, kind="stable")
-        cut = np.searchsorted(pair[order], np.arange(buckets + 1))
-        for i in range(buckets):
-            rows = order[cut[i]: cut[i + 1]]
-            if len(rows):
-                yield _batch([(GRAMS, None, i, None, None, None, None, None, _pack_keys(keys[rows]), _pack(counts[rows].astype(np.int32)))])
+        yield from grams_out(grams)
     return docs.select("doc_id", "held_out", "fp", "text").mapInArrow(run, READ)
 
 
@@ -319,7 +326,7 @@ class Tree:
         self.unseen = max(1, 256 - len(self.seen))
         self.symbol = np.full(256, width - 1, np.int32)
         self.symbol[self.seen] = np.arange(len(self.seen))
-        self.ids, rows, states = [], [], 0
+        self.ids, rows, states = [], [], 0  # ids, like levels, are only needed here
         for d, x in enumerate(levels):
             ids = np.full(len(x.ctx), -1, np.int64)
             ids[keep[d]] = states + np.arange(int(keep[d].sum()))
@@ -335,7 +342,8 @@ class Tree:
             self.first, states = states, states + len(mine)
         self.log10 = np.log10(np.concatenate(rows))
         self.states = states
-        self.move = self._moves(levels, keep)
+        self._flat(self._moves(levels, keep))
+        del self.ids
 
     def _moves(self, levels: list[Level], keep: list[np.ndarray]) -> np.ndarray:
         """Next state: the longest retained suffix of the state's context and the byte."""
@@ -349,27 +357,26 @@ class Tree:
                     move[rows, s] = np.where(state >= 0, state, move[rows, s])
         return move
 
-    @functools.cached_property
-    def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Tables with one more symbol behind the end: stays, costs nothing."""
-        pad_move = np.concatenate([self.move, np.arange(self.states, dtype=np.int32)[:, None]], axis=1)
-        pad_log = np.concatenate([self.log10, np.zeros((self.states, 1), np.float32)], axis=1)
-        pad_log[:, -2] -= np.float32(math.log10(self.unseen))
-        width = pad_move.shape[1]
-        return (pad_move * width).ravel().astype(np.int32), pad_log.ravel()
+    def _flat(self, move: np.ndarray) -> None:
+        """Flat tables with one more symbol behind the end: stays, costs nothing."""
+        self.log10[:, -1] -= np.float32(math.log10(self.unseen))
+        self.pad = move.shape[1]
+        self.width = self.pad + 1
+        move = np.concatenate([move, np.arange(self.states, dtype=np.int32)[:, None]], axis=1)
+        self.move = (move * self.width).ravel().astype(np.int32)
+        self.log10 = np.concatenate([self.log10, np.zeros((self.states, 1), np.float32)], axis=1).ravel()
 
     def score(self, text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """log10 probability of each document's own bytes. Stretches start DEPTH
         bytes early, after which the state doesn't depend on what came before."""
-        move, log10 = self.tables
-        pad = self.move.shape[1]
+        move, log10, pad = self.move, self.log10, self.pad
         sym = self.symbol[text]
         out = np.zeros(len(begin))
         sizes = end - begin
         doc, a, z = stretches(np.concatenate([[0], np.cumsum(sizes)]), STRETCH)
         shift = (begin - (np.cumsum(sizes) - sizes))[doc]
         a, z = a + shift, z + shift
-        lanes = 4096
+        lanes = 2048
         for i in range(0, len(doc), lanes):
             cols = columns(sym, a[i: i + lanes], z[i: i + lanes], pad, DEPTH)
             state = np.zeros(cols.shape[1], np.int32)
