@@ -18,6 +18,8 @@ How pairs are found, without emitting all pairs of a group:
 5. *Rest*: classes of different components that share ``need`` such n-grams are
    compared in full. A pair inside a component can't change it, and every other
    possible link is tested, so components are exact and no case is capped.
+6. Before a comparison, bucket counts of both sets bound the overlap from above;
+   pairs that can't be links go without their n-grams being moved.
 
 Defined cases: null text = no words; a document with fewer words than n has its
 whole word sequence as one n-gram; without words it is linked with nothing and
@@ -132,6 +134,35 @@ def class_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, cls long, prefix array<long>")
 
 
+BUCKETS = 1024
+
+
+def histograms(docs: DataFrame, ids: DataFrame, n: int, levels) -> DataFrame:
+    """(cls, hist) of the classes in ``ids``: how many of a set's order keys fall on
+    each of ``BUCKETS`` hash buckets. The sum of the smaller counts of two
+    documents bounds their overlap from above."""
+    def row(keys: np.ndarray) -> list[tuple]:
+        counts = np.bincount(((keys >> U64(46)) & U64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        return [(_digest(keys), counts.astype("<u4").tobytes())]
+    return _of_classes(docs, ids, n, levels, row, pa.schema([("cls", pa.int64()), ("hist", pa.binary())]), "cls long, hist binary")
+
+
+def possible(pairs: DataFrame, hists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bound on the overlap still allows a link."""
+    sa, sb = (sizes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
+    ha, hb = (hists.dropDuplicates(["cls"]).select(F.col("cls").alias(x), F.col("hist").alias(f"h{x}")) for x in ("a", "b"))
+    rows = pairs.join(sa, "a").join(sb, "b").join(ha, "a").join(hb, "b").select("a", "b", "na", "nb", "ha", "hb")
+
+    def run(it):
+        for b in it:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, BUCKETS) for c in ("ha", "hb"))
+            most = np.minimum(x, y).sum(axis=1).astype(np.int64)
+            both = b.column("na").to_numpy() + b.column("nb").to_numpy()
+            keep = pa.array(most * 100 >= (both - most) * percent)
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def repeated_grams(classes: DataFrame) -> DataFrame:
     """(cls, n, gram) of the classes' first n-grams, without most of those that only
     one class has (a bitmap of fixed size knows them); the joins behind are exact."""
@@ -150,37 +181,34 @@ def repeated_grams(classes: DataFrame) -> DataFrame:
     return classes.select("cls", "n", "prefix").mapInArrow(run, "cls long, n long, gram long")
 
 
-def segments(docs: DataFrame, ids: DataFrame, n: int, levels, fragments: int) -> DataFrame:
-    """(cls, f, keys) of the classes in ``ids`` (cls, doc_id): a set's order keys
-    cut at the global order's pivots. A bitmap of fixed size drops most other
-    texts before they are read; the few that pass are not asked for later (a
-    class may appear more than once, always with the same keys)."""
-    sc = docs.sparkSession.sparkContext
-    seen = sc.broadcast(bloom_bits(ids, "doc_id"))
+def _of_classes(docs: DataFrame, ids: DataFrame, n: int, levels, row, schema: pa.Schema, ddl: str) -> DataFrame:
+    """``row(keys)`` of the sets of the documents in ``ids`` (cls, doc_id). A bitmap of
+    fixed size drops most other texts before they are read; the few that pass are
+    not asked for later (a class may appear twice, always with the same rows)."""
+    seen = docs.sparkSession.sparkContext.broadcast(bloom_bits(ids, "doc_id"))
 
     def run(it):
         lev = levels.value
         for b in it:
             keep = np.zeros(b.num_rows, bool)
-            valid = ~np.asarray(b.column(0).is_null())
+            valid = ~b.column(0).is_null().to_numpy(zero_copy_only=False)
             keep[valid] = bloom_has(seen.value, b.column(0).drop_null().to_numpy(zero_copy_only=False))
-            b = b.filter(pa.array(keep))
-            for _, _, data, off in blocks(b.column(1)):
-                out_cls, out_f, out_keys = [], [], []
-                for keys in order_keys(*_words(data, off), n, lev):
-                    if not len(keys):
-                        continue
-                    cls, f = _digest(keys), _fragment(keys, fragments)
-                    cuts = np.searchsorted(f, np.arange(fragments + 1))
-                    for i in range(fragments):
-                        if cuts[i + 1] > cuts[i]:
-                            out_cls.append(cls)
-                            out_f.append(i)
-                            out_keys.append(keys[cuts[i]: cuts[i + 1]])
-                yield pa.RecordBatch.from_arrays([pa.array(out_cls, pa.int64()), pa.array(out_f, pa.int32()),
-                                                  _lists(out_keys)], ["cls", "f", "keys"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "cls long, f int, keys array<long>")
+            for _, _, data, off in blocks(b.filter(pa.array(keep)).column(1)):
+                out = [r for keys in order_keys(*_words(data, off), n, lev) if len(keys) for r in row(keys)]
+                cols = list(zip(*out, strict=True)) if out else [[]] * len(schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
+    return docs.select("doc_id", "text").mapInArrow(run, ddl)
+
+
+def segments(docs: DataFrame, ids: DataFrame, n: int, levels, fragments: int) -> DataFrame:
+    """(cls, f, keys) of the classes in ``ids``: a set's order keys cut at the global
+    order's pivots."""
+    def row(keys: np.ndarray) -> list[tuple]:
+        cls, cuts = _digest(keys), np.searchsorted(_fragment(keys, fragments), np.arange(fragments + 1))
+        return [(cls, i, keys[x:y].view(np.int64)) for i, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x]
+    return _of_classes(docs, ids, n, levels, row,
+                       pa.schema([("cls", pa.int64()), ("f", pa.int32()), ("keys", pa.list_(pa.int64()))]),
+                       "cls long, f int, keys array<long>")
 
 
 def _fragment(keys: np.ndarray, fragments: int) -> np.ndarray:
@@ -235,8 +263,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ids = shared.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")) \
         .where(F.col("k") >= F.least(_longs(SHARED), _least_overlap("n", percent))) \
         .join(classes.select("cls", "doc_id"), "cls").select("cls", "doc_id")
-    segs = saved(segments(docs, ids, n, levels, fragments), "segments")
-    links = saved(confirmed(star, segs, sizes, percent, fragments), "links")
+    hists = saved(histograms(docs, ids, n, levels), "histograms")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        near = saved(possible(pairs, hists, sizes, percent), "near")
+        ends = near.select(F.col("a").alias("cls")).unionAll(near.select(F.col("b").alias("cls"))).distinct()
+        segs = saved(segments(docs, classes.select("cls", "doc_id").join(ends, "cls"), n, levels, fragments), "segments")
+        return saved(confirmed(near, segs, sizes, percent, fragments), "links")
+
+    links = links_of(star)
     joined = components(links)
 
     left = shared.select("gram", "cls", "n").join(joined.withColumnRenamed("node", "cls"), "cls", "left") \
@@ -248,8 +283,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .groupBy("cls", "cls2", "n", "n2").agg(F.count(F.lit(1)).alias("k")) \
         .where(F.col("k") >= F.least(_longs(SHARED), F.greatest(_least_overlap("n", percent), _least_overlap("n2", percent))))
     rest = both.select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
-    more = saved(confirmed(rest, segs, sizes, percent, fragments), "links")
-    final = saved(components(links.unionAll(more)), "components")
+    final = saved(components(links.unionAll(links_of(rest))), "components")
 
     ids = classes.select("cls", "doc_id").join(final.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("cls", "doc_id", F.coalesce("component", "cls").alias("comp"))
