@@ -6,7 +6,7 @@ tokens and the other way round, so the product of the bytes' probabilities is
 the probability of the token sequence, on the same footing as the unigram base.
 
 Training counts every context of up to ``DEPTH`` bytes with its next byte over
-all training documents (exact 8-byte keys, summed in the tasks and again by the
+all training documents (exact byte keys, summed in the tasks and again by the
 two nearest bytes). Contexts with at least ``MIN_SHARE`` of all positions are
 candidates, so there are at most ``DEPTH / MIN_SHARE`` of them at any input
 size. A candidate stays when its next-byte distribution diverges from the one of
@@ -38,12 +38,12 @@ from pyspark.sql import functions as F
 from martlake.llm.automata import columns, stretches
 from martlake.llm.text import LOWER, SPACED, U64, blocks, saved, word_hashes, word_spans
 
-DEPTH = 7
-MIN_SHARE = 4e-6
+DEPTH = 6
+MIN_SHARE = 2e-6
 MIN_COUNT = 8
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
-CHUNK = 12 << 20
-HELD_KEYS = 3_000_000  # distinct contexts that a task keeps before it passes them on
+CHUNK = 8 << 20
+HELD_KEYS = 2_000_000  # distinct contexts that a task keeps before it passes them on
 STRETCH = 512
 END = 0x0A
 
@@ -76,11 +76,13 @@ def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.nd
 
 
 def context_keys(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(previous byte, the one before, ..., 7th before, own byte) from the top down."""
-    pad = np.concatenate([text, np.zeros(8, np.uint8)])
+    """(previous byte, the one before, ..., DEPTH-th before, zeros, own byte) from the top down."""
+    pad = np.concatenate([np.zeros(7, np.uint8), text])
     view = np.lib.stride_tricks.as_strided(pad, (len(text), 8), (1, 1)).view("<u8")[:, 0] if len(text) else np.zeros(0, "<u8")
-    v = view[at - DEPTH].astype(U64)
-    return (v << U64(8)) | (v >> U64(56))
+    v = view[at].astype(U64)
+    own = v >> U64(56)
+    unused = U64(8 * (8 - DEPTH))
+    return ((v << U64(8)) >> unused << unused) | own
 
 
 def _sum_by_key(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +94,7 @@ def _sum_by_key(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nd
 
 
 class Grams:
-    """Counts of 8-byte keys, merged now and then so that memory follows the distinct keys."""
+    """Counts of context keys, merged now and then so that memory follows the distinct keys."""
 
     def __init__(self):
         self.keys, self.counts, self.waiting = [], [], 0
@@ -397,7 +399,8 @@ def train(rows: DataFrame) -> Tree:
 
 
 def model_scores(docs: DataFrame, tree: Tree) -> DataFrame:
-    """(doc_id, fp, score): the model's log10 probability by id and text hash."""
+    """(doc_id, fp, score): the model's log10 probability by id and text hash, kept
+    as a table; the workers then drop the model."""
     shared = docs.sparkSession.sparkContext.broadcast(tree)
 
     def run(it):
@@ -409,7 +412,9 @@ def model_scores(docs: DataFrame, tree: Tree) -> DataFrame:
                 scores.append(model.score(*spelled(data, *word_spans(data, off, SPACED))))
             flat = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(flat, pa.float64())], ["doc_id", "fp", "score"])
-    return docs.select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, score double")
+    out = saved(docs.select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, score double"), "scores")
+    shared.destroy()
+    return out
 
 
 def base_scores(rows: DataFrame, answers: DataFrame, n: int, v: int, ends: int) -> DataFrame:
