@@ -134,16 +134,17 @@ def class_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, cls long, prefix array<long>")
 
 
-BUCKETS = 1024
+BUCKETS = 512
 
 
 def histograms(docs: DataFrame, ids: DataFrame, n: int, levels) -> DataFrame:
     """(cls, hist) of the classes in ``ids``: how many of a set's order keys fall on
     each of ``BUCKETS`` hash buckets. The sum of the smaller counts of two
-    documents bounds their overlap from above."""
+    documents bounds their overlap from above. (No counts, and so no bound, where
+    one of them needs more than 16 bits.)"""
     def row(keys: np.ndarray) -> list[tuple]:
         counts = np.bincount(((keys >> U64(46)) & U64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        return [(_digest(keys), counts.astype("<u4").tobytes())]
+        return [(_digest(keys), counts.astype("<u2").tobytes() if counts.max() < 1 << 16 else b"")]
     return _of_classes(docs, ids, n, levels, row, pa.schema([("cls", pa.int64()), ("hist", pa.binary())]), "cls long, hist binary")
 
 
@@ -154,12 +155,19 @@ def possible(pairs: DataFrame, hists: DataFrame, sizes: DataFrame, percent: int)
     rows = pairs.join(sa, "a").join(sb, "b").join(ha, "a").join(hb, "b").select("a", "b", "na", "nb", "ha", "hb")
 
     def run(it):
-        for b in it:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, BUCKETS) for c in ("ha", "hb"))
-            most = np.minimum(x, y).sum(axis=1).astype(np.int64)
-            both = b.column("na").to_numpy() + b.column("nb").to_numpy()
-            keep = pa.array(most * 100 >= (both - most) * percent)
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
+        for whole in it:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                both = b.column("na").to_numpy() + b.column("nb").to_numpy()
+                most = both.copy()
+                pairs_of = list(zip(b.column("ha").to_pylist(), b.column("hb").to_pylist(), strict=True))
+                known = np.array([len(x) > 0 and len(y) > 0 for x, y in pairs_of], bool)
+                if known.any():
+                    x, y = (np.frombuffer(b"".join(p[i] for p, k in zip(pairs_of, known, strict=True) if k), "<u2")
+                            .reshape(-1, BUCKETS) for i in (0, 1))
+                    most[known] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                keep = pa.array(most * 100 >= (both - most) * percent)
+                yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
     return rows.mapInArrow(run, "a long, b long")
 
 
