@@ -81,9 +81,12 @@ class Model:
             codes = np.concatenate([_codes(t + " ") for t in sample[lang]] or [np.zeros(0, "<u4")])
             sym = _symbols(codes, np.array([0, len(codes)]), self.lut)[0][:budget]
             moves = suffix_automaton(sym.tolist(), ALPHABET)
+            # after a symbol that the labelled text lacks, in the last state, nothing continues
+            moves = np.concatenate([moves, np.full((1, ALPHABET), -1)])
             fail = moves < 0
-            start = np.where(moves[0] < 0, 0, moves[0])
+            start = np.where(fail[0], len(moves) - 1, moves[0])
             moves = np.where(fail, start[None, :], moves) + rows
+            fail[0] = False  # the first phrase is counted from the beginning
             entry = (moves * ALPHABET << 1) | fail
             entry[:, ALPHABET - 1] = (np.arange(len(moves)) + rows) * ALPHABET << 1
             tables.append(entry)
