@@ -69,7 +69,7 @@ def freshness_of_tables(spark, tables: dict[str, tuple[str, str]], as_of: str,
             df.select(col).schema  # resolve the column now
             frames[name] = (df, col)
         except Exception as e:  # noqa: BLE001 - reported per table, as a stale row
-            broken.append((name, str(e).splitlines()[0][:200]))
+            broken.append((name, str(e)))
     parts = [freshness(frames, as_of, limit_hours)] if frames else []
     if broken:
         parts.append(spark.createDataFrame(

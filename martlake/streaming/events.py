@@ -49,8 +49,9 @@ def write_files(stream: DataFrame, sink: str, checkpoint: str, available_now: bo
     return w.start(sink)
 
 
-def run_to_completion(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int = 600) -> dict:
-    """Drain everything available, then stop. Returns batch count and input rows."""
+def run_to_completion(stream: DataFrame, sink: str, checkpoint: str, timeout_s: int | None = None) -> dict:
+    """Drain everything available, then stop. Returns batch count and input rows.
+    Without ``timeout_s`` a backlog may take as long as it needs."""
     q = write_files(stream, sink, checkpoint, available_now=True)
     q.awaitTermination(timeout_s)
     if q.isActive:
