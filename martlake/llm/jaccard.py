@@ -13,13 +13,16 @@ How pairs are found, without emitting all pairs of a group:
 2. Documents with equal sets collapse into one class (digest of the set).
 3. A class emits its first n-grams in the global order, so many that two linked
    classes must share at least ``need`` of them. N-grams of a single class go.
-4. *Stars*: in every n-gram's bucket the classes are compared with the bucket's
-   smallest and largest class only. Confirmed links give components.
+4. *Stars*: in every n-gram's bucket the classes are compared with two of them
+   only, the smallest and the most central one (the largest part of its first
+   n-grams is shared: the least edited copy). Confirmed links give components.
 5. *Rest*: classes of different components that share ``need`` such n-grams are
    compared in full. A pair inside a component can't change it, and every other
    possible link is tested, so components are exact and no case is capped.
-6. Before a comparison, bucket counts of both sets bound the overlap from above;
-   pairs that can't be links go without their n-grams being moved.
+   Buckets whose classes are all of one component go before that.
+6. Before a comparison, parity sketches of both sets (``ODD_BITS`` bits) bound the
+   size of their symmetric difference from below; pairs that can't be links go
+   inside the join, before they are a row.
 
 Defined cases: null text = no words; a document with fewer words than n has its
 whole word sequence as one n-gram; without words it is linked with nothing and
@@ -118,9 +121,27 @@ def _longs(n) -> Column:
     return F.lit(n).cast("long")
 
 
+ODD_BITS = 512
+
+
+def odd_sketch(keys: np.ndarray) -> np.ndarray:
+    """Bit b: the number of order keys whose hash falls on b is odd. Every key that
+    only one of two sets has flips one bit, so the number of bits in which two
+    sketches differ is at most the size of the symmetric difference."""
+    counts = np.bincount(((keys >> U64(46)) & U64(ODD_BITS - 1)).astype(np.int64), minlength=ODD_BITS)
+    return np.packbits((counts & 1).astype(bool)).view(np.int64)
+
+
+def may_link(na: str, nb: str, odd_a: str, odd_b: str, percent: int) -> Column:
+    """False only where the sketches prove that the pair is no link:
+    100 * overlap >= percent * union means (100 + percent) * difference <= (100 - percent) * (na + nb)."""
+    apart = sum((F.bit_count(F.col(odd_a)[i].bitwiseXOR(F.col(odd_b)[i])) for i in range(ODD_BITS // 64)), F.lit(0))
+    return apart * (100 + percent) <= (F.col(na) + F.col(nb)) * (100 - percent)
+
+
 def class_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """(doc_id, n_shingles, cls, prefix): the set's size, its digest, and its
-    first ``size - ceil(percent% of size) + SHARED`` order keys."""
+    """(doc_id, n_shingles, cls, prefix, odd): the set's size, its digest, its first
+    ``size - ceil(percent% of size) + SHARED`` order keys and its parity sketch."""
     def run(it):
         lev = levels.value
         for b in it:
@@ -129,51 +150,24 @@ def class_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
             cut = [k[: len(k) + (-percent * len(k) // 100) + SHARED] for k in sets]
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array(sizes, pa.int64()),
-                pa.array([_digest(k) if len(k) else None for k in sets], pa.int64()), _lists(cut)],
-                ["doc_id", "n_shingles", "cls", "prefix"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, cls long, prefix array<long>")
-
+                pa.array([_digest(k) if len(k) else None for k in sets], pa.int64()), _lists(cut),
+                _lists([odd_sketch(k) for k in sets])],
+                ["doc_id", "n_shingles", "cls", "prefix", "odd"])
+    return docs.select("doc_id", "text") \
+        .mapInArrow(run, "doc_id long, n_shingles long, cls long, prefix array<long>, odd array<long>")
 
-BUCKETS = 512
 
-
-def histograms(docs: DataFrame, ids: DataFrame, n: int, levels) -> DataFrame:
-    """(cls, hist) of the classes in ``ids``: how many of a set's order keys fall on
-    each of ``BUCKETS`` hash buckets. The sum of the smaller counts of two
-    documents bounds their overlap from above. (No counts, and so no bound, where
-    one of them needs more than 16 bits.)"""
-    def row(keys: np.ndarray) -> list[tuple]:
-        counts = np.bincount(((keys >> U64(46)) & U64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        return [(_digest(keys), counts.astype("<u2").tobytes() if counts.max() < 1 << 16 else b"")]
-    return _of_classes(docs, ids, n, levels, row, pa.schema([("cls", pa.int64()), ("hist", pa.binary())]), "cls long, hist binary")
-
-
-def possible(pairs: DataFrame, hists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose bound on the overlap still allows a link."""
-    sa, sb = (sizes.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}")) for x in ("a", "b"))
-    ha, hb = (hists.dropDuplicates(["cls"]).select(F.col("cls").alias(x), F.col("hist").alias(f"h{x}")) for x in ("a", "b"))
-    rows = pairs.join(sa, "a").join(sb, "b").join(ha, "a").join(hb, "b").select("a", "b", "na", "nb", "ha", "hb")
-
-    def run(it):
-        for whole in it:
-            for at in range(0, whole.num_rows, 1024):
-                b = whole.slice(at, 1024)
-                both = b.column("na").to_numpy() + b.column("nb").to_numpy()
-                most = both.copy()
-                pairs_of = list(zip(b.column("ha").to_pylist(), b.column("hb").to_pylist(), strict=True))
-                known = np.array([len(x) > 0 and len(y) > 0 for x, y in pairs_of], bool)
-                if known.any():
-                    x, y = (np.frombuffer(b"".join(p[i] for p, k in zip(pairs_of, known, strict=True) if k), "<u2")
-                            .reshape(-1, BUCKETS) for i in (0, 1))
-                    most[known] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-                keep = pa.array(most * 100 >= (both - most) * percent)
-                yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
-    return rows.mapInArrow(run, "a long, b long")
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches still allow a link."""
+    sa, sb = (sketches.select(F.col("cls").alias(x), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"odd{x}"))
+              for x in ("a", "b"))
+    return pairs.join(sa, "a").join(sb, "b").where(may_link("na", "nb", "odda", "oddb", percent)).select("a", "b")
 
 
 def repeated_grams(classes: DataFrame) -> DataFrame:
-    """(cls, n, gram) of the classes' first n-grams, without most of those that only
-    one class has (a bitmap of fixed size knows them); the joins behind are exact."""
+    """(cls, n, gram, central) of the classes' first n-grams, without most of those
+    that only one class has (a bitmap of fixed size knows them); the joins behind
+    are exact. ``central``: the part of the class's first n-grams that stayed."""
     seen = classes.sparkSession.sparkContext.broadcast(repeated_bits(classes, "prefix"))
 
     def run(it):
@@ -183,10 +177,11 @@ def repeated_grams(classes: DataFrame) -> DataFrame:
             size = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(b.num_rows), size)
             keep = may_repeat(seen.value, gram)
+            central = np.bincount(row[keep], minlength=b.num_rows) / np.maximum(size, 1)
             take = pa.array(row[keep])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(gram[keep])],
-                                             ["cls", "n", "gram"])
-    return classes.select("cls", "n", "prefix").mapInArrow(run, "cls long, n long, gram long")
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(gram[keep]),
+                                              pa.array(central[row[keep]], pa.float64())], ["cls", "n", "gram", "central"])
+    return classes.select("cls", "n", "prefix").mapInArrow(run, "cls long, n long, gram long, central double")
 
 
 def _of_classes(docs: DataFrame, ids: DataFrame, n: int, levels, row, schema: pa.Schema, ddl: str) -> DataFrame:
@@ -249,12 +244,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = saved(class_rows(docs, n, percent, levels), "sets")
     classes = saved(rows.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
                     .groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
-                                        F.first("prefix").alias("prefix")), "classes")
-    sizes = classes.select("cls", "n")
+                                        F.first("prefix").alias("prefix"), F.first("odd").alias("odd")), "classes")
+    sizes, sketches = classes.select("cls", "n"), classes.select("cls", "n", "odd")
     prefix = repeated_grams(classes)
-    stars = prefix.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high")) \
-        .where(F.col("low") != F.col("high"))
-    shared = saved(prefix.join(stars, "gram"), "shared")
+    stars = prefix.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high"),
+                                       F.max(F.struct("central", "cls"))["cls"].alias("centre")) \
+        .where(F.col("low") != F.col("high")).drop("high")
+    shared = saved(prefix.drop("central").join(stars, "gram"), "shared")
 
     def fits(x: str, y: str) -> Column:
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
@@ -263,18 +259,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
     hubs = shared.select(F.col("low").alias("hub"), "cls", "n") \
-        .unionAll(shared.select(F.col("high").alias("hub"), "cls", "n")).where(F.col("hub") != F.col("cls"))
+        .unionAll(shared.select(F.col("centre").alias("hub"), "cls", "n")).where(F.col("hub") != F.col("cls"))
     star = hubs.groupBy("hub", "cls", "n").agg(F.count(F.lit(1)).alias("k")) \
         .join(sizes.select(F.col("cls").alias("hub"), F.col("n").alias("nh")), "hub") \
         .where(fits("n", "nh") & (F.col("k") >= F.least(_longs(SHARED), "n", "nh"))) \
         .select(*pair("hub", "cls")).distinct()
-    ids = shared.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")) \
-        .where(F.col("k") >= F.least(_longs(SHARED), _least_overlap("n", percent))) \
-        .join(classes.select("cls", "doc_id"), "cls").select("cls", "doc_id")
-    hists = saved(histograms(docs, ids, n, levels), "histograms")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        near = saved(possible(pairs, hists, sizes, percent), "near")
+        near = saved(possible(pairs, sketches, percent), "near")
         ends = near.select(F.col("a").alias("cls")).unionAll(near.select(F.col("b").alias("cls"))).distinct()
         segs = saved(segments(docs, classes.select("cls", "doc_id").join(ends, "cls"), n, levels, fragments), "segments")
         return saved(confirmed(near, segs, sizes, percent, fragments), "links")
@@ -282,12 +274,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = links_of(star)
     joined = components(links)
 
-    left = shared.select("gram", "cls", "n").join(joined.withColumnRenamed("node", "cls"), "cls", "left") \
+    open_ = shared.select("gram", "cls", "n").join(joined.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("gram", "cls", "n", F.coalesce("component", "cls").alias("comp"))
-    left = saved(left, "rest")
-    right = left.toDF("gram2", "cls2", "n2", "comp2")
+    mixed = open_.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where(F.col("x") != F.col("y"))
+    open_ = open_.join(mixed.select("gram"), "gram", "left_semi")
+    enough = open_.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")) \
+        .where(F.col("k") >= F.least(_longs(SHARED), _least_overlap("n", percent))).select("cls")
+    left = saved(open_.join(enough.join(sketches.select("cls", "odd"), "cls"), "cls"), "rest") \
+        .select("gram", "cls", "n", "comp", "odd")
+    right = left.toDF("gram2", "cls2", "n2", "comp2", "odd2")
     both = left.join(right, (F.col("gram") == F.col("gram2")) & (F.col("cls") < F.col("cls2"))
-                     & (F.col("comp") != F.col("comp2")) & fits("n", "n2")) \
+                     & (F.col("comp") != F.col("comp2")) & fits("n", "n2")
+                     & may_link("n", "n2", "odd", "odd2", percent)) \
         .groupBy("cls", "cls2", "n", "n2").agg(F.count(F.lit(1)).alias("k")) \
         .where(F.col("k") >= F.least(_longs(SHARED), F.greatest(_least_overlap("n", percent), _least_overlap("n2", percent))))
     rest = both.select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
