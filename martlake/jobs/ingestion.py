@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from martlake.operators import checks as C
 from martlake.operators import control as CT
+from martlake.operators.dedup import latest_by_key
 from martlake.sinks import lake as L
 from martlake.sources.files import incremental_scan
 
@@ -42,7 +43,8 @@ def run_full_ingestion(spark: SparkSession, entities: list[EntitySpec], lake_roo
                        default_date: str) -> DataFrame:
     """Extract -> stage -> checks -> gate (all checks first) -> lake + tables.
 
-    Returns one row per entity: name and rows published.
+    Every run replaces the whole table, date folders without new rows included.
+    Returns one row per entity: name and rows of the published table.
     """
     staged, results = {}, []
     for spec in entities:
@@ -56,10 +58,10 @@ def run_full_ingestion(spark: SparkSession, entities: list[EntitySpec], lake_roo
     rows = []
     for spec in entities:
         path = f"{lake_root}/raw/{spec.name}"
-        obs = L.write_partitioned(staged[spec.name], path, spec.date_column, default_date,
-                                  metadata={"source": spec.name, "ingestion_date": default_date})
+        L.write_partitioned(staged[spec.name], path, spec.date_column, default_date, replace=True,
+                            metadata={"source": spec.name, "ingestion_date": default_date})
         L.register_table(spark, f"raw_{spec.name}", path)
-        rows.append((spec.name, int(obs.get.get("rows", 0))))
+        rows.append((spec.name, spark.table(f"raw_{spec.name}").count()))
     return spark.createDataFrame(rows, "entity string, rows_loaded bigint")
 
 
@@ -74,31 +76,31 @@ def run_entity_load(spark: SparkSession, spec: EntitySpec, lake_root: str, defau
     return (spec.name, "loaded", int(obs.get.get("rows", 0)))
 
 
-MONTH = "_month"
-
-
 def run_incremental(spark: SparkSession, source: DataFrame, target_path: str, batches_path: str,
                     marks_path: str, pipeline: str, table: str, key: list[str], mark_column: str,
-                    window_end: str, default_start: str) -> dict:
+                    window_end: str, default_start: str, buckets: int = 64) -> dict:
     """Mark lookup -> window scan (pushed to the scan) -> idempotent batch
     write -> upsert into the target -> mark := window end (written last).
 
-    The target is partitioned by the month of the mark column; the upsert
-    reads and rewrites only the months present in the batch.
+    The target is partitioned by key bucket, so a row whose mark moves replaces
+    its older version; the upsert reads and rewrites only the buckets present in
+    the batch. Of rows that repeat a key the one with the greatest mark stays, in
+    the first load too.
     """
     marks = _read_or_empty(spark, marks_path, CT.MARK_SCHEMA)
     mark = CT.mark_value(marks, pipeline, table) or default_start
     window = incremental_scan(source, mark_column, mark).filter(
         F.col(mark_column) <= F.lit(window_end).cast("timestamp_ntz"))
-    batch = L.stage(window.withColumn(MONTH, F.date_format(mark_column, "yyyy-MM")), f"batch_{table}")
+    batch = L.stage(window.withColumn(L.BUCKET, L.key_bucket(key, buckets)), f"batch_{table}")
     n = batch.count()
     bid = None
     if n:
-        bid = L.write_incremental(batch.drop(MONTH), batches_path, mark_column, pipeline)
+        bid = L.write_incremental(batch.drop(L.BUCKET), batches_path, mark_column, pipeline)
         if _exists(spark, target_path):
-            L.merge_partitions(spark, target_path, batch, key, [MONTH], order_by=[mark_column])
+            L.merge_partitions(spark, target_path, batch, key, [L.BUCKET], order_by=[mark_column])
         else:
-            batch.write.mode("overwrite").partitionBy(MONTH).parquet(target_path)
+            first = latest_by_key(batch, key, [mark_column])
+            first.repartition(L.BUCKET).write.mode("overwrite").partitionBy(L.BUCKET).parquet(target_path)
     new_mark = spark.createDataFrame([(pipeline, table, window_end, window_end)],
                                      "pipeline_name string, table_name string, watermark_value string, "
                                      "updated_at string") \
@@ -108,7 +110,7 @@ def run_incremental(spark: SparkSession, source: DataFrame, target_path: str, ba
 
 
 def read_target(spark: SparkSession, target_path: str) -> DataFrame:
-    return spark.read.parquet(target_path).drop(MONTH)
+    return spark.read.parquet(target_path).drop(L.BUCKET)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -22,7 +22,10 @@ SCD_COLUMNS = (VALID_FROM, VALID_TO, IS_CURRENT, SURROGATE)
 
 
 def surrogate_key(keys: list[str], valid_from) -> F.Column:
-    parts = [F.col(k).cast("string") for k in keys] + [F.date_format(valid_from, "yyyy-MM-dd HH:mm:ss")]
+    """Hash of the key's texts and ``valid_from``. Colons and backslashes in a text are
+    escaped and a null is ``\\N``, so different keys never give one text."""
+    parts = [F.coalesce(F.regexp_replace(F.col(k).cast("string"), r"([\\:])", r"\\$1"), F.lit("\\N"))
+             for k in keys] + [F.date_format(valid_from, "yyyy-MM-dd HH:mm:ss")]
     return F.sha2(F.concat_ws(":", *parts), 256)
 
 

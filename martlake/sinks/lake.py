@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,9 +67,11 @@ def with_date_partitions(df: DataFrame, date_col: str | None, default_date: str
 
 def write_partitioned(df: DataFrame, path: str, date_col: str | None, default_date: str | None = None,
                       mode: str = "overwrite", compression: str = "snappy",
-                      metadata: dict[str, str] | None = None) -> Observation:
+                      metadata: dict[str, str] | None = None, replace: bool = False) -> Observation:
     """Write ``df`` under year/month/day folders; returns the row-count observation.
 
+    ``mode="overwrite"`` replaces the date folders that ``df`` has rows for;
+    with ``replace`` the whole table, so that folders without rows go too.
     With ``metadata`` (ingestion time, source, custom keys), a one-row
     ``_manifest`` record is written next to the data with the row count the
     write observed; readers skip ``_``-prefixed folders.
@@ -76,7 +80,7 @@ def write_partitioned(df: DataFrame, path: str, date_col: str | None, default_da
     out = spread_for_write(with_date_partitions(df, date_col, default_date), PARTS)
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     (out.write.mode(mode).option("compression", compression)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path))
+     .option("partitionOverwriteMode", "static" if replace else "dynamic").partitionBy(*PARTS).parquet(path))
     if metadata is not None:
         write_manifest(df.sparkSession, path, {**metadata, "row_count": str(obs.get.get("rows", 0))})
     return obs
@@ -139,11 +143,17 @@ def full_refresh(df: DataFrame, path: str, table: str | None = None) -> int:
 
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:
-    """External Parquet table over ``path`` (data stays in shared storage)."""
+    """External Parquet table over ``path`` (data stays in shared storage), with
+    its partitions. A managed table of that name is an error: dropping it would
+    delete its data."""
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED":
+        raise ValueError(f"{table} is a managed table; drop it first if its data may go")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.catalog.createTable(table, path=path, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
 
 
 def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
@@ -151,13 +161,15 @@ def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: lis
     """Upsert ``batch`` into the partitioned Parquet table at ``path``.
 
     Keys must not move between partitions (the partition columns are a
-    function of the key's row). Only the partitions present in the batch are
-    read, merged and rewritten; the merge result is staged first because the
-    plan reads the partitions it replaces.
+    function of the key; ``key_bucket`` always is). Only the partitions present
+    in the batch are read, merged and rewritten (a null partition value is a
+    partition like any other); the merge result is staged first because the plan
+    reads the partitions it replaces.
     """
-    touched = batch.select(*partition_cols).distinct()
+    touched = batch.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_cols]).distinct()
     target = spark.read.parquet(path)
-    target = target.join(small_side(touched), partition_cols, "left_semi")
+    same = [target[c].eqNullSafe(touched[f"_touched_{c}"]) for c in partition_cols]
+    target = target.join(small_side(touched), reduce(lambda x, y: x & y, same), "left_semi")
     merged = upsert(target, batch.select(*target.columns), keys, order_by)
     staged = stage(merged, "merge")
     obs = Observation("merge")

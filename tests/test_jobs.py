@@ -1,4 +1,5 @@
 """Job-level replay properties: crash between data and mark, rerun, same state."""
+import datetime as dt
 import os
 
 import pytest
@@ -39,3 +40,29 @@ def test_crash_before_mark_then_rerun_is_idempotent(spark, monkeypatch):
 def test_scratch_paths_live_under_checkpoint_dir(spark):
     base = checkpoint_dir(spark).replace("file:", "")
     assert scratch_path(spark, "x").startswith(base)
+
+
+def test_a_row_whose_mark_moves_to_another_month_replaces_its_older_version(spark):
+    root = scratch_path(spark, "moved")
+    schema = "o_orderkey long, state string, o_orderdate timestamp_ntz"
+
+    def orders(*rows):
+        return spark.createDataFrame([(k, s, dt.datetime(2024, m, d)) for k, s, m, d in rows], schema)
+    J.run_incremental(spark, orders((1, "new", 1, 2), (1, "pending", 1, 9), (2, "pending", 1, 5)),
+                      window_end="2024-01-31 00:00:00", **_args(root))
+    J.run_incremental(spark, orders((1, "shipped", 2, 3), (3, "pending", 2, 4)),
+                      window_end="2024-02-28 00:00:00", **_args(root))
+    got = J.read_target(spark, f"{root}/target").select("o_orderkey", "state").collect()
+    assert sorted(map(tuple, got)) == [(1, "shipped"), (2, "pending"), (3, "pending")]
+
+
+def test_full_ingestion_replaces_and_registers_readable_tables(spark):
+    root = scratch_path(spark, "whole")
+
+    def load(days):
+        df = spark.createDataFrame([(d, dt.date(2024, 1, d)) for d in days], "id long, d date")
+        return J.run_full_ingestion(spark, [J.EntitySpec("whole_demo", lambda: df, "id", "d")], root, "2024-01-01").first()
+    assert load([1, 2, 3])["rows_loaded"] == 3
+    assert load([2])["rows_loaded"] == 1
+    assert [r.id for r in spark.table("raw_whole_demo").collect()] == [2]
+    spark.sql("DROP TABLE raw_whole_demo")

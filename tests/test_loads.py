@@ -1,6 +1,7 @@
 """Load strategies: upsert, partial upsert, insert-ignore, SCD2, marks, replay properties."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from martlake.operators import control as CT
@@ -102,6 +103,38 @@ def test_merge_partitions_rewrites_touched_only(spark, tmp_dir):
     assert sorted(glob.glob(os.path.join(tmp_dir, "p=b", "*.parquet"))) == before_b
 
 
+def test_merge_keeps_rows_of_a_null_partition(spark, tmp_dir):
+    df = spark.createDataFrame([(5, 1.0, None), (6, 2.0, "a")], "id int, v double, p string")
+    df.write.partitionBy("p").parquet(tmp_dir)
+    batch = spark.createDataFrame([(7, 3.0, None)], "id int, v double, p string")
+    L.merge_partitions(spark, tmp_dir, batch, ["id"], ["p"])
+    assert sorted(r.id for r in spark.read.parquet(tmp_dir).collect()) == [5, 6, 7]
+
+
+def test_registered_table_has_its_partitions_and_is_replaced_whole(spark, tmp_dir):
+    for days in ((1, 2, 3), (2,)):
+        df = spark.createDataFrame([(d, dt.date(2024, 1, d)) for d in days], "id int, d date")
+        L.write_partitioned(df, tmp_dir, "d", replace=True)
+        L.register_table(spark, "replaced_whole", tmp_dir)
+        assert sorted(r.id for r in spark.table("replaced_whole").collect()) == list(days)
+    spark.sql("DROP TABLE replaced_whole")
+
+
+def test_managed_table_is_not_dropped(spark, tmp_dir):
+    spark.range(3).write.mode("overwrite").saveAsTable("kept_managed")
+    spark.range(1).write.mode("overwrite").parquet(tmp_dir)
+    with pytest.raises(ValueError):
+        L.register_table(spark, "kept_managed", tmp_dir)
+    assert spark.table("kept_managed").count() == 3
+    spark.sql("DROP TABLE kept_managed")
+
+
+def test_surrogate_keys_tell_nulls_and_colons_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a:b", "c"), ("a", "b:c"), ("\\N", "a")], "x string, y string")
+    keys = S.initial_history(df, ["x", "y"], "2024-01-01 00:00:00").select("_surrogate_key").distinct()
+    assert keys.count() == 5
+
+
 def test_incremental_batch_replay_overwrites_itself(spark, tmp_dir):
     df = spark.createDataFrame([(1, 1.0, T), (2, 2.0, T + dt.timedelta(seconds=5))], SCHEMA)
     b1 = L.write_incremental(df, tmp_dir, "ts", "orders")
