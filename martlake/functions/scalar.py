@@ -39,7 +39,8 @@ def units(col, scale: int):
     (Spark's ``round`` on doubles goes through BigDecimal); only values
     within 1e-6 of a half unit (where float error could flip the rounding)
     take the exact decimal route, so the cost of decimal arithmetic is paid
-    on those rows alone.
+    on those rows alone. Null stays null; NaN, infinities and amounts of 1e15
+    units or more raise, so that no sum silently loses a row.
     """
     c = _c(col)
     scaled = c * F.lit(float(10 ** scale))
@@ -47,8 +48,10 @@ def units(col, scale: int):
     near_half = F.abs(frac - F.lit(0.5)) < F.lit(1e-6)
     exact = (c.cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("bigint")
     nearest = F.when(scaled >= 0, F.floor(scaled + F.lit(0.5))).otherwise(-F.floor(F.lit(0.5) - scaled))
-    finite = ~F.isnan(c) & (F.abs(scaled) < F.lit(1e15))   # NaN, infinities, overflow -> null
-    return F.when(finite, F.when(near_half, exact).otherwise(nearest.cast("bigint")))
+    finite = ~F.isnan(c) & (F.abs(scaled) < F.lit(1e15))
+    broken = F.raise_error(F.concat(F.lit("amount out of range: "), c.cast("string"))).cast("bigint")
+    return F.when(finite, F.when(near_half, exact).otherwise(nearest.cast("bigint"))) \
+        .when(c.isNotNull(), broken)
 
 
 def units_to_double(col, scale: int):

@@ -96,6 +96,16 @@ def mart_revenue(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
     )
 
 
+def mart_revenue_staged(lineitem: DataFrame, stg_orders: DataFrame, stg_products: DataFrame,
+                        params: MartParams = MartParams()) -> DataFrame:
+    """The mart over staged orders and products (one row per key, so an order or a
+    product that was delivered twice counts once)."""
+    orders = stg_orders.select(F.col("order_id").alias("o_orderkey"), F.col("created_at").alias("o_orderdate"))
+    part = stg_products.select(F.col("product_id").alias("p_partkey"), F.col("category").alias("p_type"),
+                               F.col("price").alias("p_retailprice"))
+    return mart_revenue(lineitem, orders, part, params)
+
+
 def _exact_sum(col: str):
     """Sum of doubles that came from 4-place decimals, re-summed exactly."""
     return F.sum(F.col(col).cast("decimal(38,4)")).cast("double")

@@ -55,18 +55,23 @@ def q_run_full_ingestion(spark, sf_dir):
 
 @register("run_batch", MART_REVENUE_SQL)
 def q_run_batch(spark, sf_dir):
-    """Extract (raw written first) -> thresholds -> staging -> mart -> mart
-    tests -> gate -> publish; returns the published mart."""
+    """Extract (raw written first; every third order is delivered twice) ->
+    thresholds -> staging -> mart from staging -> mart tests -> gate -> publish;
+    returns the published mart."""
     root = scratch_path(spark, "batch")
-    raw = {n: L.stage(_t(spark, sf_dir, t), f"raw_{n}")
-           for n, t in (("orders", "orders"), ("products", "part"), ("lines", "lineitem"))}
+    twice = F.col("o_orderkey") % 3 == 0
+    orders = _t(spark, sf_dir, "orders")
+    raw = {n: L.stage(df, f"raw_{n}")
+           for n, df in (("orders", orders.unionAll(orders.where(twice))), ("products", _t(spark, sf_dir, "part")),
+                         ("lines", _t(spark, sf_dir, "lineitem")))}
     th = M.extraction_thresholds({"orders": raw["orders"], "products": raw["products"]}, {"lines": raw["lines"]})
     if not th.first()["passed"]:
         raise C.QualityGateError(["extract_thresholds"])
     staged_orders = stg.stg_orders(stg.with_load_time(raw["orders"], "2024-01-01 00:00:00"))
     C.enforce_gate(C.run_checks(staged_orders, [*C.unique("order_id"), *C.not_null("customer_id")],
                                 "stg_orders"))
-    mart = L.stage(rev.mart_revenue(raw["lines"], raw["orders"], raw["products"], P), "mart_revenue")
+    staged_products = stg.stg_products(stg.with_load_time(raw["products"], "2024-01-01 00:00:00"))
+    mart = L.stage(rev.mart_revenue_staged(raw["lines"], staged_orders, staged_products, P), "mart_revenue")
     C.enforce_gate(C.run_checks(mart, [*C.unique("date_day"), *C.not_null("date_day", "total_revenue"),
                                        C.in_range("avg_gross_margin_pct", None, 100)], "mart_revenue"))
     path = f"{root}/analytics/mart_revenue"
