@@ -33,7 +33,6 @@ component of its equal set (null when all of its set have no id).
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +40,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.components import components
-from martlake.llm.text import (LOWER, SPACED, U64, blocks, bloom_bits, bloom_has, gram_hashes, may_repeat,
-                               repeated_bits, saved, texts, word_hashes, word_spans)
+from martlake.llm.text import (LOWER, PART_DDL, SPACED, U64, blocks, bloom_bits, bloom_has, gram_hashes, in_parts,
+                               may_repeat, merged, repeated_bits, saved, texts, word_hashes, word_spans)
 
 SKETCH_BITS = 22
 SHARED = 3  # n-grams of the prefixes that a link must share
@@ -57,34 +56,22 @@ def _words(data: np.ndarray, off: np.ndarray):
 def word_levels(docs: DataFrame) -> np.ndarray:
     """log2 of the number of words that fall on each of 2^22 counters.
 
-    A task's counters are one compressed row; they are added up in the tasks,
-    so that one array of fixed size (4 MB) reaches the driver.
+    Every task counts for itself; the counters are added up in the tasks, so that
+    one array of fixed size reaches the driver.
     """
-    size, schema = 1 << SKETCH_BITS, pa.schema([("c", pa.binary())])
-
-    def packed(count):
-        return pa.RecordBatch.from_pydict({"c": [zlib.compress(count.tobytes(), 1)]}, schema=schema)
-
     def count(it):
-        total = np.zeros(size, np.int64)
+        total = np.zeros((1, 1 << SKETCH_BITS), np.int64)
         for b in it:
             for _, _, data, off in blocks(b.column(0)):
                 h, _ = _words(data, off)
-                np.add.at(total, (h >> U64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        yield packed(total)
+                np.add.at(total[0], (h >> U64(64 - SKETCH_BITS)).astype(np.int64), 1)
+        yield in_parts(total)
 
-    def merge(it):
-        total = np.zeros(size, np.int64)
-        for b in it:
-            for raw in b.column(0).to_pylist():
-                total += np.frombuffer(zlib.decompress(raw), np.int64)
-        yield packed(total)
+    def add(total, more):
+        total += more
 
-    parts = docs.select("text").mapInArrow(count, "c binary").coalesce(8).mapInArrow(merge, "c binary")
-    total = np.zeros(size, np.int64)
-    for r in parts.toLocalIterator():  # at most 8 rows of fixed size
-        total += np.frombuffer(zlib.decompress(r.c), np.int64)
-    return np.log2(total + 1.0).astype(np.uint8)
+    total = merged(docs.select("text").mapInArrow(count, PART_DDL), np.zeros((1, 1 << SKETCH_BITS), np.int64), add)
+    return np.log2(total[0] + 1.0).astype(np.uint8)
 
 
 def order_keys(h: np.ndarray, first: np.ndarray, n: int, levels: np.ndarray) -> list[np.ndarray]:
@@ -145,14 +132,15 @@ def class_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
     def run(it):
         lev = levels.value
         for b in it:
-            sets = [k for _, _, data, off in blocks(b.column(1)) for k in order_keys(*_words(data, off), n, lev)]
-            sizes = [len(k) for k in sets]
-            cut = [k[: len(k) + (-percent * len(k) // 100) + SHARED] for k in sets]
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array(sizes, pa.int64()),
-                pa.array([_digest(k) if len(k) else None for k in sets], pa.int64()), _lists(cut),
-                _lists([odd_sketch(k) for k in sets])],
-                ["doc_id", "n_shingles", "cls", "prefix", "odd"])
+            for lo, hi, data, off in blocks(b.column(1)):
+                sets = order_keys(*_words(data, off), n, lev)
+                sizes = [len(k) for k in sets]
+                cut = [k[: len(k) + (-percent * len(k) // 100) + SHARED] for k in sets]
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
+                    pa.array([_digest(k) if len(k) else None for k in sets], pa.int64()), _lists(cut),
+                    _lists([odd_sketch(k) for k in sets])],
+                    ["doc_id", "n_shingles", "cls", "prefix", "odd"])
     return docs.select("doc_id", "text") \
         .mapInArrow(run, "doc_id long, n_shingles long, cls long, prefix array<long>, odd array<long>")
 

@@ -154,9 +154,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- fixed-size summaries ---------------------------------------------------
 
+PARTS = 256
+PART_SCHEMA, PART_DDL = pa.schema([("part", pa.int32()), ("raw", pa.binary())]), "part int, raw binary"
+
+
+def in_parts(state: np.ndarray) -> pa.RecordBatch:
+    """A task's summary (rows x slots) as compressed rows, one for each of ``PARTS``
+    ranges of slots; ranges of zeros are left out."""
+    cuts = [(i, c) for i, c in enumerate(np.split(state, PARTS, axis=1)) if c.any()]
+    return pa.RecordBatch.from_arrays([pa.array([i for i, _ in cuts], pa.int32()),
+                                       pa.array([zlib.compress(c.tobytes(), 1) for _, c in cuts], pa.binary())],
+                                      schema=PART_SCHEMA)
+
+
+def merged(rows: DataFrame, state: np.ndarray, add) -> np.ndarray:
+    """The summaries of all tasks in one, written into ``state`` (zeros). Equal ranges
+    of slots meet by a shuffle, so that neither the tasks that make summaries nor
+    those that merge them are few; ``add(total, more)`` merges in place. The driver
+    gets ``state`` once, whatever the table's size."""
+    shape, dtype = (state.shape[0], state.shape[1] // PARTS), state.dtype
+
+    def opened(raw: bytes) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(raw), dtype).reshape(shape)
+
+    def run(it):
+        total: dict[int, np.ndarray] = {}
+        for b in it:
+            for part, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if part in total:
+                    add(total[part], opened(raw.as_py()))
+                else:
+                    total[part] = opened(raw.as_py()).copy()
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()),
+                                          pa.array([zlib.compress(t.tobytes(), 1) for t in total.values()], pa.binary())],
+                                         schema=PART_SCHEMA)
+
+    for r in rows.repartition("part").mapInArrow(run, PART_DDL).collect():  # at most PARTS rows, together of fixed size
+        state[:, r.part * shape[1]: (r.part + 1) * shape[1]] = opened(r.raw)
+    return state
+
+
 BLOOM_BITS = 1 << 24
 
 
+def _either(total: np.ndarray, more: np.ndarray) -> None:
+    total |= more
+
+
 def bloom_bits(df: DataFrame, col: str, bits: int = BLOOM_BITS) -> np.ndarray:
     """Bitmap of fixed size (``bits``/8 bytes) of a long column, built in the
     tasks and combined there; only the one bitmap reaches the driver. Used as a
@@ -167,23 +211,10 @@ def bloom_bits(df: DataFrame, col: str, bits: int = BLOOM_BITS) -> np.ndarray:
             x = b.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64)
             for s in bloom_slots(x, bits):
                 seen[s] = True
-        yield pa.RecordBatch.from_pydict({"k": [0], "b": [zlib.compress(np.packbits(seen).tobytes(), 1)]},
-                                         schema=pa.schema([("k", pa.int32()), ("b", pa.binary())]))
+        yield in_parts(np.packbits(seen)[None, :])
 
-    def merge(it):
-        total = None
-        for b in it:
-            for raw in b.column(1).to_pylist():
-                one = np.frombuffer(zlib.decompress(raw), np.uint8)
-                total = one.copy() if total is None else np.bitwise_or(total, one, out=total)
-        if total is not None:
-            yield pa.RecordBatch.from_pydict({"k": [0], "b": [zlib.compress(total.tobytes(), 1)]},
-                                             schema=pa.schema([("k", pa.int32()), ("b", pa.binary())]))
-    parts = df.select(col).mapInArrow(mark, "k int, b binary").coalesce(8).mapInArrow(merge, "k int, b binary")
-    total = np.zeros(bits // 8, np.uint8)
-    for r in parts.collect():  # at most 8 rows of fixed size
-        total |= np.frombuffer(zlib.decompress(r.b), np.uint8)
-    return np.unpackbits(total).astype(bool)
+    total = merged(df.select(col).mapInArrow(mark, PART_DDL), np.zeros((1, bits // 8), np.uint8), _either)
+    return np.unpackbits(total[0]).astype(bool)
 
 
 def bloom_slots(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,40 +249,20 @@ def repeated_bits(df: DataFrame, col: str, bits: int = REPEAT_BITS) -> np.ndarra
     """Packed bitmap of fixed size (``bits``/8 bytes) of the values of an array<long>
     column that may occur in it more than once: no repeated value is missed, a
     few single ones pass. A prefilter in front of an exact join."""
-    schema = pa.schema([("once", pa.binary()), ("twice", pa.binary())])
-
-    def packed(once, twice):
-        return pa.RecordBatch.from_pydict({"once": [zlib.compress(once.tobytes(), 1)], "twice": [zlib.compress(twice.tobytes(), 1)]},
-                                          schema=schema)
-
     def mark(it):
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        once, twice = state = np.zeros((2, bits // 8), np.uint8)
         for b in it:
             x = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             slot, n = np.unique(repeat_slots(x, bits), return_counts=True)
             _set(twice, slot[(n > 1) | _bit(once, slot)])
             _set(once, slot)
-        yield packed(once, twice)
+        yield in_parts(state)
 
-    def merge(it):
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-        for b in it:
-            for o, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                more = np.frombuffer(zlib.decompress(o), np.uint8)
-                twice |= np.frombuffer(zlib.decompress(t), np.uint8)
-                twice |= once & more
-                once |= more
-        yield packed(once, twice)
-
-    ddl = "once binary, twice binary"
-    parts = df.select(col).mapInArrow(mark, ddl).coalesce(4).mapInArrow(merge, ddl)
-    once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-    for r in parts.toLocalIterator():  # at most 4 rows of fixed size
-        more = np.frombuffer(zlib.decompress(r.once), np.uint8)
-        twice |= np.frombuffer(zlib.decompress(r.twice), np.uint8)
-        twice |= once & more
-        once |= more
-    return twice
+    def add(total, more):
+        total[1] |= more[1] | (total[0] & more[0])
+        total[0] |= more[0]
+
+    return merged(df.select(col).mapInArrow(mark, PART_DDL), np.zeros((2, bits // 8), np.uint8), add)[1].copy()
 
 
 def may_repeat(packed: np.ndarray, x: np.ndarray) -> np.ndarray:
