@@ -6,18 +6,22 @@ tokens and the other way round, so the product of the bytes' probabilities is
 the probability of the token sequence, on the same footing as the unigram base.
 
 Training counts every context of up to ``DEPTH`` bytes with its next byte over
-all training documents (exact byte keys, summed in the tasks and again by the
-two nearest bytes). Contexts with at least ``MIN_SHARE`` of all positions are
-candidates, so there are at most ``DEPTH / MIN_SHARE`` of them at any input
-size. A candidate stays when its next-byte distribution diverges from the one of
-its suffix (Kullback-Leibler, in bits, weighted by its count against the cost of
-storing it). Distributions are smoothed towards the suffix's (Witten-Bell, at
-the root towards uniform bytes). The tree becomes an automaton whose state is
-the longest retained suffix, stepped over many stretches of text at once.
-
-The base needs every word's corpus count. Word counts are unbounded, so they
-are never broadcast: a chunk of documents asks for its distinct words, the
-requests meet in hash buckets, and the answers go back to the chunk.
+all training documents. Contexts seen at least ``MIN_COUNT`` times, whatever the
+corpus' size, are candidates. A candidate stays when its next-byte distribution
+diverges from the one of its suffix (Kullback-Leibler, in bits, weighted by its
+count against the cost of storing it), or when a longer context that ends in it
+stays; candidates of up to two bytes always stay. Distributions are smoothed
+towards the suffix's (Witten-Bell, at the root towards uniform bytes). A byte is
+scored by its longest retained context.
+
+The tree grows with the corpus and is never gathered: it lives in hash buckets of
+the three nearest bytes, where a context meets its suffixes of three bytes and
+more. A chunk of documents asks for its distinct (context, byte) keys with their
+training counts; a bucket adds the counts up, builds its part of the tree and
+answers with log probabilities, which go back to the chunk. Only counts of byte
+triples (at most 2^24) are broadcast, for the contexts of up to two bytes.
+
+The base needs every word's corpus count, which is asked for in the same way.
 
 Defined cases: null text = empty, whose only token is the end; a null doc_id is
 trained on and not held out; repeated rows count and are scored each; with no
@@ -31,19 +35,20 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.automata import columns, stretches
-from martlake.llm.text import LOWER, SPACED, U64, blocks, saved, word_hashes, word_spans
+from martlake.llm.text import LOWER, SPACED, U64, blocks, mix64, saved, word_hashes, word_spans
 
 DEPTH = 6
-MIN_SHARE = 2e-6
 MIN_COUNT = 8
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
-CHUNK = 8 << 20
-HELD_KEYS = 2_000_000  # distinct contexts that a task keeps before it passes them on
+CHUNK = 48 << 20
+HELD_KEYS = 1_000_000  # keys that wait before they are merged
+SHORT_BUCKETS = 8
 STRETCH = 512
 END = 0x0A
 
@@ -94,34 +99,67 @@ def _sum_by_key(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nd
 
 
 class Grams:
-    """Counts of context keys, merged now and then so that memory follows the distinct keys."""
+    """Counts of keys, merged now and then so that memory follows the distinct keys.
+    Keys that are not counted are kept with count 0."""
 
     def __init__(self):
-        self.keys, self.counts, self.waiting = [], [], 0
+        self.held, self.keys, self.counts, self.waiting = None, [], [], 0
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, counted: bool = True) -> None:
         k, c = np.unique(keys, return_counts=True)
-        self.keys.append(k)
-        self.counts.append(c.astype(np.int32))
-        self.waiting += len(k)
-        if self.waiting > HELD_KEYS // 3:
+        self.put(k, (c * counted).astype(np.int32))
+
+    def put(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.waiting += len(keys)
+        if self.waiting > HELD_KEYS:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
-            return np.zeros(0, U64), np.zeros(0, np.int32)
-        k, c = _sum_by_key(self.keys, self.counts)
-        c = c.astype(np.int32)
-        self.keys, self.counts, self.waiting = [k], [c], 0
-        return k, c
+        if self.keys:
+            k, c = _sum_by_key(self.keys, self.counts)
+            c = c.astype(self.counts[0].dtype)  # a chunk's counts fit 32 bits, the corpus' are put with 64
+            self.keys, self.counts, self.waiting = [], [], 0
+            if self.held is None or not len(self.held[0]):
+                self.held = k, c
+            else:
+                keys, counts = self.held
+                at = np.searchsorted(keys, k)
+                old = keys[np.minimum(at, len(keys) - 1)] == k
+                counts[at[old]] += c[old]
+                self.held = np.insert(keys, at[~old], k[~old]), np.insert(counts, at[~old], c[~old])
+        return self.held or (np.zeros(0, U64), np.zeros(0, np.int64))
+
+
+class Distinct:
+    """Distinct keys, merged now and then."""
+
+    def __init__(self):
+        self.keys, self.waiting = [], 0
+
+    def add(self, keys: np.ndarray) -> None:
+        self.keys.append(_distinct(keys))
+        self.waiting += len(self.keys[-1])
+        if self.waiting > HELD_KEYS:
+            self.merge()
+
+    def merge(self) -> np.ndarray:
+        self.keys, self.waiting = [_distinct(np.concatenate(self.keys))] if self.keys else [np.zeros(0, U64)], 0
+        return self.keys[0]
+
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    k = np.sort(keys)
+    return k[np.concatenate([[True], k[1:] != k[:-1]])] if len(k) else k
 
-READ = ("kind int, chunk long, bucket int, doc_id long, fp long, held_out boolean, n_tokens long, symbols long, "
+
+READ = ("kind int, chunk long, bucket int, doc_id long, held_out boolean, n_tokens long, symbols long, "
         "keys binary, counts binary")
 _READ = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()),
-                   ("fp", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("symbols", pa.int64()),
+                   ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("symbols", pa.int64()),
                    ("keys", pa.binary()), ("counts", pa.binary())])
-DOC, WORDS, GRAMS = 0, 1, 2
+DOC, WORDS, GRAMS, SHORT, TEXT = 0, 1, 2, 3, 4
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -129,12 +167,14 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _READ.types, strict=True)], schema=_READ)
 
 
-def _pack(x: np.ndarray) -> bytes:
-    return zlib.compress(x.tobytes(), 1)
+def _pack_planes(x: np.ndarray) -> bytes:
+    """Values byte by byte, which leaves like bytes side by side."""
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
 
 
-def _unpack(raw: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), kind)
+def _unpack_planes(raw: bytes, kind) -> np.ndarray:
+    flat = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind)[:, 0] if flat.size else np.zeros(0, kind)
 
 
 def _pack_keys(k: np.ndarray) -> bytes:
@@ -148,59 +188,75 @@ def _unpack_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(d.T).view(U64)[:, 0], dtype=U64)
 
 
-def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
-    """One pass over (doc_id, held_out, text). Rows by kind: DOC (a document's
-    words as positions in its chunk's word list), WORDS (a chunk's distinct word
-    hashes and training counts, by bucket), GRAMS (a task's byte contexts with
-    counts, by the two nearest bytes)."""
-    def grams_out(grams: Grams):
-        keys, counts = grams.merge()
-        pair = (keys >> U64(48)).astype(np.int64) * 40503 % 65536 * buckets // 65536
-        order = np.argsort(pair, kind="stable")
-        cut = np.searchsorted(pair[order], np.arange(buckets + 1))
-        for i in range(buckets):
-            rows = order[cut[i]: cut[i + 1]]
-            if len(rows):
-                yield _batch([(GRAMS, None, i, None, None, None, None, None, _pack_keys(keys[rows]), _pack(counts[rows]))])
+def gram_buckets(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of ascending keys ordered by bucket (a hash of the three nearest bytes), and
+    each bucket's bounds in that order."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(buckets + 1, np.int64)
+    near = keys >> U64(40)
+    new = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+    of = ((mix64(near[new]) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
+    of = np.repeat(of, np.diff(np.append(new, len(keys))))
+    order = np.argsort(of, kind="stable")
+    return order, np.searchsorted(of[order], np.arange(buckets + 1))
 
+
+def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
+    """One pass over (doc_id, held_out, text). Rows by kind: DOC (a document, by its
+    place in the chunk), TEXT (spelled documents, some at a time), WORDS and GRAMS
+    (a chunk's distinct word hashes and context keys with training counts, by
+    bucket), SHORT (a chunk's training counts of byte triples)."""
     def run(it):
         part = TaskContext.get().partitionId()
-        grams, nth = Grams(), 0
+        nth = 0
         for b in it:
             ids, held = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False)
-            fp = b.column(2).to_pylist()
-            for lo, hi, data, off in blocks(b.column(3), CHUNK):
+            for lo, hi, data, off in blocks(b.column(2), CHUNK):
                 chunk, nth = (part << 32) | nth, nth + 1
-                hashes, sizes, symbols = [], [], []
-                for a in _sub_blocks(off):
+                words, grams, triples = Grams(), Grams(), Grams()
+                for i, a in enumerate(_sub_blocks(off)):
                     piece = LOWER[data[off[a[0]]: off[a[1]]]]
                     starts, ends, first = word_spans(piece, off[a[0]: a[1] + 1] - off[a[0]], SPACED)
-                    hashes.append(word_hashes(piece, starts, ends))
-                    sizes.append(np.diff(first))
+                    hashes = word_hashes(piece, starts, ends)
                     text, begin, end = spelled(piece, starts, ends, first)
-                    symbols.append(end - begin)
-                    train = ~held[lo + a[0]: lo + a[1]]
-                    own = np.zeros(len(text) + 1, np.int8)
-                    np.add.at(own, begin[train], 1)
-                    np.add.at(own, end[train], -1)
-                    at = np.flatnonzero(np.cumsum(own[:-1]))
-                    if len(at):
-                        grams.add(context_keys(text, at))
-                        if len(grams.keys[0]) > HELD_KEYS:
-                            yield from grams_out(grams)
-                            grams = Grams()
-                size, symbol = np.concatenate(sizes), np.concatenate(symbols)
-                uniq, back = np.unique(np.concatenate(hashes), return_inverse=True)
-                train = np.repeat(~held[lo:hi], size)
-                count = np.bincount(back[train], minlength=len(uniq))
+                    test = held[lo + a[0]: lo + a[1]]
+                    keys = context_keys(text, own_bytes(begin, end))
+                    in_train = np.repeat(~test, end - begin), np.repeat(~test, np.diff(first))
+                    for sums, x, train in ((grams, keys, in_train[0]), (words, hashes, in_train[1])):
+                        sums.add(x[train])
+                        sums.add(x[~train], counted=False)
+                    triples.add(shorter_keys(keys[in_train[0]], 2))
+                    sizes, symbols = np.diff(first) + 1, end - begin
+                    yield _batch([(TEXT, chunk, i, None, None, None, None, zlib.compress(text.tobytes(), 6), None)])
+                    yield _batch([(DOC, chunk, a[0] + d, ids[lo + a[0] + d], bool(test[d]), int(sizes[d]), int(symbols[d]), None, None)
+                                  for d in range(a[1] - a[0])])
+                uniq, count = words.merge()
                 cut = np.searchsorted(uniq, _bounds(buckets))
-                yield _batch([(WORDS, chunk, i, None, None, None, None, None, _pack_keys(uniq[x:y]), _pack(count[x:y].astype(np.int32)))
+                yield _batch([(WORDS, chunk, i, None, None, None, None, _pack_keys(uniq[x:y]), _pack_planes(count[x:y]))
                               for i, (x, y) in enumerate(zip(cut, np.append(cut[1:], len(uniq)), strict=True)) if y > x])
-                upto = np.concatenate([[0], np.cumsum(size)])
-                yield _batch([(DOC, chunk, None, ids[lo + d], fp[lo + d], bool(held[lo + d]), int(size[d]) + 1, int(symbol[d]),
-                               _pack(back[upto[d]: upto[d + 1]].astype(np.uint32)), None) for d in range(hi - lo)])
-        yield from grams_out(grams)
-    return docs.select("doc_id", "held_out", "fp", "text").mapInArrow(run, READ)
+                keys, count = grams.merge()
+                order, cut = gram_buckets(keys, buckets)
+                for i in range(buckets):
+                    rows = order[cut[i]: cut[i + 1]]
+                    if len(rows):
+                        yield _batch([(GRAMS, chunk, i, None, None, None, None, _pack_keys(keys[rows]), _pack_planes(count[rows]))])
+                keys, count = triples.merge()
+                for i in range(SHORT_BUCKETS):
+                    rows = (keys >> U64(16)) % U64(SHORT_BUCKETS) == i
+                    if rows.any():
+                        yield _batch([(SHORT, chunk, i, None, None, None, None, _pack_keys(keys[rows]), _pack_planes(count[rows].astype(np.int64)))])
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, READ)
+
+
+def own_bytes(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Positions of all documents' own bytes in their spelled text."""
+    n = end - begin
+    return np.arange(int(n.sum())) + np.repeat(begin - (np.cumsum(n) - n), n)
+
+
+def shorter_keys(keys: np.ndarray, depth: int, whole: int = 7) -> np.ndarray:
+    """(nearest ``depth`` bytes, own byte) of keys with ``whole`` context bytes."""
+    return (keys >> U64(8 * (whole - depth + 1)) << U64(8)) | (keys & U64(255))
 
 
 def _sub_blocks(off: np.ndarray, size: int = 1 << 20):
@@ -224,10 +280,10 @@ def word_answers(rows: DataFrame) -> tuple[DataFrame, int, int]:
 
     def answer(table: pa.Table) -> pa.Table:
         keys = [_unpack_keys(x) for x in table.column("keys").to_pylist()]
-        counts = [_unpack(x, np.int32).astype(np.int64) for x in table.column("counts").to_pylist()]
+        counts = [_unpack_planes(x, np.int32).astype(np.int64) for x in table.column("counts").to_pylist()]
         all_keys, all_counts = _sum_by_key(keys, counts)
         known = int((all_counts > 0).sum())
-        out = [_pack(all_counts[np.searchsorted(all_keys, k)]) for k in keys]
+        out = [_pack_planes(all_counts[np.searchsorted(all_keys, k)]) for k in keys]
         return pa.table([table.column("chunk"), table.column("bucket"), pa.array(out, pa.binary()),
                          pa.array([known] + [0] * (len(out) - 1), pa.int64())], schema=schema)
 
@@ -238,44 +294,97 @@ def word_answers(rows: DataFrame) -> tuple[DataFrame, int, int]:
     return answers, int(n[0] or 0), int(answers.agg(F.sum("words")).first()[0] or 0) + (ends > 0)
 
 
-# --- the tree ---------------------------------------------------------------
-
-def candidate_contexts(rows: DataFrame, least: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By depth 2..DEPTH: (context, next byte, count) of all contexts seen at least
-    ``least`` times. Depth 2 comes whole (it is needed for depths 0 and 1, and is
-    bounded by 2^24 byte triples)."""
-    schema = pa.schema([("depth", pa.int32()), ("context", pa.binary()), ("next", pa.binary()), ("counts", pa.binary())])
-
-    def build(table: pa.Table) -> pa.Table:
-        keys, counts = _sum_by_key([_unpack_keys(x) for x in table.column("keys").to_pylist()],
-                                   [_unpack(x, np.int32).astype(np.int64) for x in table.column("counts").to_pylist()])
-        out = []
-        for depth in range(2, DEPTH + 1):
-            ctx = keys >> U64(64 - 8 * depth)
-            k, c = _sum_by_key([(ctx << U64(8)) | (keys & U64(255))], [counts])
-            ctx = k >> U64(8)
-            new = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
-            total = np.add.reduceat(c, new)
-            keep = np.repeat(total >= (least if depth > 2 else 1), np.diff(np.append(new, len(ctx))))
-            if keep.any():
-                out.append((depth, _pack(ctx[keep]), _pack((k[keep] & U64(255)).astype(np.uint8)), _pack(c[keep])))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 4
-        return pa.table([pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
-
-    found: dict[int, list] = {}
-    tables = rows.where(F.col("kind") == GRAMS).select("bucket", "keys", "counts").groupBy("bucket") \
-        .applyInArrow(build, "depth int, context binary, next binary, counts binary")
-    for r in tables.collect():  # bounded by DEPTH / MIN_SHARE contexts
-        found.setdefault(r.depth, []).append((_unpack(r.context, U64), _unpack(r.next, np.uint8), _unpack(r.counts, np.int64)))
-    out = {d: tuple(np.concatenate(x) for x in zip(*parts, strict=True)) for d, parts in found.items()}
-    for d in (1, 0):  # shorter contexts by adding up
-        if d + 1 in out:
-            ctx, nxt, c = out[d + 1]
-            k, c = _sum_by_key([((ctx >> U64(8)) << U64(8)) | nxt.astype(U64)], [c])
-            out[d] = (k >> U64(8), (k & U64(255)).astype(np.uint8), c)
-    return out
+# --- the partitioned tree ---------------------------------------------------
+
+class Short:
+    """Contexts of up to two bytes, from the training counts of (two nearest bytes,
+    next byte): at most 2^24 of them, at any input size."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.counts = keys, counts
+        near, own = (keys >> U64(16)).astype(np.int64), (keys & U64(255)).astype(np.int64)
+        one = np.bincount(near * 256 + own, counts, minlength=1 << 16).reshape(256, 256)
+        root = (one.sum(axis=0) + 1) / (one.sum() + 256)
+        self.p = _smoothed(one, one.sum(axis=1, keepdims=True), (one > 0).sum(axis=1, keepdims=True), root[None, :])
+        two = (keys >> U64(8)).astype(np.int64)
+        self.n, self.kinds = np.bincount(two, counts, minlength=1 << 16), np.bincount(two, minlength=1 << 16)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Probability of each (two nearest bytes, next byte)."""
+        two, own = (keys >> U64(8)).astype(np.int64), (keys & U64(255)).astype(np.int64)
+        count = np.zeros(len(keys))
+        if len(self.keys):
+            i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            count = np.where(self.keys[i] == keys, self.counts[i], 0)
+        return _smoothed(count, self.n[two], self.kinds[two], self.p[two >> 8, own])
+
+
+def _smoothed(count, n, kinds, base):
+    """Towards the suffix's distribution; a context that is no candidate has its suffix's."""
+    return np.where(n >= MIN_COUNT, (count + kinds * base) / np.maximum(n + kinds, 1), base)
+
+
+def short_contexts(rows: DataFrame) -> Short:
+    def add(table: pa.Table) -> pa.Table:
+        k, c = _sum_by_key([_unpack_keys(x) for x in table.column("keys").to_pylist()],
+                           [_unpack_planes(x, np.int64) for x in table.column("counts").to_pylist()])
+        return pa.table({"keys": pa.array([_pack_keys(k)], pa.binary()), "counts": pa.array([_pack_planes(c)], pa.binary())})
+
+    got = rows.where(F.col("kind") == SHORT).select("bucket", "keys", "counts").groupBy("bucket") \
+        .applyInArrow(add, "keys binary, counts binary").collect()  # at most 2^24 byte triples
+    none = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    return Short(*_sum_by_key(none[0] + [_unpack_keys(r["keys"]) for r in got],
+                              none[1] + [_unpack_planes(r["counts"], np.int64) for r in got]))
+
+
+def log_probabilities(keys: np.ndarray, counts: np.ndarray, short: Short) -> np.ndarray:
+    """log10 probability of each key's byte after its longest retained context.
+    ``keys``: ascending, all keys of the corpus with the same three nearest bytes
+    or several such sets; ``counts``: in training, 0 for keys only asked for."""
+    if not len(keys):
+        return np.zeros(0, np.float32)
+    entry, count, up = {DEPTH: shorter_keys(keys, DEPTH)}, {DEPTH: counts}, {}
+    for d in range(DEPTH, 2, -1):  # entries (context, byte) of each depth, and each one's entry a byte shorter
+        entry[d - 1], up[d] = np.unique(shorter_keys(entry[d], d - 1, d), return_inverse=True)
+        count[d - 1] = np.bincount(up[d], count[d]).astype(np.int64)
+    p, row, keep, suffix = {2: short(entry[2])}, {}, {}, {}
+    for d in range(2, DEPTH + 1):
+        ctx = entry[d] >> U64(8)
+        new = np.concatenate([[True], ctx[1:] != ctx[:-1]])
+        row[d] = np.cumsum(new) - 1
+        if d == 2:
+            continue
+        c, base = count[d], p[d - 1][up[d]]
+        n, kinds = np.add.reduceat(c, np.flatnonzero(new)), np.add.reduceat((c > 0).astype(np.int64), np.flatnonzero(new))
+        p[d] = _smoothed(c, n[row[d]], kinds[row[d]], base)
+        gain = np.bincount(row[d], c * np.log2(np.where(c > 0, c / np.maximum(n[row[d]], 1) / base, 1.0)), minlength=len(n))
+        keep[d] = (n >= MIN_COUNT) & (gain > GAIN_BITS * kinds)
+        suffix[d] = row[d - 1][up[d][new]]
+    for d in range(DEPTH, 3, -1):
+        keep[d - 1][suffix[d][keep[d]]] = True
+    out = p[2]
+    for d in range(3, DEPTH + 1):
+        out = np.where(keep[d][row[d]], p[d], out[up[d]])
+    return np.log10(out).astype(np.float32)
+
+
+def gram_answers(rows: DataFrame, short) -> DataFrame:
+    """Per chunk and bucket the log10 probabilities of the requested keys, in the order asked."""
+    def answer(table: pa.Table) -> pa.Table:
+        asked, sums = table.column("keys").to_pylist(), Grams()
+        for k, c in zip(asked, table.column("counts").to_pylist(), strict=True):
+            sums.put(_unpack_keys(k), _unpack_planes(c, np.int32).astype(np.int64))
+        keys, counts = sums.merge()
+        value = log_probabilities(keys, counts, short.value)
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "counts": pa.array(
+            [_pack_planes(value[np.searchsorted(keys, _unpack_keys(k))]) for k in asked], pa.binary())})
+
+    return rows.where(F.col("kind") == GRAMS).select("chunk", "bucket", "keys", "counts") \
+        .groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, counts binary")
 
 
+# --- the tree of one text, held whole ----------------------------------------
+
 class Level:
     """All candidate contexts of one depth, sparse: entries sorted by (context,
     next byte), their smoothed probabilities, and one row per context."""
@@ -392,54 +501,58 @@ class Tree:
         return out
 
 
-def train(rows: DataFrame) -> Tree:
-    symbols = rows.where((F.col("kind") == DOC) & ~F.col("held_out")).agg(F.sum("symbols")).first()[0] or 0
-    least = max(MIN_COUNT, math.ceil(MIN_SHARE * symbols))
-    return Tree(candidate_contexts(rows, least), least)
-
-
-def model_scores(docs: DataFrame, tree: Tree) -> DataFrame:
-    """(doc_id, fp, score): the model's log10 probability by id and text hash, kept
-    as a table; the workers then drop the model."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-
-    def run(it):
-        model = shared.value
-        for b in it:
-            scores = []
-            for _, _, data, off in blocks(b.column(2)):
-                data = LOWER[data]
-                scores.append(model.score(*spelled(data, *word_spans(data, off, SPACED))))
-            flat = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(flat, pa.float64())], ["doc_id", "fp", "score"])
-    out = saved(docs.select("doc_id", "fp", "text").mapInArrow(run, "doc_id long, fp long, score double"), "scores")
-    shared.destroy()
-    return out
-
-
-def base_scores(rows: DataFrame, answers: DataFrame, n: int, v: int, ends: int) -> DataFrame:
-    """(doc_id, fp, held_out, n_tokens, n_known, base_score): add-one unigram
-    scores; a chunk's documents meet the answers to its words."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                        ("n_known", pa.int64()), ("base_score", pa.float64())])
-
-    def score(docs: pa.Table, found: pa.Table) -> pa.Table:
-        parts = sorted(zip(found.column("bucket").to_pylist(), found.column("counts").to_pylist(), strict=True))
-        count = np.concatenate([_unpack(x, np.int64) for _, x in parts]) if parts else np.zeros(0, np.int64)
-        value = np.log10((count + 1) / (n + v + 1))
-        known = count > 0
+def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, n: int, v: int, ends: int) -> DataFrame:
+    """Add-one unigram scores and the model's scores: a chunk's documents meet the
+    answers (by kind) to its words and context keys."""
+    ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                        ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+    def score(mine: pa.Table, found: pa.Table) -> pa.Table:
+        docs = mine.filter(pc.equal(mine.column("kind"), DOC)).sort_by("bucket")
+        raw = mine.filter(pc.equal(mine.column("kind"), TEXT)).sort_by("bucket").column("keys").to_pylist()
+        size, tokens = docs.column("symbols").to_numpy(), docs.column("n_tokens").to_numpy()
+        upto = np.concatenate([[0], np.cumsum(size + DEPTH)])
+        parts, lo, uniq, keys = [], 0, Distinct(), Distinct()
+        for x in raw:  # the documents of each stored piece
+            text = np.frombuffer(zlib.decompress(x), np.uint8)
+            hi = int(np.searchsorted(upto, upto[lo] + len(text)))
+            parts.append((x, lo, hi))
+            w, k, _ = pieces(text, upto[lo: hi + 1] - upto[lo])
+            uniq.add(w)
+            keys.add(k)
+            lo = hi
+        uniq, keys = uniq.merge(), keys.merge()
+        got = sorted(zip(found.column("kind").to_pylist(), found.column("bucket").to_pylist(), found.column("counts").to_pylist(),
+                         strict=True), key=lambda r: r[:2])
+        count = np.concatenate([np.zeros(0, np.int64)] + [_unpack_planes(x, np.int64) for kind, _, x in got if kind == WORDS])
+        model = np.zeros(len(keys), np.float32)
+        model[gram_buckets(keys, buckets)[0]] = np.concatenate([_unpack_planes(x, np.float32) for kind, _, x in got if kind == GRAMS])
+        value, known = np.log10((count + 1) / (n + v + 1)), count > 0
         end = math.log10((ends + 1) / (n + v + 1))
-        base, n_known = [], []
-        for raw in docs.column("keys").to_pylist():
-            words = _unpack(raw, np.uint32)
-            base.append(float(value[words].sum()) + end)
-            n_known.append(int(known[words].sum()) + (ends > 0))
-        return pa.table([docs.column("doc_id"), docs.column("fp"), docs.column("held_out"), docs.column("n_tokens"),
-                         pa.array(n_known, pa.int64()), pa.array(base, pa.float64())], schema=schema)
-
-    docs = rows.where(F.col("kind") == DOC).select("chunk", "doc_id", "fp", "held_out", "n_tokens", "keys")
-    return docs.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "counts").groupBy("chunk")) \
-        .applyInArrow(score, "doc_id long, fp long, held_out boolean, n_tokens long, n_known long, base_score double")
+        base, n_known, total = np.zeros(len(size)), np.zeros(len(size), np.int64), np.zeros(len(size))
+        for x, lo, hi in parts:
+            text = np.frombuffer(zlib.decompress(x), np.uint8)
+            w, k, first = pieces(text, upto[lo: hi + 1] - upto[lo])
+            doc = np.repeat(np.arange(hi - lo), np.diff(first))
+            at = np.searchsorted(uniq, w)
+            base[lo:hi] = np.bincount(doc, value[at], minlength=hi - lo) + end
+            n_known[lo:hi] = np.bincount(doc, known[at], minlength=hi - lo) + (ends > 0)
+            order = np.argsort(k)
+            per_byte = np.empty(len(k))
+            per_byte[order] = model[np.searchsorted(keys, k[order])]
+            total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), size[lo:hi]), per_byte, minlength=hi - lo)
+        return pa.table([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens), pa.array(n_known),
+                         pa.array(np.full(len(size), n)), pa.array(base), pa.array(total)], schema=schema)
+
+    docs = rows.where(F.col("kind").isin(DOC, TEXT)).select("kind", "chunk", "bucket", "doc_id", "held_out", "n_tokens", "symbols", "keys")
+    return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, ddl)
+
+
+def pieces(text: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, context keys, each document's first word) of spelled documents."""
+    starts, ends, first = word_spans(text, off, SPACED)
+    return word_hashes(text, starts, ends), context_keys(text, own_bytes(off[:-1] + DEPTH, off[1:])), first
 
 
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
@@ -448,12 +561,13 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")) \
-        .select("doc_id", held_out().alias("held_out"), F.xxhash64("text").alias("fp"), "text")
+        .select("doc_id", held_out().alias("held_out"), "text")
     rows = saved(read_corpus(docs, buckets), "corpus")
     answers, n, v = word_answers(rows)
     ends = rows.where((F.col("kind") == DOC) & ~F.col("held_out")).count()
-    tree = train(rows)
-    base = base_scores(rows, answers, n, v, ends)
-    model = model_scores(docs, tree).dropDuplicates(["doc_id", "fp"]).toDF("doc_id2", "fp2", "score")
-    return base.join(model, F.col("doc_id").eqNullSafe(F.col("doc_id2")) & (F.col("fp") == F.col("fp2"))) \
-        .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    short = spark.sparkContext.broadcast(short_contexts(rows))
+    words, grams = (x.select("chunk", "bucket", "counts", F.lit(kind).alias("kind"))
+                    for x, kind in ((answers, WORDS), (gram_answers(rows, short), GRAMS)))
+    out = saved(document_scores(rows, words.unionByName(grams), buckets, n, v, ends), "scores")
+    short.destroy()
+    return out

@@ -295,3 +295,47 @@ def test_tree_scores_the_longest_retained_suffix():
                        + tree.unseen * 10.0 ** tree.log10.reshape(-1, tree.width)[:, -2], 1.0, atol=1e-4)
     one = tree.score(text, np.array([lm.DEPTH]), np.array([len(text)]))[0]
     assert one > len(text) * math.log10(0.9)  # nearly determined
+
+def brute_force_model(train, held):
+    """log10 probability of the held-out text by dictionaries: counts of every context,
+    Witten-Bell towards the suffix, longest retained context."""
+    depth, seen = lm.DEPTH, {}
+    spelled = [b"\n" * depth + " ".join(words(t)).encode() + b"\n" for t in train]
+    for t in spelled:
+        for i in range(depth, len(t)):
+            for d in range(depth + 1):
+                seen.setdefault(t[i - d:i], Counter())[t[i]] += 1
+
+    def p(ctx, b):
+        c = seen.get(ctx, Counter())
+        if not ctx:
+            return (c[b] + 1) / (c.total() + 256)
+        base = p(ctx[1:], b)
+        return (c[b] + len(c) * base) / (c.total() + len(c)) if c.total() >= lm.MIN_COUNT else base
+
+    kept = set()
+    for ctx, c in seen.items():
+        gain = sum(k * math.log2(k / c.total() / p(ctx[1:], b)) for b, k in c.items()) if ctx else 0
+        if c.total() >= lm.MIN_COUNT and (len(ctx) < 3 or gain > lm.GAIN_BITS * len(c)):
+            kept |= {ctx[j:] for j in range(len(ctx) + 1)}
+    t, total = b"\n" * depth + " ".join(words(held)).encode() + b"\n", 0.0
+    for i in range(depth, len(t)):
+        d = max(d for d in range(depth + 1) if d == 0 or t[i - d:i] in kept)
+        total += math.log10(p(t[i - d:i], t[i]))
+    return total, max(map(len, kept))
+
+
+def test_model_keeps_every_context_above_an_absolute_count(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    own = [i for i in range(300) if zlib.crc32(str(i).encode()) % 7 != 2][:120]
+    rare = "zebra quartz"  # eight times or so among many other texts
+    text = {i: " ".join(f"{BASE[(i * 7 + j * j) % len(BASE)]}" for j in range(40 + i % 9)) + (f" {rare}" if n % 13 == 0 else "")
+            for n, i in enumerate(own)}
+    asked = f"the quick {rare} unseen été fox"
+    rows = spark.createDataFrame([*text.items(), (held, asked)], "doc_id long, text string").repartition(3)
+    want, longest = brute_force_model(list(text.values()), asked)
+    for buckets in (1, 5):
+        got = [r.score for r in lm.score(rows, buckets=buckets).collect() if r.held_out]
+        assert got == [pytest.approx(want, rel=1e-5)]
+    assert longest == lm.DEPTH
+    assert not hasattr(lm, "MIN_SHARE")  # no floor that rises with the corpus
