@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from martlake.llm.automata import columns, stretches
 from martlake.llm.text import LOWER, SPACED, U64, blocks, mix64, saved, word_hashes, word_spans
 
-DEPTH = 6
+DEPTH = 7  # with the next byte, a key fills 64 bits
 MIN_COUNT = 8
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
 CHUNK = 48 << 20

@@ -337,5 +337,5 @@ def test_model_keeps_every_context_above_an_absolute_count(spark):
     for buckets in (1, 5):
         got = [r.score for r in lm.score(rows, buckets=buckets).collect() if r.held_out]
         assert got == [pytest.approx(want, rel=1e-5)]
-    assert longest == lm.DEPTH
+    assert longest == lm.DEPTH >= 7
     assert not hasattr(lm, "MIN_SHARE")  # no floor that rises with the corpus
