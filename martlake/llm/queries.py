@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import decontam, fingerprints, jaccard, langid, lm, packing, quality, sharding, toxicity, warc
+from martlake.llm import decontam, fingerprints, jaccard, langid, licenses, lm, packing, quality, sharding, toxicity, trie, variants, warc
 from martlake.llm.text import table
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -129,3 +129,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_ordinal_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_template_licenses", licenses.license_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_gram_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
