@@ -10,7 +10,9 @@ numbered within their length in parallel.
 
 Tokens: a text's ids are those of its units one after the other (the tokenizer
 drops white space and never joins across it, see ``units``). Each distinct unit
-is encoded once and remembered; ids are then gathered by numpy.
+is encoded once and remembered; ids are then gathered by numpy. A text that holds
+the text of one of the tokenizer's added tokens (such as its end mark) is encoded
+whole by the tokenizer, which gives that token's id there.
 
 Defined cases: null text = empty, which is the one id 0; repeated rows are
 packed each; an empty table gives an empty result.
@@ -52,7 +54,8 @@ class ChunkEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True  # special strings in a text are ordinary text
+        # texts that hold one of the tokenizer's added tokens go through it whole
+        self.added = [t.content.lower().encode() for t in self.plain.get_added_tokens_decoder().values()]
         vocab = self.plain.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -87,7 +90,11 @@ class ChunkEncoder:
         """(ids of all documents, each ended by id 0; offsets by document)."""
         if len(self.slot) > self.LIMIT:
             self.reset()
-        data = LOWER[data]
+        lower = LOWER[data]
+        special = self.with_added(lower, off)
+        if len(special):
+            return self.patched(data, off, special)
+        data = lower
         starts, ends, first = units(data, off)
         uniq, where, back = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         hashes = uniq.tolist()
@@ -106,6 +113,34 @@ class ChunkEncoder:
         return ids, upto[np.concatenate([[0], first[1:] + np.arange(1, len(first))])]
 
 
+    def with_added(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Documents in whose (lower-cased) text an added token's text stands."""
+        raw, at = data.tobytes(), []
+        for token in self.added:
+            i = raw.find(token)
+            while i >= 0:
+                d = int(np.searchsorted(off, i, "right")) - 1
+                at.append(d)
+                i = raw.find(token, max(i + 1, int(off[d + 1]) - len(token) + 1))  # once a document
+        return np.unique(np.array(at, np.int64))
+
+    def patched(self, data: np.ndarray, off: np.ndarray, special: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids with those of the documents ``special`` from the tokenizer's own call."""
+        sizes = np.diff(off)
+        plain = np.ones(len(sizes), bool)
+        plain[special] = False
+        ids, upto = self.encode(data[np.repeat(plain, sizes)], np.concatenate([[0], np.cumsum(np.where(plain, sizes, 0))]))
+        out, length = [], np.diff(upto)
+        for d in range(len(sizes)):
+            part = ids[upto[d]: upto[d + 1]]
+            if not plain[d]:
+                text = data[off[d]: off[d + 1]].tobytes().decode("utf-8", "replace")
+                part = np.array([*self.plain.encode(text, add_special_tokens=False).ids, 0], np.uint32)
+                length[d] = len(part)
+            out.append(part)
+        return np.concatenate(out), np.concatenate([[0], np.cumsum(length)])
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): documents as token pieces; only
     those longer than ``capacity`` are cut."""
