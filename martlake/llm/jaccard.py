@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from martlake.llm.components import components
 from martlake.llm.text import (LOWER, PART_DDL, SPACED, U64, blocks, bloom_bits, bloom_has, gram_hashes, in_parts,
-                               may_repeat, merged, repeated_bits, saved, texts, word_hashes, word_spans)
+                               keyed, may_repeat, merged, repeated_bits, saved, word_hashes, word_spans)
 
 SKETCH_BITS = 22
 SHARED = 3  # n-grams of the prefixes that a link must share
@@ -127,22 +127,22 @@ def may_link(na: str, nb: str, odd_a: str, odd_b: str, percent: int) -> Column:
 
 
 def class_rows(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """(doc_id, n_shingles, cls, prefix, odd): the set's size, its digest, its first
+    """(doc_id, fp, n_shingles, cls, prefix, odd): the set's size, its digest, its first
     ``size - ceil(percent% of size) + SHARED`` order keys and its parity sketch."""
     def run(it):
         lev = levels.value
         for b in it:
-            for lo, hi, data, off in blocks(b.column(1)):
+            for lo, hi, data, off in blocks(b.column(2)):
                 sets = order_keys(*_words(data, off), n, lev)
                 sizes = [len(k) for k in sets]
                 cut = [k[: len(k) + (-percent * len(k) // 100) + SHARED] for k in sets]
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
+                    b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), pa.array(sizes, pa.int64()),
                     pa.array([_digest(k) if len(k) else None for k in sets], pa.int64()), _lists(cut),
                     _lists([odd_sketch(k) for k in sets])],
-                    ["doc_id", "n_shingles", "cls", "prefix", "odd"])
-    return docs.select("doc_id", "text") \
-        .mapInArrow(run, "doc_id long, n_shingles long, cls long, prefix array<long>, odd array<long>")
+                    ["doc_id", "fp", "n_shingles", "cls", "prefix", "odd"])
+    return docs.select("doc_id", "fp", "text") \
+        .mapInArrow(run, "doc_id long, fp long, n_shingles long, cls long, prefix array<long>, odd array<long>")
 
 
 def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -223,11 +223,11 @@ def confirmed(pairs: DataFrame, segs: DataFrame, sizes: DataFrame, percent: int,
         .select("a", "b")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90,
-                    fragments: int = 8) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``df``."""
-    spark = df.sparkSession
-    docs = texts(df, id_col, text_col)
+def linked_classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, components) of ``docs`` (doc_id, fp, text): (doc_id, fp, n_shingles,
+    cls) of every row, (cls, doc_id, ...) of the distinct sets, (node, component) of
+    the classes that have a link. Rows without doc_id make no class."""
+    spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(word_levels(docs))
     rows = saved(class_rows(docs, n, percent, levels), "sets")
     classes = saved(rows.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
@@ -279,6 +279,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = both.select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
     final = saved(components(links.unionAll(links_of(rest))), "components")
 
+    return rows, classes, final
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, percent: int = 90,
+                    fragments: int = 8) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``df``."""
+    rows, classes, final = linked_classes(keyed(df, id_col, text_col), n, percent, fragments)
     ids = classes.select("cls", "doc_id").join(final.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("cls", "doc_id", F.coalesce("component", "cls").alias("comp"))
     least = ids.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
@@ -294,11 +301,33 @@ def _least_overlap(n: str, percent: int) -> Column:
 
 
 def keep_one(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``df`` without the documents that are not their component's smallest id;
-    of rows that repeat an id one stays. Rows without doc_id stay only when no
-    document has their set."""
-    found = near_duplicates(df, n=n, percent=percent)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = df.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    lone = df.where(F.col("doc_id").isNull())
-    return kept.unionByName(lone)
+    """``df`` with one row of each component; all columns stay.
+
+    A row is known by its id and its text, so different texts under one id are
+    judged each on its own. The row that stays has the smallest id of its component
+    (rows without an id come last), then the smallest hash of its text; of rows equal
+    in both, the one with the smallest hash of all columns. Rows without words are
+    linked with nothing and stay.
+    """
+    keyed_rows = keyed(df)
+    # rows without an id take part under the hash of their text, which is no id of the result
+    docs = keyed_rows.withColumn("doc_id", F.coalesce("doc_id", "fp"))
+    rows, _, final = linked_classes(docs, n, percent, 8)
+    lone = keyed_rows.where(F.col("doc_id").isNull()).select("fp").distinct().withColumn("lone", F.lit(True))
+    member = rows.where(F.col("cls").isNotNull()).select("doc_id", "fp", "cls") \
+        .join(final.withColumnRenamed("node", "cls"), "cls", "left").join(lone, "fp", "left") \
+        .select(F.coalesce("component", "cls").alias("comp"), "fp", "doc_id",
+                (F.col("lone").isNotNull() & (F.col("doc_id") == F.col("fp"))).alias("lone"))
+    same = member.groupBy("comp", "lone", "doc_id", "fp").agg(F.count(F.lit(1)).alias("n"))
+    first = same.groupBy("comp").agg(F.min(F.struct("lone", "doc_id", "fp", "n")).alias("first")).select("first.*")
+    bare = rows.where(F.col("n_shingles") == 0).select("doc_id", "fp").distinct().join(lone, "fp", "left") \
+        .select(F.col("lone").isNotNull() & (F.col("doc_id") == F.col("fp")), "doc_id", "fp", F.lit(1)).toDF("lone", "doc_id", "fp", "n")
+    stays = saved(first.unionByName(bare).select(F.when(~F.col("lone"), F.col("doc_id")).alias("_kept_id"), F.col("fp").alias("_kept_fp"),
+                                                 (F.col("n") > 1).alias("_again")), "stays")
+    equal = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_fp"))
+    single = df.join(stays.where(~F.col("_again")), equal, "left_semi")
+    # rows equal in id and text: only they are compared whole
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    one = df.join(stays.where("_again"), equal).groupBy("_kept_id", "_kept_fp") \
+        .agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("_row")).select("_row.*")
+    return single.unionByName(one)
