@@ -22,6 +22,13 @@ def sample_ids(labels: DataFrame, label: str, per_class: dict[int, int], id_col:
     return out, {y: sizes.get(y, 0) for y in per_class}
 
 
+def one_text_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, y, text) of the sampled ids: one text an id, that with the smallest hash,
+    so that an id that repeats without end doesn't make the sample larger."""
+    return docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y") \
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 

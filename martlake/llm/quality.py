@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.labelled import logistic, sample_ids
+from martlake.llm.labelled import logistic, one_text_each, sample_ids
 from martlake.llm.text import (LOWER, SPACED, U64, blocks, gram_hashes, keyed, saved, without, word_hashes, word_spans)
 
 #: bound of the labelled sample, rows of each class
@@ -99,7 +99,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str, sample: dict[int, int]) ->
             flat = np.concatenate(x) if x else np.zeros((0, FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(flat), pa.list_(pa.float64()))], ["y", "x"])
 
-    rows = keyed(df).join(F.broadcast(ids), "doc_id").select("y", "text").mapInArrow(run, "y int, x array<double>").collect()
+    rows = one_text_each(keyed(df), ids).select("y", "text").mapInArrow(run, "y int, x array<double>").collect()
     x = np.array([r.x for r in rows]).reshape(-1, FEATURES)
     total = sum(sizes.values())
     rate = (sizes.get(1, 0) + 1) / (total + 2)

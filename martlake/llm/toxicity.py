@@ -23,12 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.labelled import sample_ids, sigmoid
+from martlake.llm.labelled import one_text_each, sample_ids, sigmoid
 from martlake.llm.text import ALNUM, GOLDEN, LOWER, U64, blocks, texts, word_hashes, word_spans
 
-#: bounds: sample rows of each class, indicator words
+#: bound of the labelled sample, documents of each class
 SAMPLE = {0: 6000, 1: 3000}
-INDICATORS = 4000
 SIGNIFICANT = 25.0  # signed chi-square
 GRADES = 3
 STEM = 6  # bytes
@@ -71,7 +70,6 @@ class Ordinal:
         cross = np.abs(a * d - b * c) - n / 2  # continuity-corrected
         chi = np.where(cross > 0, n * cross ** 2 / np.maximum((a + b) * (c + d) * n1 * n0, 1e-9), 0.0)
         pick = np.flatnonzero((chi >= SIGNIFICANT) & (a / n1 > b / n0))
-        pick = np.sort(pick[np.argsort(-chi[pick], kind="stable")][:INDICATORS])
         self.words = uniq[pick]
         keep = np.isin(back, pick)
         row, col, val = doc[keep], np.searchsorted(pick, back[keep]), np.log1p(count[keep])
@@ -147,7 +145,7 @@ def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", sample: dict[int
                     pa.array([n[x:z].astype(np.int32).tobytes() for x, z in zip(cut, cut[1:], strict=False)], pa.binary())],
                     ["y", "words", "counts"])
 
-    rows = texts(df).join(F.broadcast(ids), "doc_id").select("y", "text") \
+    rows = one_text_each(texts(df), ids).select("y", "text") \
         .mapInArrow(run, "y int, words binary, counts binary").dropDuplicates(["y", "words", "counts"]).collect()
     words = [np.frombuffer(r.words, U64) for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(w) for w in words])
