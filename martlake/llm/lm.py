@@ -10,16 +10,18 @@ all training documents. Contexts seen at least ``MIN_COUNT`` times, whatever the
 corpus' size, are candidates. A candidate stays when its next-byte distribution
 diverges from the one of its suffix (Kullback-Leibler, in bits, weighted by its
 count against the cost of storing it), or when a longer context that ends in it
-stays; candidates of up to two bytes always stay. Distributions are smoothed
+stays; candidates of up to three bytes always stay. Distributions are smoothed
 towards the suffix's (Witten-Bell, at the root towards uniform bytes). A byte is
 scored by its longest retained context.
 
 The tree grows with the corpus and is never gathered: it lives in hash buckets of
 the three nearest bytes, where a context meets its suffixes of three bytes and
-more. A chunk of documents asks for its distinct (context, byte) keys with their
+more. Frequent contexts of three bytes (``dense_contexts``) are dealt out by the
+fourth byte as well; their own counts are broadcast, at most 256 numbers for each of
+at most 1 / ``DENSE_SHARE`` of them. A chunk of documents asks for its distinct (context, byte) keys with their
 training counts; a bucket adds the counts up, builds its part of the tree and
 answers with log probabilities, which go back to the chunk. Only counts of byte
-triples (at most 2^24) are broadcast, for the contexts of up to two bytes.
+triples (at most 2^24) are broadcast besides, for the contexts of up to two bytes.
 
 The base needs every word's corpus count, which is asked for in the same way.
 
@@ -34,22 +36,22 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.automata import columns, stretches
 from martlake.llm.text import LOWER, SPACED, U64, blocks, mix64, saved, word_hashes, word_spans
 
 DEPTH = 7  # with the next byte, a key fills 64 bits
 MIN_COUNT = 8
+KEPT = 3  # contexts of up to so many bytes stay without a divergence test
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
 CHUNK = 48 << 20
 HELD_KEYS = 1_000_000  # keys that wait before they are merged
 SHORT_BUCKETS = 8
-STRETCH = 512
 END = 0x0A
 
 
@@ -105,9 +107,12 @@ class Grams:
     def __init__(self):
         self.held, self.keys, self.counts, self.waiting = None, [], [], 0
 
-    def add(self, keys: np.ndarray, counted: bool = True) -> None:
-        k, c = np.unique(keys, return_counts=True)
-        self.put(k, (c * counted).astype(np.int32))
+    def add(self, keys: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys of one piece and how often each is counted."""
+        codes, k = pd.factorize(keys)
+        c = np.bincount(codes[counted], minlength=len(k)).astype(np.int32)
+        self.put(k, c)
+        return k, c
 
     def put(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
@@ -132,21 +137,24 @@ class Grams:
         return self.held or (np.zeros(0, U64), np.zeros(0, np.int64))
 
 
-class Distinct:
-    """Distinct keys, merged now and then."""
+class Numbered:
+    """Keys of several pieces, each by its place among all distinct keys."""
 
     def __init__(self):
-        self.keys, self.waiting = [], 0
+        self.codes: list[np.ndarray] = []
+        self.keys: list[np.ndarray] = []
 
     def add(self, keys: np.ndarray) -> None:
-        self.keys.append(_distinct(keys))
-        self.waiting += len(self.keys[-1])
-        if self.waiting > HELD_KEYS:
-            self.merge()
+        codes, k = pd.factorize(keys)
+        self.codes.append(codes.astype(np.int32))
+        self.keys.append(k)
+
+    def distinct(self) -> np.ndarray:
+        return _distinct(np.concatenate([np.zeros(0, U64), *self.keys]))
 
-    def merge(self) -> np.ndarray:
-        self.keys, self.waiting = [_distinct(np.concatenate(self.keys))] if self.keys else [np.zeros(0, U64)], 0
-        return self.keys[0]
+    def values(self, piece: int, distinct: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """``value`` (by distinct key) of each key of a piece."""
+        return value[np.searchsorted(distinct, self.keys[piece])][self.codes[piece]]
 
 
 def _distinct(keys: np.ndarray) -> np.ndarray:
@@ -159,7 +167,7 @@ READ = ("kind int, chunk long, bucket int, doc_id long, held_out boolean, n_toke
 _READ = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()),
                    ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("symbols", pa.int64()),
                    ("keys", pa.binary()), ("counts", pa.binary())])
-DOC, WORDS, GRAMS, SHORT, TEXT = 0, 1, 2, 3, 4
+DOC, WORDS, GRAMS, SHORT, TEXT, DENSE = 0, 1, 2, 3, 4, 5
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -188,24 +196,26 @@ def _unpack_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(d.T).view(U64)[:, 0], dtype=U64)
 
 
-def gram_buckets(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of ascending keys ordered by bucket (a hash of the three nearest bytes), and
-    each bucket's bounds in that order."""
+def gram_buckets(keys: np.ndarray, buckets: int, dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of ascending keys ordered by bucket, and each bucket's bounds in that
+    order. A bucket is a hash of the three nearest bytes, of ``dense`` ones with the fourth."""
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(buckets + 1, np.int64)
     near = keys >> U64(40)
+    near = np.where(np.isin(near, dense), keys >> U64(32) | U64(1 << 32), near) if len(dense) else near
     new = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
-    of = ((mix64(near[new]) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
+    of = ((mix64(near[new]) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int16 if buckets < 1 << 15 else np.int32)
     of = np.repeat(of, np.diff(np.append(new, len(keys))))
     order = np.argsort(of, kind="stable")
     return order, np.searchsorted(of[order], np.arange(buckets + 1))
 
 
-def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
+def read_corpus(docs: DataFrame, buckets: int, dense: np.ndarray) -> DataFrame:
     """One pass over (doc_id, held_out, text). Rows by kind: DOC (a document, by its
     place in the chunk), TEXT (spelled documents, some at a time), WORDS and GRAMS
     (a chunk's distinct word hashes and context keys with training counts, by
-    bucket), SHORT (a chunk's training counts of byte triples)."""
+    bucket), SHORT (a chunk's training counts of byte triples), DENSE (those of the
+    dense contexts of three bytes with their next byte)."""
     def run(it):
         part = TaskContext.get().partitionId()
         nth = 0
@@ -213,21 +223,21 @@ def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
             ids, held = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, data, off in blocks(b.column(2), CHUNK):
                 chunk, nth = (part << 32) | nth, nth + 1
-                words, grams, triples = Grams(), Grams(), Grams()
+                words, grams, triples, quads = Grams(), Grams(), Grams(), Grams()
                 for i, a in enumerate(_sub_blocks(off)):
                     piece = LOWER[data[off[a[0]]: off[a[1]]]]
                     starts, ends, first = word_spans(piece, off[a[0]: a[1] + 1] - off[a[0]], SPACED)
                     hashes = word_hashes(piece, starts, ends)
                     text, begin, end = spelled(piece, starts, ends, first)
                     test = held[lo + a[0]: lo + a[1]]
-                    keys = context_keys(text, own_bytes(begin, end))
-                    in_train = np.repeat(~test, end - begin), np.repeat(~test, np.diff(first))
-                    for sums, x, train in ((grams, keys, in_train[0]), (words, hashes, in_train[1])):
-                        sums.add(x[train])
-                        sums.add(x[~train], counted=False)
-                    triples.add(shorter_keys(keys[in_train[0]], 2))
+                    words.add(hashes, np.repeat(~test, np.diff(first)))
+                    keys, count = grams.add(context_keys(text, own_bytes(begin, end)), np.repeat(~test, end - begin))
+                    keys, count = keys[count > 0], count[count > 0]
+                    triples.put(*_sum_by_key([shorter_keys(keys, 2)], [count]))
+                    often = np.isin(keys >> U64(40), dense)
+                    quads.put(*_sum_by_key([shorter_keys(keys[often], 3)], [count[often]]))
                     sizes, symbols = np.diff(first) + 1, end - begin
-                    yield _batch([(TEXT, chunk, i, None, None, None, None, zlib.compress(text.tobytes(), 6), None)])
+                    yield _batch([(TEXT, chunk, i, None, None, None, None, zlib.compress(text.tobytes(), 4), None)])
                     yield _batch([(DOC, chunk, a[0] + d, ids[lo + a[0] + d], bool(test[d]), int(sizes[d]), int(symbols[d]), None, None)
                                   for d in range(a[1] - a[0])])
                 uniq, count = words.merge()
@@ -235,16 +245,18 @@ def read_corpus(docs: DataFrame, buckets: int) -> DataFrame:
                 yield _batch([(WORDS, chunk, i, None, None, None, None, _pack_keys(uniq[x:y]), _pack_planes(count[x:y]))
                               for i, (x, y) in enumerate(zip(cut, np.append(cut[1:], len(uniq)), strict=True)) if y > x])
                 keys, count = grams.merge()
-                order, cut = gram_buckets(keys, buckets)
+                order, cut = gram_buckets(keys, buckets, dense)
                 for i in range(buckets):
                     rows = order[cut[i]: cut[i + 1]]
                     if len(rows):
                         yield _batch([(GRAMS, chunk, i, None, None, None, None, _pack_keys(keys[rows]), _pack_planes(count[rows]))])
-                keys, count = triples.merge()
-                for i in range(SHORT_BUCKETS):
-                    rows = (keys >> U64(16)) % U64(SHORT_BUCKETS) == i
-                    if rows.any():
-                        yield _batch([(SHORT, chunk, i, None, None, None, None, _pack_keys(keys[rows]), _pack_planes(count[rows].astype(np.int64)))])
+                for kind, sums in ((SHORT, triples), (DENSE, quads)):
+                    keys, count = sums.merge()
+                    for i in range(SHORT_BUCKETS):
+                        rows = (keys >> U64(16)) % U64(SHORT_BUCKETS) == i
+                        if rows.any():
+                            yield _batch([(kind, chunk, i, None, None, None, None, _pack_keys(keys[rows]),
+                                           _pack_planes(count[rows].astype(np.int64)))])
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, READ)
 
 
@@ -254,6 +266,29 @@ def own_bytes(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.arange(int(n.sum())) + np.repeat(begin - (np.cumsum(n) - n), n)
 
 
+#: contexts of three bytes that hold more than this share of a sample's bytes are dense:
+#: at most 1/share of them, so what is broadcast about them has a bound
+DENSE_SHARE, DENSE_SAMPLE, DENSE_STRETCH = 2e-4, 2_000, 4_000
+
+
+def dense_contexts(docs: DataFrame) -> np.ndarray:
+    """Frequent contexts of three bytes in a bounded sample, ascending: ``DENSE_SAMPLE``
+    documents, of each a stretch of ``DENSE_STRETCH`` characters at a place from its hash.
+    Only the dealing of contexts to buckets follows from them, never a result."""
+    spot = F.xxhash64("doc_id", "text")
+    place = F.pmod(F.shiftright(spot, 20), F.greatest(F.length("text") - DENSE_STRETCH, F.lit(0)) + 1) + 1
+    some = docs.where(F.col("text").isNotNull()).orderBy(spot).limit(DENSE_SAMPLE) \
+        .select(F.substring("text", place.cast("int"), F.lit(DENSE_STRETCH)).alias("text")).toArrow()
+    total = Grams()
+    for _, _, data, off in blocks(some.column("text")):
+        data = LOWER[data]
+        text, begin, end = spelled(data, *word_spans(data, off, SPACED))
+        keys = context_keys(text, own_bytes(begin, end)) >> U64(40)
+        total.add(keys, np.ones(len(keys), bool))
+    keys, counts = total.merge()
+    return keys[counts > DENSE_SHARE * counts.sum()]
+
+
 def shorter_keys(keys: np.ndarray, depth: int, whole: int = 7) -> np.ndarray:
     """(nearest ``depth`` bytes, own byte) of keys with ``whole`` context bytes."""
     return (keys >> U64(8 * (whole - depth + 1)) << U64(8)) | (keys & U64(255))
@@ -298,9 +333,11 @@ def word_answers(rows: DataFrame) -> tuple[DataFrame, int, int]:
 
 class Short:
     """Contexts of up to two bytes, from the training counts of (two nearest bytes,
-    next byte): at most 2^24 of them, at any input size."""
+    next byte): at most 2^24 of them, at any input size; and those of the dense
+    contexts of three bytes."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, dense: np.ndarray, dense_keys: np.ndarray, dense_counts: np.ndarray):
+        self.dense, self.dense_keys, self.dense_counts = dense, dense_keys, dense_counts
         self.keys, self.counts = keys, counts
         near, own = (keys >> U64(16)).astype(np.int64), (keys & U64(255)).astype(np.int64)
         one = np.bincount(near * 256 + own, counts, minlength=1 << 16).reshape(256, 256)
@@ -319,28 +356,59 @@ class Short:
         return _smoothed(count, self.n[two], self.kinds[two], self.p[two >> 8, own])
 
 
+    def whole(self, entry: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Corpus-wide (count, n, kinds) of each (three nearest bytes, next byte) of a bucket.
+        ``count``: in the bucket; of dense contexts other buckets hold the rest."""
+        ctx = entry >> U64(8)
+        new = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
+        size = np.diff(np.append(new, len(ctx)))
+        n, kinds = np.repeat(np.add.reduceat(count, new), size), np.repeat(np.add.reduceat((count > 0).astype(np.int64), new), size)
+        split = np.isin(ctx, self.dense)
+        if split.any():
+            at, known = _found(self.dense_keys, entry[split])
+            count = count.copy()
+            count[split] = np.where(known, self.dense_counts[at], 0) if len(self.dense_keys) else 0
+            own = self.dense_keys >> U64(8)
+            low, high = (np.searchsorted(own, ctx[split], side) for side in ("left", "right"))
+            upto = np.concatenate([[0], np.cumsum(self.dense_counts)])
+            n[split], kinds[split] = upto[high] - upto[low], high - low
+        return count, n, kinds
+
+
+def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each asked key among ascending ``keys``, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, asked), max(0, len(keys) - 1))
+    return at, (keys[at] == asked) if len(keys) else np.zeros(len(asked), bool)
+
+
 def _smoothed(count, n, kinds, base):
     """Towards the suffix's distribution; a context that is no candidate has its suffix's."""
     return np.where(n >= MIN_COUNT, (count + kinds * base) / np.maximum(n + kinds, 1), base)
 
 
-def short_contexts(rows: DataFrame) -> Short:
+def short_contexts(rows: DataFrame, dense: np.ndarray) -> Short:
     def add(table: pa.Table) -> pa.Table:
         k, c = _sum_by_key([_unpack_keys(x) for x in table.column("keys").to_pylist()],
                            [_unpack_planes(x, np.int64) for x in table.column("counts").to_pylist()])
-        return pa.table({"keys": pa.array([_pack_keys(k)], pa.binary()), "counts": pa.array([_pack_planes(c)], pa.binary())})
+        return pa.table({"kind": table.column("kind").slice(0, 1), "keys": pa.array([_pack_keys(k)], pa.binary()),
+                         "counts": pa.array([_pack_planes(c)], pa.binary())})
 
-    got = rows.where(F.col("kind") == SHORT).select("bucket", "keys", "counts").groupBy("bucket") \
-        .applyInArrow(add, "keys binary, counts binary").collect()  # at most 2^24 byte triples
-    none = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-    return Short(*_sum_by_key(none[0] + [_unpack_keys(r["keys"]) for r in got],
-                              none[1] + [_unpack_planes(r["counts"], np.int64) for r in got]))
+    # at most 2^24 byte triples, and 256 next bytes of each dense context
+    got = rows.where(F.col("kind").isin(SHORT, DENSE)).select("kind", "bucket", "keys", "counts").groupBy("kind", "bucket") \
+        .applyInArrow(add, "kind int, keys binary, counts binary").collect()
+
+    def of(kind: int) -> tuple[np.ndarray, np.ndarray]:
+        mine = [r for r in got if r.kind == kind]
+        return _sum_by_key([np.zeros(0, U64)] + [_unpack_keys(r["keys"]) for r in mine],
+                           [np.zeros(0, np.int64)] + [_unpack_planes(r["counts"], np.int64) for r in mine])
+    return Short(*of(SHORT), dense, *of(DENSE))
 
 
 def log_probabilities(keys: np.ndarray, counts: np.ndarray, short: Short) -> np.ndarray:
     """log10 probability of each key's byte after its longest retained context.
-    ``keys``: ascending, all keys of the corpus with the same three nearest bytes
-    or several such sets; ``counts``: in training, 0 for keys only asked for."""
+    ``keys``: ascending, all keys of the corpus with the same three nearest bytes (four,
+    where three are dense) or several such sets; ``counts``: in training, 0 for keys
+    only asked for."""
     if not len(keys):
         return np.zeros(0, np.float32)
     entry, count, up = {DEPTH: shorter_keys(keys, DEPTH)}, {DEPTH: counts}, {}
@@ -355,15 +423,19 @@ def log_probabilities(keys: np.ndarray, counts: np.ndarray, short: Short) -> np.
         if d == 2:
             continue
         c, base = count[d], p[d - 1][up[d]]
+        if d == KEPT:  # always retained; some have their other keys in other buckets
+            c, n, kinds = short.whole(entry[d], c)
+            p[d] = _smoothed(c, n, kinds, base)
+            continue
         n, kinds = np.add.reduceat(c, np.flatnonzero(new)), np.add.reduceat((c > 0).astype(np.int64), np.flatnonzero(new))
         p[d] = _smoothed(c, n[row[d]], kinds[row[d]], base)
         gain = np.bincount(row[d], c * np.log2(np.where(c > 0, c / np.maximum(n[row[d]], 1) / base, 1.0)), minlength=len(n))
         keep[d] = (n >= MIN_COUNT) & (gain > GAIN_BITS * kinds)
         suffix[d] = row[d - 1][up[d][new]]
-    for d in range(DEPTH, 3, -1):
+    for d in range(DEPTH, KEPT + 1, -1):
         keep[d - 1][suffix[d][keep[d]]] = True
-    out = p[2]
-    for d in range(3, DEPTH + 1):
+    out = p[KEPT]
+    for d in range(KEPT + 1, DEPTH + 1):
         out = np.where(keep[d][row[d]], p[d], out[up[d]])
     return np.log10(out).astype(np.float32)
 
@@ -383,125 +455,7 @@ def gram_answers(rows: DataFrame, short) -> DataFrame:
         .groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, counts binary")
 
 
-# --- the tree of one text, held whole ----------------------------------------
-
-class Level:
-    """All candidate contexts of one depth, sparse: entries sorted by (context,
-    next byte), their smoothed probabilities, and one row per context."""
-
-    def __init__(self, found: tuple[np.ndarray, np.ndarray, np.ndarray], shorter: Level | None):
-        ctx, nxt, c = found
-        self.key = (ctx << U64(8)) | nxt.astype(U64)
-        order = np.argsort(self.key)
-        self.key, self.next, c = self.key[order], nxt[order], c[order]
-        ctx = self.key >> U64(8)
-        new = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
-        self.ctx, self.n = ctx[new], np.add.reduceat(c, new)
-        self.kinds = np.diff(np.append(new, len(ctx)))
-        self.row = np.repeat(np.arange(len(new), dtype=np.int32), self.kinds)
-        if shorter is None:  # the root, towards uniform bytes
-            self.p = (c + 1) / (self.n[self.row] + 256)
-            self.gain = np.full(1, np.inf)
-        else:
-            base = shorter.p[np.searchsorted(shorter.key, ((ctx >> U64(8)) << U64(8)) | (self.key & U64(255)))]
-            n, kinds = self.n[self.row], self.kinds[self.row]
-            self.p = ((c + kinds * base) / (n + kinds)).astype(np.float32)
-            self.gain = np.bincount(self.row, c * np.log2(c / n / base), minlength=len(new))
-
-    def at(self, ctx: np.ndarray) -> np.ndarray:
-        """Row of each context; -1: not a candidate."""
-        i = np.minimum(np.searchsorted(self.ctx, ctx), len(self.ctx) - 1)
-        return np.where(self.ctx[i] == ctx, i, -1)
-
-
-class Tree:
-    """Retained contexts as an automaton: ``move`` (next state) and ``log10`` of the
-    next byte's probability, by state and symbol; ``symbol`` maps bytes. A
-    context's key holds its newest byte on top."""
-
-    def __init__(self, found: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], least: int):
-        if 0 not in found or not len(found[0][0]):
-            found = {0: (np.zeros(1, U64), np.array([END], np.uint8), np.zeros(1, np.int64))}
-        levels: list[Level] = []
-        for d in range(DEPTH + 1):
-            if d not in found or not len(found[d][0]):
-                break
-            levels.append(Level(found[d], levels[-1] if levels else None))
-        keep = [(x.n >= least) & (x.gain > GAIN_BITS * x.kinds) if d else np.ones(1, bool) for d, x in enumerate(levels)]
-        for d in range(len(levels) - 1, 0, -1):  # the suffix and the prefix of a kept context stay too
-            ctx = levels[d].ctx[keep[d]]
-            for shorter in (ctx >> U64(8), ctx & U64((1 << 8 * (d - 1)) - 1)):
-                keep[d - 1][levels[d - 1].at(shorter)] = True
-        self.seen = levels[0].next
-        width = len(self.seen) + 1  # the last symbol stands for every unseen byte
-        self.unseen = max(1, 256 - len(self.seen))
-        self.symbol = np.full(256, width - 1, np.int32)
-        self.symbol[self.seen] = np.arange(len(self.seen))
-        self.ids, rows, states = [], [], 0  # ids, like levels, are only needed here
-        for d, x in enumerate(levels):
-            ids = np.full(len(x.ctx), -1, np.int64)
-            ids[keep[d]] = states + np.arange(int(keep[d].sum()))
-            if d == 0:
-                mine = np.full((1, width), self.unseen / (x.n[0] + 256), np.float32)
-            else:
-                parent = self.ids[d - 1][levels[d - 1].at(x.ctx[keep[d]] >> U64(8))] - self.first
-                mine = rows[-1][parent] * (x.kinds / (x.n + x.kinds))[keep[d]][:, None].astype(np.float32)
-            entry = keep[d][x.row]
-            mine[ids[x.row[entry]] - states, self.symbol[x.next[entry]]] = x.p[entry]
-            rows.append(mine)
-            self.ids.append(ids)
-            self.first, states = states, states + len(mine)
-        self.log10 = np.log10(np.concatenate(rows))
-        self.states = states
-        self._flat(self._moves(levels, keep))
-        del self.ids
-
-    def _moves(self, levels: list[Level], keep: list[np.ndarray]) -> np.ndarray:
-        """Next state: the longest retained suffix of the state's context and the byte."""
-        move = np.zeros((self.states, len(self.seen) + 1), np.int32)
-        for d, x in enumerate(levels):
-            ctx, rows = x.ctx[keep[d]], self.ids[d][keep[d]]
-            for s, byte in enumerate(self.seen.tolist()):
-                for e in range(1, min(d + 1, len(levels) - 1) + 1):  # the e newest bytes of context and byte
-                    i = levels[e].at((U64(byte) << U64(8 * (e - 1))) | (ctx >> U64(8 * (d - e + 1))))
-                    state = np.where(i >= 0, self.ids[e][i], -1)
-                    move[rows, s] = np.where(state >= 0, state, move[rows, s])
-        return move
-
-    def _flat(self, move: np.ndarray) -> None:
-        """Flat tables with one more symbol behind the end: stays, costs nothing."""
-        self.log10[:, -1] -= np.float32(math.log10(self.unseen))
-        self.pad = move.shape[1]
-        self.width = self.pad + 1
-        move = np.concatenate([move, np.arange(self.states, dtype=np.int32)[:, None]], axis=1)
-        self.move = (move * self.width).ravel().astype(np.int32)
-        self.log10 = np.concatenate([self.log10, np.zeros((self.states, 1), np.float32)], axis=1).ravel()
-
-    def score(self, text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """log10 probability of each document's own bytes. Stretches start DEPTH
-        bytes early, after which the state doesn't depend on what came before."""
-        move, log10, pad = self.move, self.log10, self.pad
-        sym = self.symbol[text]
-        out = np.zeros(len(begin))
-        sizes = end - begin
-        doc, a, z = stretches(np.concatenate([[0], np.cumsum(sizes)]), STRETCH)
-        shift = (begin - (np.cumsum(sizes) - sizes))[doc]
-        a, z = a + shift, z + shift
-        lanes = 2048
-        for i in range(0, len(doc), lanes):
-            cols = columns(sym, a[i: i + lanes], z[i: i + lanes], pad, DEPTH)
-            state = np.zeros(cols.shape[1], np.int32)
-            total = np.zeros(cols.shape[1])
-            for t, step in enumerate(cols):
-                at = state + step
-                if t >= DEPTH:
-                    total += log10[at]
-                state = move[at]
-            out += np.bincount(doc[i: i + lanes], weights=total, minlength=len(begin))
-        return out
-
-
-def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, n: int, v: int, ends: int) -> DataFrame:
+def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, dense: np.ndarray, n: int, v: int, ends: int) -> DataFrame:
     """Add-one unigram scores and the model's scores: a chunk's documents meet the
     answers (by kind) to its words and context keys."""
     ddl = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -513,35 +467,30 @@ def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, n: int, v
         raw = mine.filter(pc.equal(mine.column("kind"), TEXT)).sort_by("bucket").column("keys").to_pylist()
         size, tokens = docs.column("symbols").to_numpy(), docs.column("n_tokens").to_numpy()
         upto = np.concatenate([[0], np.cumsum(size + DEPTH)])
-        parts, lo, uniq, keys = [], 0, Distinct(), Distinct()
+        parts, lo, words, grams = [], 0, Numbered(), Numbered()
         for x in raw:  # the documents of each stored piece
             text = np.frombuffer(zlib.decompress(x), np.uint8)
             hi = int(np.searchsorted(upto, upto[lo] + len(text)))
-            parts.append((x, lo, hi))
-            w, k, _ = pieces(text, upto[lo: hi + 1] - upto[lo])
-            uniq.add(w)
-            keys.add(k)
+            w, k, first = pieces(text, upto[lo: hi + 1] - upto[lo])
+            words.add(w)
+            grams.add(k)
+            parts.append((lo, hi, np.diff(first)))
             lo = hi
-        uniq, keys = uniq.merge(), keys.merge()
+        uniq, keys = words.distinct(), grams.distinct()
         got = sorted(zip(found.column("kind").to_pylist(), found.column("bucket").to_pylist(), found.column("counts").to_pylist(),
                          strict=True), key=lambda r: r[:2])
         count = np.concatenate([np.zeros(0, np.int64)] + [_unpack_planes(x, np.int64) for kind, _, x in got if kind == WORDS])
         model = np.zeros(len(keys), np.float32)
-        model[gram_buckets(keys, buckets)[0]] = np.concatenate([_unpack_planes(x, np.float32) for kind, _, x in got if kind == GRAMS])
+        model[gram_buckets(keys, buckets, dense)[0]] = np.concatenate(
+            [np.zeros(0, np.float32)] + [_unpack_planes(x, np.float32) for kind, _, x in got if kind == GRAMS])
         value, known = np.log10((count + 1) / (n + v + 1)), count > 0
         end = math.log10((ends + 1) / (n + v + 1))
         base, n_known, total = np.zeros(len(size)), np.zeros(len(size), np.int64), np.zeros(len(size))
-        for x, lo, hi in parts:
-            text = np.frombuffer(zlib.decompress(x), np.uint8)
-            w, k, first = pieces(text, upto[lo: hi + 1] - upto[lo])
-            doc = np.repeat(np.arange(hi - lo), np.diff(first))
-            at = np.searchsorted(uniq, w)
-            base[lo:hi] = np.bincount(doc, value[at], minlength=hi - lo) + end
-            n_known[lo:hi] = np.bincount(doc, known[at], minlength=hi - lo) + (ends > 0)
-            order = np.argsort(k)
-            per_byte = np.empty(len(k))
-            per_byte[order] = model[np.searchsorted(keys, k[order])]
-            total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), size[lo:hi]), per_byte, minlength=hi - lo)
+        for i, (lo, hi, in_doc) in enumerate(parts):
+            doc = np.repeat(np.arange(hi - lo), in_doc)
+            base[lo:hi] = np.bincount(doc, words.values(i, uniq, value), minlength=hi - lo) + end
+            n_known[lo:hi] = np.bincount(doc, words.values(i, uniq, known), minlength=hi - lo) + (ends > 0)
+            total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), size[lo:hi]), grams.values(i, keys, model), minlength=hi - lo)
         return pa.table([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens), pa.array(n_known),
                          pa.array(np.full(len(size), n)), pa.array(base), pa.array(total)], schema=schema)
 
@@ -562,12 +511,13 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")) \
         .select("doc_id", held_out().alias("held_out"), "text")
-    rows = saved(read_corpus(docs, buckets), "corpus")
+    dense = dense_contexts(docs)
+    rows = saved(read_corpus(docs, buckets, dense), "corpus")
     answers, n, v = word_answers(rows)
     ends = rows.where((F.col("kind") == DOC) & ~F.col("held_out")).count()
-    short = spark.sparkContext.broadcast(short_contexts(rows))
+    short = spark.sparkContext.broadcast(short_contexts(rows, dense))
     words, grams = (x.select("chunk", "bucket", "counts", F.lit(kind).alias("kind"))
                     for x, kind in ((answers, WORDS), (gram_answers(rows, short), GRAMS)))
-    out = saved(document_scores(rows, words.unionByName(grams), buckets, n, v, ends), "scores")
+    out = saved(document_scores(rows, words.unionByName(grams), buckets, dense, n, v, ends), "scores")
     short.destroy()
     return out
