@@ -36,9 +36,9 @@ import math
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +49,8 @@ DEPTH = 7  # with the next byte, a key fills 64 bits
 MIN_COUNT = 8
 KEPT = 3  # contexts of up to so many bytes stay without a divergence test
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
-CHUNK = 48 << 20
-HELD_KEYS = 1_000_000  # keys that wait before they are merged
+CHUNK = 24 << 20
+HELD_KEYS = 2_500_000  # keys that wait before they are merged
 SHORT_BUCKETS = 8
 END = 0x0A
 
@@ -107,12 +107,9 @@ class Grams:
     def __init__(self):
         self.held, self.keys, self.counts, self.waiting = None, [], [], 0
 
-    def add(self, keys: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys of one piece and how often each is counted."""
-        codes, k = pd.factorize(keys)
-        c = np.bincount(codes[counted], minlength=len(k)).astype(np.int32)
-        self.put(k, c)
-        return k, c
+    def add(self, keys: np.ndarray, counted: bool = True) -> None:
+        k, c = np.unique(keys, return_counts=True)
+        self.put(k, (c * counted).astype(np.int32))
 
     def put(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
@@ -137,24 +134,21 @@ class Grams:
         return self.held or (np.zeros(0, U64), np.zeros(0, np.int64))
 
 
-class Numbered:
-    """Keys of several pieces, each by its place among all distinct keys."""
+class Distinct:
+    """Distinct keys, merged now and then."""
 
     def __init__(self):
-        self.codes: list[np.ndarray] = []
-        self.keys: list[np.ndarray] = []
+        self.keys, self.waiting = [], 0
 
     def add(self, keys: np.ndarray) -> None:
-        codes, k = pd.factorize(keys)
-        self.codes.append(codes.astype(np.int32))
-        self.keys.append(k)
-
-    def distinct(self) -> np.ndarray:
-        return _distinct(np.concatenate([np.zeros(0, U64), *self.keys]))
+        self.keys.append(_distinct(keys))
+        self.waiting += len(self.keys[-1])
+        if self.waiting > HELD_KEYS:
+            self.merge()
 
-    def values(self, piece: int, distinct: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """``value`` (by distinct key) of each key of a piece."""
-        return value[np.searchsorted(distinct, self.keys[piece])][self.codes[piece]]
+    def merge(self) -> np.ndarray:
+        self.keys, self.waiting = [_distinct(np.concatenate(self.keys))] if self.keys else [np.zeros(0, U64)], 0
+        return self.keys[0]
 
 
 def _distinct(keys: np.ndarray) -> np.ndarray:
@@ -202,7 +196,7 @@ def gram_buckets(keys: np.ndarray, buckets: int, dense: np.ndarray) -> tuple[np.
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(buckets + 1, np.int64)
     near = keys >> U64(40)
-    near = np.where(np.isin(near, dense), keys >> U64(32) | U64(1 << 32), near) if len(dense) else near
+    near = np.where(_among(dense)[near.astype(np.int64)], keys >> U64(32) | U64(1 << 32), near) if len(dense) else near
     new = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
     of = ((mix64(near[new]) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int16 if buckets < 1 << 15 else np.int32)
     of = np.repeat(of, np.diff(np.append(new, len(keys))))
@@ -210,6 +204,13 @@ def gram_buckets(keys: np.ndarray, buckets: int, dense: np.ndarray) -> tuple[np.
     return order, np.searchsorted(of[order], np.arange(buckets + 1))
 
 
+def _among(dense: np.ndarray) -> np.ndarray:
+    """By context of three bytes: is it dense?"""
+    out = np.zeros(1 << 24, bool)
+    out[dense.astype(np.int64)] = True
+    return out
+
+
 def read_corpus(docs: DataFrame, buckets: int, dense: np.ndarray) -> DataFrame:
     """One pass over (doc_id, held_out, text). Rows by kind: DOC (a document, by its
     place in the chunk), TEXT (spelled documents, some at a time), WORDS and GRAMS
@@ -218,7 +219,7 @@ def read_corpus(docs: DataFrame, buckets: int, dense: np.ndarray) -> DataFrame:
     dense contexts of three bytes with their next byte)."""
     def run(it):
         part = TaskContext.get().partitionId()
-        nth = 0
+        nth, frequent, pack = 0, _among(dense), zstandard.ZstdCompressor(level=3)
         for b in it:
             ids, held = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, data, off in blocks(b.column(2), CHUNK):
@@ -230,14 +231,17 @@ def read_corpus(docs: DataFrame, buckets: int, dense: np.ndarray) -> DataFrame:
                     hashes = word_hashes(piece, starts, ends)
                     text, begin, end = spelled(piece, starts, ends, first)
                     test = held[lo + a[0]: lo + a[1]]
-                    words.add(hashes, np.repeat(~test, np.diff(first)))
-                    keys, count = grams.add(context_keys(text, own_bytes(begin, end)), np.repeat(~test, end - begin))
-                    keys, count = keys[count > 0], count[count > 0]
-                    triples.put(*_sum_by_key([shorter_keys(keys, 2)], [count]))
-                    often = np.isin(keys >> U64(40), dense)
-                    quads.put(*_sum_by_key([shorter_keys(keys[often], 3)], [count[often]]))
+                    keys = context_keys(text, own_bytes(begin, end))
+                    in_train = np.repeat(~test, end - begin), np.repeat(~test, np.diff(first))
+                    for sums, x, train in ((grams, keys, in_train[0]), (words, hashes, in_train[1])):
+                        sums.add(x[train])
+                        sums.add(x[~train], counted=False)
+                    keys = keys[in_train[0]]
+                    triples.add(shorter_keys(keys, 2).astype(np.uint32))
+                    often = keys[frequent[(keys >> U64(40)).astype(np.int64)]]
+                    quads.add(shorter_keys(often, 3).astype(np.uint32))
                     sizes, symbols = np.diff(first) + 1, end - begin
-                    yield _batch([(TEXT, chunk, i, None, None, None, None, zlib.compress(text.tobytes(), 4), None)])
+                    yield _batch([(TEXT, chunk, i, None, None, None, None, pack.compress(text.tobytes()), None)])
                     yield _batch([(DOC, chunk, a[0] + d, ids[lo + a[0] + d], bool(test[d]), int(sizes[d]), int(symbols[d]), None, None)
                                   for d in range(a[1] - a[0])])
                 uniq, count = words.merge()
@@ -252,6 +256,7 @@ def read_corpus(docs: DataFrame, buckets: int, dense: np.ndarray) -> DataFrame:
                         yield _batch([(GRAMS, chunk, i, None, None, None, None, _pack_keys(keys[rows]), _pack_planes(count[rows]))])
                 for kind, sums in ((SHORT, triples), (DENSE, quads)):
                     keys, count = sums.merge()
+                    keys = keys.astype(U64)
                     for i in range(SHORT_BUCKETS):
                         rows = (keys >> U64(16)) % U64(SHORT_BUCKETS) == i
                         if rows.any():
@@ -268,7 +273,7 @@ def own_bytes(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 #: contexts of three bytes that hold more than this share of a sample's bytes are dense:
 #: at most 1/share of them, so what is broadcast about them has a bound
-DENSE_SHARE, DENSE_SAMPLE, DENSE_STRETCH = 2e-4, 2_000, 4_000
+DENSE_SHARE, DENSE_SAMPLE, DENSE_STRETCH = 1e-3, 2_000, 4_000
 
 
 def dense_contexts(docs: DataFrame) -> np.ndarray:
@@ -276,15 +281,17 @@ def dense_contexts(docs: DataFrame) -> np.ndarray:
     documents, of each a stretch of ``DENSE_STRETCH`` characters at a place from its hash.
     Only the dealing of contexts to buckets follows from them, never a result."""
     spot = F.xxhash64("doc_id", "text")
-    place = F.pmod(F.shiftright(spot, 20), F.greatest(F.length("text") - DENSE_STRETCH, F.lit(0)) + 1) + 1
-    some = docs.where(F.col("text").isNotNull()).orderBy(spot).limit(DENSE_SAMPLE) \
-        .select(F.substring("text", place.cast("int"), F.lit(DENSE_STRETCH)).alias("text")).toArrow()
+    place = F.pmod(F.shiftright("spot", 20), F.greatest(F.length("text") - DENSE_STRETCH, F.lit(0)) + 1) + 1
+    few = 4.0 * DENSE_SAMPLE * (1 << 20) / max(1, docs.count())  # a hash threshold in front of the sort
+    some = docs.where(F.col("text").isNotNull()).withColumn("spot", spot).where(F.pmod("spot", F.lit(1 << 20)) <= few) \
+        .select("spot", F.substring("text", place.cast("int"), F.lit(DENSE_STRETCH)).alias("text")) \
+        .orderBy(F.pmod("spot", F.lit(1 << 20)), "spot").limit(DENSE_SAMPLE).toArrow()
     total = Grams()
     for _, _, data, off in blocks(some.column("text")):
         data = LOWER[data]
         text, begin, end = spelled(data, *word_spans(data, off, SPACED))
         keys = context_keys(text, own_bytes(begin, end)) >> U64(40)
-        total.add(keys, np.ones(len(keys), bool))
+        total.add(keys)
     keys, counts = total.merge()
     return keys[counts > DENSE_SHARE * counts.sum()]
 
@@ -467,16 +474,17 @@ def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, dense: np
         raw = mine.filter(pc.equal(mine.column("kind"), TEXT)).sort_by("bucket").column("keys").to_pylist()
         size, tokens = docs.column("symbols").to_numpy(), docs.column("n_tokens").to_numpy()
         upto = np.concatenate([[0], np.cumsum(size + DEPTH)])
-        parts, lo, words, grams = [], 0, Numbered(), Numbered()
+        parts, lo, uniq, keys, unpack = [], 0, Distinct(), Distinct(), zstandard.ZstdDecompressor()
         for x in raw:  # the documents of each stored piece
-            text = np.frombuffer(zlib.decompress(x), np.uint8)
+            text = np.frombuffer(unpack.decompress(x), np.uint8)
             hi = int(np.searchsorted(upto, upto[lo] + len(text)))
-            w, k, first = pieces(text, upto[lo: hi + 1] - upto[lo])
-            words.add(w)
-            grams.add(k)
-            parts.append((lo, hi, np.diff(first)))
+            off = upto[lo: hi + 1] - upto[lo]
+            *spans, first = word_spans(text, off, SPACED)
+            parts.append((x, lo, hi, word_hashes(text, *spans), np.diff(first)))
+            uniq.add(parts[-1][3])
+            keys.add(_contexts(text, off))
             lo = hi
-        uniq, keys = words.distinct(), grams.distinct()
+        uniq, keys = uniq.merge(), keys.merge()
         got = sorted(zip(found.column("kind").to_pylist(), found.column("bucket").to_pylist(), found.column("counts").to_pylist(),
                          strict=True), key=lambda r: r[:2])
         count = np.concatenate([np.zeros(0, np.int64)] + [_unpack_planes(x, np.int64) for kind, _, x in got if kind == WORDS])
@@ -486,11 +494,16 @@ def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, dense: np
         value, known = np.log10((count + 1) / (n + v + 1)), count > 0
         end = math.log10((ends + 1) / (n + v + 1))
         base, n_known, total = np.zeros(len(size)), np.zeros(len(size), np.int64), np.zeros(len(size))
-        for i, (lo, hi, in_doc) in enumerate(parts):
+        for x, lo, hi, w, in_doc in parts:
             doc = np.repeat(np.arange(hi - lo), in_doc)
-            base[lo:hi] = np.bincount(doc, words.values(i, uniq, value), minlength=hi - lo) + end
-            n_known[lo:hi] = np.bincount(doc, words.values(i, uniq, known), minlength=hi - lo) + (ends > 0)
-            total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), size[lo:hi]), grams.values(i, keys, model), minlength=hi - lo)
+            at = np.searchsorted(uniq, w)
+            base[lo:hi] = np.bincount(doc, value[at], minlength=hi - lo) + end
+            n_known[lo:hi] = np.bincount(doc, known[at], minlength=hi - lo) + (ends > 0)
+            k = _contexts(np.frombuffer(unpack.decompress(x), np.uint8), upto[lo: hi + 1] - upto[lo])
+            order = np.argsort(k)
+            per_byte = np.empty(len(k))
+            per_byte[order] = model[np.searchsorted(keys, k[order])]
+            total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), size[lo:hi]), per_byte, minlength=hi - lo)
         return pa.table([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens), pa.array(n_known),
                          pa.array(np.full(len(size), n)), pa.array(base), pa.array(total)], schema=schema)
 
@@ -498,10 +511,9 @@ def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, dense: np
     return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, ddl)
 
 
-def pieces(text: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hashes, context keys, each document's first word) of spelled documents."""
-    starts, ends, first = word_spans(text, off, SPACED)
-    return word_hashes(text, starts, ends), context_keys(text, own_bytes(off[:-1] + DEPTH, off[1:])), first
+def _contexts(text: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Context keys of spelled documents."""
+    return context_keys(text, own_bytes(off[:-1] + DEPTH, off[1:]))
 
 
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
