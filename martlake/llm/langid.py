@@ -18,7 +18,8 @@ all languages alike).
 Bounds of the sample: ``SAMPLE_DOCS`` labelled documents a language, of any length (of
 one above ``SAMPLE_CHARS`` characters a stretch of that length, from a place that
 its hash names), ``LANGUAGE_SYMBOLS`` symbols a language and ``ALL_SYMBOLS`` of all
-languages together (with more than 16 languages each gets its share).
+languages together (with more than 16 languages each gets its share); at most the
+``LANGUAGES`` languages with most labelled documents are learned.
 
 The score is ``1 / sum over languages 2^(-(h - h_min) * min(symbols, 32))``.
 
@@ -43,7 +44,7 @@ from martlake.llm.automata import columns, stretches, suffix_automaton
 from martlake.llm.text import without
 
 STRETCH = 512
-SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGE_SYMBOLS, ALL_SYMBOLS = 48, 20_000, 32_768, 1 << 19
+SAMPLE_DOCS, SAMPLE_CHARS, LANGUAGE_SYMBOLS, ALL_SYMBOLS, LANGUAGES = 48, 20_000, 32_768, 1 << 19, 4096
 UND = "und"
 #: symbols: 0 no letter, 1 a letter that the labelled text lacks, DIRECT frequent letters,
 #: DIGITS digits that spell the others, 47 behind the end
@@ -179,7 +180,7 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) ->
                      F.col(f"`{lang_col}`").alias("lang")) \
         .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")) \
         .select("lang", "doc_id", spot.alias("spot"), _stretch("text", spot).alias("text"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = F.broadcast(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES))
     # a hash threshold leaves some times the documents asked for, before they are ranked
     few = F.pmod("spot", F.lit(1 << 20)) <= F.lit(4.0 * SAMPLE_DOCS) * (1 << 20) / F.col("n")
     near = rows.join(sizes, "lang").where(few).groupBy("lang", "doc_id", "spot").agg(F.first("text").alias("text"))
