@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from martlake.operators import checks as C
 from martlake.operators import constraints as CV
 from martlake.plans import derived as D
@@ -68,14 +70,21 @@ def _sql_unique():
     return parts
 
 
+ACCEPTED = (("o_orderstatus", ACCEPTED_STATUS), ("o_orderpriority", PRIORITIES))
+
+
+def _sql_offending(column, values):
+    inlist = ", ".join(f"'{v}'" for v in values)
+    return (f"(SELECT coalesce(CAST({column} AS VARCHAR), 'NULL') AS v, count(*) AS n FROM d "
+            f"WHERE {column} IS NULL OR {column} NOT IN ({inlist}) GROUP BY 1)")
+
+
 def _sql_accepted():
     parts = []
-    for c, vals in (("o_orderstatus", ACCEPTED_STATUS), ("o_orderpriority", PRIORITIES)):
-        inlist = ", ".join(f"'{v}'" for v in vals)
-        bad = f"(SELECT DISTINCT coalesce(CAST({c} AS VARCHAR), 'NULL') AS v FROM d WHERE {c} IS NULL OR {c} NOT IN ({inlist}))"
+    for c, vals in ACCEPTED:
+        bad = _sql_offending(c, vals)
         n = f"(SELECT count(*) FROM {bad})"
-        detail = (f"CASE WHEN {n} > 0 THEN (SELECT string_agg(v, ',' ORDER BY v) FROM "
-                  f"(SELECT v FROM {bad} ORDER BY v LIMIT 20)) END")
+        detail = f"CASE WHEN {n} > 0 THEN 'rows=' || CAST((SELECT sum(n) FROM {bad}) AS VARCHAR) END"
         parts.append(_row("accepted_values", c, f"{n} = 0", n, detail))
     return parts
 
@@ -115,7 +124,20 @@ def _reg_kind(kind, parts):
 
 _reg_kind("not_null", _sql_not_null())
 _reg_kind("unique", _sql_unique())
-_reg_kind("accepted_values", _sql_accepted())
+
+
+@register("dq_accepted_values", f"WITH d AS {ORDERS_D}, r AS (\n" + "\nUNION ALL\n".join(_sql_accepted()) + """),
+o AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS c, v, n FROM {_sql_offending(c, vals)}" for c, vals in ACCEPTED) + """)
+SELECT r.*, o.v AS offender, o.n AS offender_rows FROM r LEFT JOIN o ON r."column" = o.c""")
+def q_dq_accepted_values(spark, sf_dir):
+    """Each check's result with all values it refuses, one row per value."""
+    orders, parent = _inputs(spark, sf_dir)
+    chosen = suite(parent)["accepted_values"]
+    found = C.offenders(orders, chosen, "orders").select(
+        "column", F.col("value").alias("offender"), F.col("rows").alias("offender_rows"))
+    return C.run_checks(orders, chosen, "orders").join(found, "column", "left")
+
+
 _reg_kind("range", _sql_range())
 _reg_kind("row_count", _sql_row_count())
 _reg_kind("referential_integrity", _sql_ri())
@@ -132,6 +154,24 @@ def q_dq_summary(spark, sf_dir):
     return C.summary(suite_results(spark, sf_dir))
 
 
+# the same tests declared as data, and one that only warns
+DECLARED = {
+    "o_orderkey": ["not_null", "unique"],
+    "o_orderstatus": [{"accepted_values": list(ACCEPTED_STATUS), "severity": "warn"}],
+    "o_totalprice": [{"range": {"min": PRICE_MIN, "max": PRICE_MAX}}],
+    "o_custkey": ["not_null", {"relationships": {"to": "customer", "field": "c_custkey"}}],
+}
+_DECLARED_SQL = [_sql_not_null()[0], _sql_unique()[0], _sql_accepted()[0].replace("'error' AS severity", "'warn' AS severity"),
+                 *_sql_range(), _sql_not_null()[1], *_sql_ri()]
+
+
+@register("dq_declared", _with_d(_DECLARED_SQL))
+def q_dq_declared(spark, sf_dir):
+    """Column tests from a declaration (``checks_from_spec``), dbt style."""
+    orders, parent = _inputs(spark, sf_dir)
+    return C.run_checks(orders, C.checks_from_spec(DECLARED, {"customer": parent}), "orders")
+
+
 @register("dq_gate", SUITE_SQL + """
 SELECT coalesce(list(lbl ORDER BY lbl), []) AS failed_checks, count(*) > 0 AS blocked
 FROM (SELECT CASE WHEN "column" IS NULL THEN target || ':' || "check"
