@@ -3,12 +3,14 @@
 Marks are a small table keyed by (pipeline_name, table_name); saving one is an
 upsert on that key. The run log is appended by a context manager that records
 start, end, status and row counts (row counts come from an ``Observation`` on
-the written frame, so counting costs no extra job).
+the written frame, so counting costs no extra job); with a path it is a table that
+outlives the session.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import traceback
 from contextlib import contextmanager
 
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.operators.merge import upsert
+from martlake.sinks import snapshots as SN
 
 MARK_SCHEMA = "pipeline_name string, table_name string, watermark_value string, updated_at timestamp_ntz"
 MARK_KEYS = ["pipeline_name", "table_name"]
@@ -53,10 +56,17 @@ def mark_value(marks: DataFrame, pipeline: str, table: str) -> str | None:
 
 
 class RunLog:
-    """Collects run-log rows; ``frame()`` returns them as a DataFrame."""
+    """Records runs: start, end, status, row counts, attempt.
 
-    def __init__(self, spark: SparkSession):
+    With a ``path`` every finished run is appended to the snapshot table there as soon
+    as it ends, failed ones too, with the attempt's number (one more than the run
+    has in the table). Without one the rows stay in this object. ``frame()`` gives
+    the rows of this object either way.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
+        self.path = path
         self.rows: list[tuple] = []
 
     @contextmanager
@@ -64,16 +74,29 @@ class RunLog:
         clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         rec = {"processed": Observation(f"processed_{run_id}"), "loaded": Observation(f"loaded_{run_id}"),
                "meta": {}}
-        start = clock()
+        start, failure = clock(), None
         try:
             yield rec
         except Exception as e:
-            self.rows.append((run_id, pipeline, "failed", start, clock(), self._n(rec["processed"]),
-                              self._n(rec["loaded"]), "".join(traceback.format_exception_only(e)).strip(),
-                              str(rec["meta"])))
+            failure = "".join(traceback.format_exception_only(e)).strip()
             raise
-        self.rows.append((run_id, pipeline, "success", start, clock(), self._n(rec["processed"]),
-                          self._n(rec["loaded"]), None, str(rec["meta"])))
+        finally:
+            self._finish((run_id, pipeline, "failed" if failure else "success", start, clock(), self._n(rec["processed"]),
+                          self._n(rec["loaded"]), failure, json.dumps(rec["meta"], default=str)))
+
+    def _finish(self, row: tuple) -> None:
+        self.rows.append(row)
+        while self.path:
+            base = SN.current(self.spark, self.path)
+            before = 0
+            if base is not None:
+                before = SN.read_snapshot(self.spark, self.path, base).where(F.col("run_id") == row[0]).count()
+            one = self.spark.createDataFrame([(*row, before + 1)], f"{RUN_SCHEMA}, attempt int").coalesce(1)
+            try:
+                SN.publish(one, self.path, mode="append", base=base)
+                return
+            except SN.CommitConflict:  # another run ended in between: look again
+                continue
 
     @staticmethod
     def _n(obs: Observation) -> int:
@@ -89,3 +112,18 @@ class RunLog:
 
     def frame(self) -> DataFrame:
         return self.spark.createDataFrame(self.rows, RUN_SCHEMA)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """All runs of a persisted log; none when nothing was logged yet."""
+    if SN.current(spark, path) is None:
+        return spark.createDataFrame([], f"{RUN_SCHEMA}, attempt int")
+    return SN.read(spark, path)
+
+
+def compact_run_log(spark: SparkSession, path: str) -> None:
+    """The same rows in one folder; a run that ends meanwhile makes this load fail, not
+    vanish."""
+    base = SN.current(spark, path)
+    if base is not None:
+        SN.publish(SN.read_snapshot(spark, path, base).coalesce(1), path, base=base)

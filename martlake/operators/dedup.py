@@ -26,6 +26,9 @@ def latest_by_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFr
     if not others:
         return df.dropDuplicates(keys)
     row = F.struct(*[F.col(c) for c in others])
-    rank = F.struct(*[F.col(c) for c in order_by], row)
+    types = dict(df.dtypes)
+    # the row itself breaks ties; maps and variants have no order, their JSON text has
+    parts = [F.to_json(c).alias(c) if "map<" in types[c] or "variant" in types[c] else F.col(c) for c in others]
+    rank = F.struct(*[F.col(c) for c in order_by], F.struct(*parts))
     picked = df.groupBy(*keys).agg(F.max_by(row, rank).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.scalar import age_hours
 from martlake.params import QualityParams
+from martlake.sinks import snapshots as SN
 
 QP = QualityParams()
 
@@ -55,6 +56,21 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], as_of: str,
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def freshness_of_loads(spark, tables: dict[str, str], as_of: str, limit_hours: float = QP.freshness_hours) -> DataFrame:
+    """Freshness by load time: ``{name: path of a snapshot table}``. The load time is the
+    ``loaded_at`` that each table's current commit notes; no row is read. A table
+    that was never loaded is stale."""
+    rows = []
+    for name, path in tables.items():
+        snap = SN.current(spark, path)
+        loaded = snap.notes.get("loaded_at") if snap else None
+        rows.append((name, loaded, None if loaded else "no load time" if snap else "never loaded"))
+    found = spark.createDataFrame(rows, "`table` string, loaded string, error string") \
+        .withColumn("last_load", F.col("loaded").cast("timestamp_ntz"))
+    age = age_hours(F.col("last_load"), as_of)
+    return found.select("table", "last_load", age.alias("age_hours"), F.coalesce(age < F.lit(limit_hours), F.lit(False)).alias("is_fresh"), "error")
+
+
 def freshness_of_tables(spark, tables: dict[str, tuple[str, str]], as_of: str,
                         limit_hours: float = QP.freshness_hours) -> DataFrame:
     """Freshness by table location: ``{name: (parquet path or table name, column)}``.

@@ -27,7 +27,6 @@ class QualityParams:
     reconcile_floor: int = 10
     zscore_limit: float = 3.0
     trailing_days: int = 28
-    offender_sample: int = 20
 
 
 @dataclass(frozen=True)

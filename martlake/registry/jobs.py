@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from martlake.jobs import ingestion as J
 from martlake.operators import checks as C
 from martlake.operators import monitor as M
-from martlake.plans import revenue as rev
-from martlake.plans import staging as stg
+from martlake.operators import windows as W
 from martlake.registry import register
 from martlake.registry.marts import MART_REVENUE_SQL, P
 from martlake.registry.monitors import FRESHNESS_SQL, RECONCILE_SQL, _freshness, _reconcile
 from martlake.session import prepare, read_table, scratch_path
-from martlake.sinks import lake as L
-from martlake.sources import paged as PG
+from martlake.sinks import snapshots as SN
 
 DEFAULT_DATE = "2024-01-31"
 
@@ -25,17 +23,6 @@ def _t(spark, sf_dir, name):
     return read_table(spark, sf_dir, name)
 
 
-CUSTOMER_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
-
-
-def paged_customers(spark, sf_dir):
-    """Customers through the paged API source (pages exported from the table)."""
-    PG.register_sources(spark)
-    path = scratch_path(spark, "api_customers")
-    PG.export_pages(_t(spark, sf_dir, "customer"), "c_custkey", 500, path)
-    return PG.paged_scan(spark, path, CUSTOMER_DDL, "c_custkey", 500)
-
-
 @register("run_full_ingestion", """
 SELECT 'customers' AS entity, count(*) AS rows_loaded FROM customer
 UNION ALL SELECT 'products', count(*) FROM part
@@ -43,7 +30,7 @@ UNION ALL SELECT 'orders', count(*) FROM orders""")
 def q_run_full_ingestion(spark, sf_dir):
     root = scratch_path(spark, "full")
     entities = [
-        J.EntitySpec("customers", lambda: paged_customers(spark, sf_dir), "c_custkey"),
+        J.EntitySpec("customers", lambda: _t(spark, sf_dir, "customer"), "c_custkey"),
         J.EntitySpec("products", lambda: _t(spark, sf_dir, "part"), "p_partkey"),
         J.EntitySpec("orders", lambda: _t(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate",
                      [C.accepted_values("o_orderstatus", ["F", "O", "P"]),
@@ -55,28 +42,17 @@ def q_run_full_ingestion(spark, sf_dir):
 
 @register("run_batch", MART_REVENUE_SQL)
 def q_run_batch(spark, sf_dir):
-    """Extract (raw written first; every third order is delivered twice) ->
-    thresholds -> staging -> mart from staging -> mart tests -> gate -> publish;
-    returns the published mart."""
-    root = scratch_path(spark, "batch")
-    twice = F.col("o_orderkey") % 3 == 0
+    """Every third order is delivered twice; staging makes it one."""
     orders = _t(spark, sf_dir, "orders")
-    raw = {n: L.stage(df, f"raw_{n}")
-           for n, df in (("orders", orders.unionAll(orders.where(twice))), ("products", _t(spark, sf_dir, "part")),
-                         ("lines", _t(spark, sf_dir, "lineitem")))}
-    th = M.extraction_thresholds({"orders": raw["orders"], "products": raw["products"]}, {"lines": raw["lines"]})
-    if not th.first()["passed"]:
-        raise C.QualityGateError(["extract_thresholds"])
-    staged_orders = stg.stg_orders(stg.with_load_time(raw["orders"], "2024-01-01 00:00:00"))
-    C.enforce_gate(C.run_checks(staged_orders, [*C.unique("order_id"), *C.not_null("customer_id")],
-                                "stg_orders"))
-    staged_products = stg.stg_products(stg.with_load_time(raw["products"], "2024-01-01 00:00:00"))
-    mart = L.stage(rev.mart_revenue_staged(raw["lines"], staged_orders, staged_products, P), "mart_revenue")
-    C.enforce_gate(C.run_checks(mart, [*C.unique("date_day"), *C.not_null("date_day", "total_revenue"),
-                                       C.in_range("avg_gross_margin_pct", None, 100)], "mart_revenue"))
-    path = f"{root}/analytics/mart_revenue"
-    L.full_refresh(mart, path, table="analytics_mart_revenue")
-    return spark.read.parquet(path).orderBy("date_day")
+    twice = orders.unionAll(orders.where(F.col("o_orderkey") % 3 == 0))
+    return J.run_batch(spark, twice, _t(spark, sf_dir, "part"), _t(spark, sf_dir, "lineitem"), P,
+                       f"{scratch_path(spark, 'batch')}/analytics/mart_revenue", "2024-01-01 00:00:00",
+                       "analytics_mart_revenue").orderBy("date_day")
+
+
+def _incremental_args(root):
+    return dict(target_path=f"{root}/target", batches_path=f"{root}/batches", pipeline="orders_incremental", table="orders",
+                key=["o_orderkey"], mark_column="o_orderdate", default_start="1900-01-01 00:00:00")
 
 
 @register("run_incremental", "SELECT * FROM orders")
@@ -85,13 +61,79 @@ def q_run_incremental(spark, sf_dir):
     the source, and the replay changes nothing."""
     orders = _t(spark, sf_dir, "orders")
     root = scratch_path(spark, "incr")
-    args = dict(target_path=f"{root}/target", batches_path=f"{root}/batches", marks_path=f"{root}/marks",
-                pipeline="orders_incremental", table="orders", key=["o_orderkey"], mark_column="o_orderdate",
-                default_start="1900-01-01 00:00:00")
+    J.run_incremental(spark, orders, window_end="1998-01-01 00:00:00", **_incremental_args(root))
+    J.run_incremental(spark, orders, window_end="2030-01-01 00:00:00", **_incremental_args(root))
+    J.run_incremental(spark, orders, window_end="2030-01-01 00:00:00", **_incremental_args(root),
+                      window_start="1998-01-01 00:00:00")
+    return J.read_target(spark, f"{root}/target")
+
+
+LATE = 5  # every fifth order of the first window arrives after its window was loaded
+
+
+@register("run_incremental_late", "SELECT * FROM orders")
+def q_run_incremental_late(spark, sf_dir):
+    """Orders that arrive late in a processed window: the next load's overlap of
+    ``lateness`` picks them up. A window left out is found in the ledger and filled."""
+    orders = _t(spark, sf_dir, "orders")
+    args = _incremental_args(scratch_path(spark, "late"))
+    first = F.col("o_orderdate") <= F.lit("1996-01-01 00:00:00").cast("timestamp_ntz")
+    on_time = orders.where(~(first & (F.col("o_orderkey") % LATE == 0)))
+    J.run_incremental(spark, on_time, window_end="1996-01-01 00:00:00", **args)
+    # 1996 and 1997 are skipped at first; the overlap reaches back over the first window
+    J.run_incremental(spark, orders, window_start="1998-01-01 00:00:00", window_end="2030-01-01 00:00:00", **args)
+    start, end = J.missing_window(spark, args["target_path"], "1900-01-01 00:00:00", "2030-01-01 00:00:00")
+    J.run_incremental(spark, orders, window_start=start, window_end=end, lateness="100 years", **args)
+    if J.missing_window(spark, args["target_path"], "1900-01-01 00:00:00", "2030-01-01 00:00:00"):
+        raise RuntimeError("the ledger still has a gap")
+    return J.read_target(spark, args["target_path"])
+
+
+@register("window_islands", """
+WITH d AS (SELECT DISTINCT o_custkey AS pipeline, CAST(o_orderdate AS DATE) AS day FROM orders),
+g AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY pipeline ORDER BY day) AS INTEGER) AS island FROM d)
+SELECT pipeline, min(day) AS "start", CAST(max(day) + 1 AS DATE) AS "end", count(*) AS windows FROM g GROUP BY pipeline, island""")
+def q_window_islands(spark, sf_dir):
+    """Each customer's days with orders as processed windows, coalesced."""
+    days = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("pipeline"), F.to_date("o_orderdate").alias("start")) \
+        .distinct().withColumn("end", F.date_add("start", 1))
+    return W.islands(days, ["pipeline"])
+
+
+@register("window_gaps", """
+WITH d AS (SELECT DISTINCT o_custkey AS pipeline, CAST(o_orderdate AS DATE) AS day FROM orders),
+n AS (SELECT pipeline, day, lead(day) OVER (PARTITION BY pipeline ORDER BY day) AS later FROM d)
+SELECT pipeline, CAST(day + 1 AS DATE) AS "start", later AS "end" FROM n WHERE later > day + 1""")
+def q_window_gaps(spark, sf_dir):
+    """The stretches between each customer's order days."""
+    days = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("pipeline"), F.to_date("o_orderdate").alias("start")) \
+        .distinct().withColumn("end", F.date_add("start", 1))
+    return W.gaps(days, ["pipeline"])
+
+
+PUBLISH_SQL = """
+SELECT 'old rows' AS state, count(*) AS rows, '1998-01-01 00:00:00' AS mark FROM orders
+WHERE o_orderdate <= TIMESTAMP '1998-01-01 00:00:00'
+UNION ALL SELECT 'new rows', count(*), '2030-01-01 00:00:00' FROM orders"""
+
+
+@register("atomic_publish", PUBLISH_SQL)
+def q_atomic_publish(spark, sf_dir):
+    """A load that dies between its data and its commit: readers still see the old rows
+    with the old mark; the repeated load publishes both."""
+    orders = _t(spark, sf_dir, "orders")
+    root = scratch_path(spark, "atomic")
+    args = _incremental_args(root)
     J.run_incremental(spark, orders, window_end="1998-01-01 00:00:00", **args)
+
+    def state(name):
+        snap = SN.current(spark, args["target_path"])
+        return (name, SN.read_snapshot(spark, args["target_path"], snap).count(), snap.notes["mark"])
+    # the next version's data is written, and the job ends there
+    SN.prepare(orders.withColumn("_key_bucket", F.lit(0)), args["target_path"], ["_key_bucket"], notes={"mark": "2030-01-01 00:00:00"})
+    before = state("old rows")
     J.run_incremental(spark, orders, window_end="2030-01-01 00:00:00", **args)
-    J.run_incremental(spark, orders, window_end="2030-01-01 00:00:00", **args)
-    return J.read_target(spark, f"{root}/target")
+    return spark.createDataFrame([before, state("new rows")], "state string, rows bigint, mark string")
 
 
 @register("run_quality", f"""
@@ -102,18 +144,8 @@ UNION ALL SELECT 'distribution', 'orders.o_totalprice', true
 UNION ALL SELECT 'route', CASE WHEN (SELECT bool_and(is_fresh) FROM f) AND (SELECT bool_and(passed) FROM r)
                                THEN 'ok' ELSE 'alert' END, true""")
 def q_run_quality(spark, sf_dir):
-    fresh, recon = _freshness(spark, sf_dir), _reconcile(spark, sf_dir)
-    dist = M.distribution(_t(spark, sf_dir, "orders"), "o_totalprice", "orders")
-    route = M.route_alerts(spark, fresh, recon)
-    return (fresh.select(F.lit("freshness").alias("check"), F.col("table").alias("subject"),
-                         F.col("is_fresh").alias("passed"))
-            .unionByName(recon.select(F.lit("reconcile").alias("check"), F.col("target").alias("subject"),
-                                      "passed"))
-            .unionByName(dist.select(F.lit("distribution").alias("check"),
-                                     F.concat_ws(".", "table", "column").alias("subject"),
-                                     F.lit(True).alias("passed")))
-            .unionByName(route.select(F.lit("route").alias("check"), F.col("route").alias("subject"),
-                                      F.lit(True).alias("passed"))))
+    return J.run_quality(spark, _freshness(spark, sf_dir), _reconcile(spark, sf_dir),
+                         [M.distribution(_t(spark, sf_dir, "orders"), "o_totalprice", "orders")])
 
 
 @register("run_entity_load", """
@@ -125,7 +157,7 @@ UNION ALL SELECT 'returns', 'no_data', CAST(0 AS BIGINT)""")
 def q_run_entity_load(spark, sf_dir):
     root = scratch_path(spark, "entity")
     specs = [
-        J.EntitySpec("customers", lambda: paged_customers(spark, sf_dir), "c_custkey"),
+        J.EntitySpec("customers", lambda: _t(spark, sf_dir, "customer"), "c_custkey"),
         J.EntitySpec("products", lambda: _t(spark, sf_dir, "part"), "p_partkey"),
         J.EntitySpec("orders", lambda: _t(spark, sf_dir, "orders"), "o_orderkey", "o_orderdate"),
         J.EntitySpec("events", lambda: _t(spark, sf_dir, "events"), "event_id", "ts"),

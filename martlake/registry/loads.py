@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from martlake.operators import checks as C
 from martlake.operators import control as CT
 from martlake.operators import merge as MG
 from martlake.operators import scd2 as S
-from martlake.operators.checks import QualityGateError, enforce_named
 from martlake.plans import derived as D
 from martlake.registry import register
 from martlake.session import prepare, read_table, scratch_path
+from martlake.sinks import clustered as CL
 from martlake.sinks import lake as L
+from martlake.sinks import snapshots as SN
 
 KEY = ["o_orderkey"]
 T0, T1 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
@@ -32,6 +34,24 @@ def q_upsert_merge(spark, sf_dir):
     return MG.upsert(D.upsert_target(orders), D.upsert_batch(orders), KEY, order_by=["o_orderdate"])
 
 
+@register("upsert_clustered", """
+SELECT * REPLACE (CASE WHEN o_orderkey >= (SELECT max(o_orderkey) - max(o_orderkey) // 100 FROM orders) THEN 'Z' ELSE o_orderstatus END
+                  AS o_orderstatus) FROM orders""")
+def q_upsert_clustered(spark, sf_dir):
+    """The last hundredth of the keys gets a new status in a table clustered by key: the
+    leaves that hold none of them keep their very files."""
+    orders = _t(spark, sf_dir, "orders")
+    path = scratch_path(spark, "clustered")
+    n = orders.count()
+    before = CL.publish_clustered(orders, path, "o_orderkey", max(1, n // 20))
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    batch = orders.where(F.col("o_orderkey") >= top - top // 100).withColumn("o_orderstatus", F.lit("Z"))
+    after = CL.upsert_clustered(batch, path)
+    if len(set(before.leaves) & set(after.leaves)) < len(before.leaves) - 2:
+        raise RuntimeError("leaves without a key of the batch were written again")
+    return CL.read_clustered(spark, path)
+
+
 @register("upsert_partial", f"""
 SELECT coalesce(t.o_orderkey, b.o_orderkey) AS o_orderkey, t.o_custkey, t.o_orderstatus,
        CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
@@ -105,6 +125,34 @@ def q_scd2_as_of(spark, sf_dir):
     return S.as_of_view(h, T1).unionByName(S.as_of_view(h, AS_OF_MID))
 
 
+REPLAY_SQL = f"""
+WITH h AS (
+  SELECT c_custkey, c_mktsegment, TIMESTAMP '{T0}' AS t FROM customer
+  UNION ALL SELECT c_custkey, '{NEW_SEGMENT}', TIMESTAMP '{T1}' FROM customer WHERE c_custkey % {D.SCD_EVERY} = 0
+  UNION ALL SELECT c_custkey, 'LATER', TIMESTAMP '2024-01-03 00:00:00' FROM customer WHERE c_custkey % 4 = 0),
+v AS (SELECT c_custkey, c_mktsegment, t AS _scd_valid_from, lead(t) OVER (PARTITION BY c_custkey ORDER BY t) AS _scd_valid_to FROM h)
+SELECT loads, v.*, _scd_valid_to IS NULL AS _scd_is_current,
+       sha256(CAST(c_custkey AS VARCHAR) || ':' || strftime(_scd_valid_from, '%Y-%m-%d %H:%M:%S')) AS _surrogate_key
+FROM v, (VALUES ('in order'), ('reversed'), ('twice')) AS l(loads)"""
+
+
+@register("scd2_replay", REPLAY_SQL)
+def q_scd2_replay(spark, sf_dir):
+    """Two batches applied in order, in reverse, and each twice: one history."""
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    history = S.initial_history(customer, CUST_KEY, T0)
+    first = customer.where(F.col("c_custkey") % D.SCD_EVERY == 0).withColumn("c_mktsegment", F.lit(NEW_SEGMENT)), T1
+    second = customer.where(F.col("c_custkey") % 4 == 0).withColumn("c_mktsegment", F.lit("LATER")), "2024-01-03 00:00:00"
+    out = None
+    for name, loads in (("in order", [first, second]), ("reversed", [second, first]), ("twice", [first, second, second, first])):
+        h = history
+        for batch, as_of in loads:
+            h = S.apply_scd2(h, batch, CUST_KEY, as_of)
+        h = h.withColumn("loads", F.lit(name))
+        out = h if out is None else out.unionByName(h)
+    return out
+
+
 # ------------------------------------------------------------------ B11 / D4
 
 DEFAULTS = {"status": "pending", "quantity": 1, "currency": "USD", "_ingestion_timestamp": T0}
@@ -222,7 +270,7 @@ def q_full_refresh(spark, sf_dir):
     path = scratch_path(spark, "refresh_supplier")
     L.full_refresh(sup.filter(F.col("s_suppkey") < 0), path)   # an earlier, different state
     L.full_refresh(sup, path)                                 # replaced wholesale
-    return spark.read.parquet(path)
+    return SN.read(spark, path)
 
 
 @register("table_scan", "SELECT * FROM supplier")
@@ -242,18 +290,18 @@ SELECT 'r1' AS run_id, 'load_supplier' AS pipeline_name, 'success' AS status,
 UNION ALL
 SELECT 'r2', 'load_orders', 'failed', CAST((SELECT count(*) FROM orders) AS BIGINT), CAST(0 AS BIGINT)""")
 def q_run_log(spark, sf_dir):
-    log = CT.RunLog(spark)
+    """Two logged runs, read back from the log's table by another session's reader."""
+    path = scratch_path(spark, "runlog")
+    log = CT.RunLog(spark, path)
     sup = _t(spark, sf_dir, "supplier")
     with log.run("r1", "load_supplier") as rec:
-        path = scratch_path(spark, "runlog_supplier")
         sup.observe(rec["processed"], F.count(F.lit(1)).alias("rows")) \
-           .observe(rec["loaded"], F.count(F.lit(1)).alias("rows")).write.parquet(path)
+           .observe(rec["loaded"], F.count(F.lit(1)).alias("rows")).write.parquet(scratch_path(spark, "runlog_supplier"))
     orders = _t(spark, sf_dir, "orders")
     try:
         with log.run("r2", "load_orders") as rec:
             counted = orders.observe(rec["processed"], F.count(F.lit(1)).alias("rows"))
-            n = counted.agg(F.count(F.lit(1))).first()[0]
-            enforce_named([("orders_non_empty", n > 0), ("orders_max_rows", n <= 100)])
-    except QualityGateError:
+            C.enforce_gate(C.run_checks(counted, [C.row_count(1, 100)], "orders"))
+    except C.QualityGateError:
         pass
-    return log.frame().select("run_id", "pipeline_name", "status", "rows_processed", "rows_loaded")
+    return CT.read_run_log(spark, path).select("run_id", "pipeline_name", "status", "rows_processed", "rows_loaded")

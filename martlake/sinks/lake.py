@@ -2,62 +2,37 @@
 
 * Partitioned Parquet by zero-padded ``year=/month=/day=`` computed per row
   (routing a whole frame by its first row would misfile rows).
-* Incremental batches go to ``batch_id=<pipeline>_<min>_<max>/`` with dynamic
+* Incremental batches go to ``batch_id=<pipeline>_<start>_<end>/`` with dynamic
   partition overwrite, so replaying the same window replaces itself.
-* Full refresh never overwrites a path its own plan reads: the frame is
-  staged under the shared checkpoint folder first.
-* Partition-scoped merge: only partitions the batch touches are read,
-  merged and rewritten.
+* Full refresh, merge and SCD2 loads publish a new version of a snapshot table
+  (``sinks.snapshots``): readers see all of a load or nothing of it, and a load
+  never overwrites what its own plan reads. Of a partitioned table only the
+  partitions present in the batch are read, merged and written.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.scalar import batch_stamp, date_parts
-from martlake.operators.joins import small_side
 from martlake.operators.merge import upsert
-from martlake.session import plan_size_bytes, scratch_path
+from martlake.session import scratch_path
+from martlake.sinks import snapshots as SN
 
 PARTS = ["year", "month", "day"]
 
+
 # Lake layers.
 LAYERS = ("raw", "staging", "curated")
 
 
-def lake_path(root: str, layer: str, entity: str, partition: str | None = None) -> str:
-    """``<root>/<layer>/<entity>[/<partition>]`` naming convention of the lake."""
+def lake_path(root: str, layer: str, entity: str) -> str:
+    """``<root>/<layer>/<entity>``: where a table of the lake lives."""
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; expected one of {LAYERS}")
-    parts = [root.rstrip("/"), layer, entity] + ([partition] if partition else [])
-    return "/".join(parts)
-
-
-# Inputs up to this estimated size are written by all cores at once.
-SMALL_WRITE_BYTES = 256 * 1024 * 1024
-
-
-def spread_for_write(df: DataFrame, folder_cols: list[str]) -> DataFrame:
-    """Distribute rows so each task writes few folders.
-
-    Large inputs: a ``rebalance`` on the folder columns -- rows of one folder
-    meet in few tasks (few files per folder) and AQE splits a folder that is
-    too large for one task (a hot day). Small inputs (size-checked): AQE would
-    coalesce everything into one task that then creates every folder in
-    turn; hash-spreading folders over all cores writes them in parallel.
-    """
-    if plan_size_bytes(df) <= SMALL_WRITE_BYTES:
-        spark = df.sparkSession
-        try:
-            n = spark.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - no local context
-            n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-        return df.repartition(max(n, 1), *folder_cols)
-    return df.hint("rebalance", *folder_cols)
+    return f"{root.rstrip('/')}/{layer}/{entity}"
 
 
 def with_date_partitions(df: DataFrame, date_col: str | None, default_date: str | None = None) -> DataFrame:
@@ -77,8 +52,7 @@ def write_partitioned(df: DataFrame, path: str, date_col: str | None, default_da
     write observed; readers skip ``_``-prefixed folders.
     """
     obs = Observation("lake_write")
-    out = spread_for_write(with_date_partitions(df, date_col, default_date), PARTS)
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = SN.spread(with_date_partitions(df, date_col, default_date), PARTS).observe(obs, F.count(F.lit(1)).alias("rows"))
     (out.write.mode(mode).option("compression", compression)
      .option("partitionOverwriteMode", "static" if replace else "dynamic").partitionBy(*PARTS).parquet(path))
     if metadata is not None:
@@ -103,6 +77,12 @@ def read_partitioned(spark: SparkSession, path: str, data_schema: T.StructType)
     return spark.read.schema(schema).parquet(path)
 
 
+def window_batch_id(pipeline: str, start: str, end: str) -> str:
+    """``<pipeline>_<start>_<end>``: the batch of the rows after ``start`` up to ``end``.
+    Two windows never give one id, whatever rows they hold."""
+    return "_".join([pipeline, *("".join(c if c.isalnum() else "_" if c == " " else "" for c in t) for t in (start, end))])
+
+
 def batch_bounds(df: DataFrame, mark_col: str, pipeline: str) -> DataFrame:
     """One row: the batch id from the min and max of the mark column."""
     return df.agg(F.min(mark_col).alias("_lo"), F.max(mark_col).alias("_hi"), F.count(F.lit(1)).alias("row_count")) \
@@ -110,14 +90,23 @@ def batch_bounds(df: DataFrame, mark_col: str, pipeline: str) -> DataFrame:
                 "row_count")
 
 
-def write_incremental(df: DataFrame, base: str, mark_col: str, pipeline: str) -> str:
-    """Write a batch to its own ``batch_id=`` folder; a replay overwrites itself."""
-    row = batch_bounds(df, mark_col, pipeline).first()
-    if row["row_count"] == 0:
-        raise ValueError("empty batch: nothing to write")
-    if row["batch_id"] == pipeline:   # no non-null mark values to name the batch by
-        raise ValueError(f"batch has no {mark_col} values; refusing a non-idempotent batch id")
-    bid = row["batch_id"]
+def write_incremental(df: DataFrame, base: str, mark_col: str, pipeline: str, window: tuple[str, str] | None = None) -> str:
+    """Write a batch to its own ``batch_id=`` folder; a replay overwrites itself.
+
+    The id names the ``window`` that was asked for. Without one it is taken from
+    the batch's own marks; then two batches with the same bounds replace each other.
+    """
+    if window:
+        bid = window_batch_id(pipeline, *window)
+        if df.isEmpty():
+            raise ValueError("empty batch: nothing to write")
+    else:
+        row = batch_bounds(df, mark_col, pipeline).first()
+        if row["row_count"] == 0:
+            raise ValueError("empty batch: nothing to write")
+        if row["batch_id"] == pipeline:   # no non-null mark values to name the batch by
+            raise ValueError(f"batch has no {mark_col} values; refusing a non-idempotent batch id")
+        bid = row["batch_id"]
     (df.withColumn("batch_id", F.lit(bid)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(base))
     return bid
@@ -128,54 +117,32 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str, table: str | None = None) -> int:
-    """Replace the data at ``path`` (and register ``table`` on it); returns rows written."""
-    spark = df.sparkSession
-    staged = stage(df, "refresh")
-    obs = Observation("full_refresh")
-    staged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+def full_refresh(df: DataFrame, path: str, table: str | None = None, notes: dict | None = None) -> int:
+    """Publish ``df`` as the whole of the table at ``path`` (with ``table``: and the view
+    of that name); returns rows written. ``df`` may read the table it replaces."""
+    snap = SN.publish(df, path, notes=notes)
     if table:
-        register_table(spark, table, path)
-    return int(obs.get.get("rows", 0))
-
-
-def register_table(spark: SparkSession, table: str, path: str) -> None:
-    """External Parquet table over ``path`` (data stays in shared storage), with
-    its partitions. A managed table of that name is an error: dropping it would
-    delete its data."""
-    if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "MANAGED":
-        raise ValueError(f"{table} is a managed table; drop it first if its data may go")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
-    if any(c.isPartition for c in spark.catalog.listColumns(table)):
-        spark.catalog.recoverPartitions(table)
+        SN.register_view(df.sparkSession, table, path, snap.version)
+    return snap.rows
 
 
 def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
-                     partition_cols: list[str], order_by: list[str] | None = None) -> int:
-    """Upsert ``batch`` into the partitioned Parquet table at ``path``.
+                     partition_cols: list[str], order_by: list[str] | None = None, notes: dict | None = None) -> int:
+    """Upsert ``batch`` into the partitioned snapshot table at ``path``; returns the rows
+    of the partitions written.
 
     Keys must not move between partitions (the partition columns are a
     function of the key; ``key_bucket`` always is). Only the partitions present
-    in the batch are read, merged and rewritten (a null partition value is a
-    partition like any other); the merge result is staged first because the plan
-    reads the partitions it replaces.
+    in the batch are read, merged and written (a null partition value is a
+    partition like any other); all others keep their files.
     """
-    touched = batch.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_cols]).distinct()
-    target = spark.read.parquet(path)
-    same = [target[c].eqNullSafe(touched[f"_touched_{c}"]) for c in partition_cols]
-    target = target.join(small_side(touched), reduce(lambda x, y: x & y, same), "left_semi")
+    base = SN.current(spark, path)
+    target = SN.read_snapshot(spark, path, base, SN.leaves_of(base, batch, partition_cols))
     merged = upsert(target, batch.select(*target.columns), keys, order_by)
-    staged = stage(merged, "merge")
-    obs = Observation("merge")
-    (staged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
-    return int(obs.get.get("rows", 0))
+    return SN.publish(merged, path, partition_cols, "partitions", notes, base).rows
 
 
 BUCKET = "_key_bucket"
@@ -187,28 +154,22 @@ def key_bucket(keys: list[str], buckets: int):
 
 
 def write_scd2_history(history: DataFrame, path: str, keys: list[str], buckets: int) -> None:
-    """Initial write of an SCD2 history, partitioned by key bucket."""
-    (history.withColumn(BUCKET, key_bucket(keys, buckets)).write.mode("overwrite")
-     .partitionBy(BUCKET).parquet(path))
+    """First version of an SCD2 history, partitioned by key bucket."""
+    SN.publish(history.withColumn(BUCKET, key_bucket(keys, buckets)), path, [BUCKET])
 
 
 def apply_scd2_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
                           as_of: str, buckets: int, detect_changes: list[str] | None = None) -> int:
-    """Load ``batch`` into the bucketed SCD2 history at ``path``.
+    """Load ``batch`` into the bucketed SCD2 history at ``path``; returns the rows of the
+    buckets written.
 
     Only the key buckets present in the batch (at most ``buckets`` values) are
-    read, merged and rewritten; a key never changes bucket, so versions of one
-    key always live together. The merge result is staged first because the
-    plan reads the buckets it replaces.
+    read, merged and written; a key never changes bucket, so versions of one
+    key always live together.
     """
     from martlake.operators.scd2 import apply_scd2
+    base = SN.current(spark, path)
     b = batch.withColumn(BUCKET, key_bucket(keys, buckets))
-    touched = b.select(BUCKET).distinct()
-    history = spark.read.parquet(path)
-    part = history.join(small_side(touched), BUCKET, "left_semi")
+    part = SN.read_snapshot(spark, path, base, SN.leaves_of(base, b, [BUCKET]))
     merged = apply_scd2(part.drop(BUCKET), b.drop(BUCKET), keys, as_of, detect_changes)
-    staged = stage(merged.withColumn(BUCKET, key_bucket(keys, buckets)), "scd2")
-    obs = Observation("scd2")
-    (staged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-    return int(obs.get.get("rows", 0))
+    return SN.publish(merged.withColumn(BUCKET, key_bucket(keys, buckets)), path, [BUCKET], "partitions", base=base).rows
