@@ -185,12 +185,33 @@ def q_dataset_fingerprint(spark, sf_dir):
 WITH r AS (SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0
             THEN CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(1.1 AS DECIMAL(2,1)), 2) AS DOUBLE)
             ELSE o_totalprice END AS o_totalprice) FROM orders)
-SELECT *, 'left_only' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM r)
+SELECT *, 'left_only' AS side, count(*) AS copies FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM r) GROUP BY ALL
 UNION ALL
-SELECT *, 'right_only' AS side FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM orders)""")
+SELECT *, 'right_only' AS side, count(*) AS copies FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM orders) GROUP BY ALL""")
 def q_dataset_diff(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders")
     updated = orders.withColumn(
         "o_totalprice", F.when(F.col("o_orderkey") % D.BATCH_EVERY == 0,
                                D.raised_amount(F.col("o_totalprice"))).otherwise(F.col("o_totalprice")))
-    return FP.diff(orders, updated)
+    return FP.diff(orders, updated, ["o_orderkey"])
+
+
+NULL_PLACES_SQL = """
+WITH a AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS x, CASE WHEN o_orderkey % 2 = 1 THEN o_custkey END AS y
+           FROM orders)
+SELECT CAST(count(*) AS BIGINT) AS rows, true AS hashes_differ, CAST(2 * count(*) AS BIGINT) AS rows_in_diff
+FROM a WHERE coalesce(x, y) IS NOT NULL"""
+
+
+@register("digest_null_places", NULL_PLACES_SQL)
+def q_digest_null_places(spark, sf_dir):
+    """Every order's customer in one of two columns, and in the other one: the same
+    values with the null elsewhere. Digests and differences must see each row."""
+    orders = _t(spark, sf_dir, "orders").where("o_custkey is not null")
+    even = F.col("o_orderkey") % 2 == 0
+    x, y = F.when(even, F.col("o_custkey")), F.when(~even, F.col("o_custkey"))
+    left = orders.select("o_orderkey", x.alias("x"), y.alias("y"))
+    right = orders.select("o_orderkey", y.alias("x"), x.alias("y"))
+    a, b = (FP.fingerprint(df, "t").first() for df in (left, right))
+    return FP.diff(left, right, ["o_orderkey"]).agg(F.sum("copies").alias("rows_in_diff")).select(
+        F.lit(a["row_count"]).cast("bigint").alias("rows"), F.lit(a["fingerprint"] != b["fingerprint"]).alias("hashes_differ"), "rows_in_diff")
