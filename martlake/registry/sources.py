@@ -1,4 +1,4 @@
-"""Source queries (A1-A14): file scans, paged API scans, event flattening.
+"""Source queries (A1-A14): file scans, key-range and date-range scans, event flattening.
 
 File fixtures are written by Spark from the driver tables into a fresh folder
 under the shared checkpoint directory, then read back by the operator.
@@ -12,7 +12,7 @@ from martlake.registry import register
 from martlake.session import prepare, read_table, scratch_path
 from martlake.sources import events as EV
 from martlake.sources import files as FS
-from martlake.sources import paged as PG
+from martlake.sources import ranges as RG
 
 RUN_TS = "2024-01-31 00:00:00"
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -55,31 +55,60 @@ def orders_csv(spark, sf_dir):
     return path
 
 
+def mixed_csv(spark, sf_dir):
+    """Orders in files of three forms: the usual one; other column order, a name in quotes
+    with a comma and a line break in it, and notes with quotes and line breaks; a header alone."""
+    text = orders_as_text(_t(spark, sf_dir, "orders"))
+    path = scratch_path(spark, "mixed_csv")
+    moved = F.col("o_orderstatus") == "O"
+    quoted = lambda df, to: (df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+                             .option("ignoreTrailingWhiteSpace", False).csv(f"{path}/part={to}"))
+    quoted(text.where(~moved).drop("o_orderstatus"), "plain")
+    note = F.concat(F.lit('said "'), "o_orderkey", F.lit('",\nthen left'))
+    quoted(text.where(moved).select(note.alias('a "note",\nor two'), "o_orderdate", "o_totalprice", "o_orderkey",
+                                            "o_custkey", "o_orderpriority"), "moved")
+    quoted(text.limit(0).drop("o_orderstatus").coalesce(1), "empty")
+    return path
+
+
 @register("csv_scan", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, {PRIO_SQL} AS o_orderpriority,
-       o_orderstatus, CAST(0 AS BIGINT) AS _chunk_start, TIMESTAMP '{RUN_TS}' AS _ingestion_timestamp
+       CASE WHEN o_orderstatus = 'O' THEN 'said "' || o_orderkey || '",' || chr(10) || 'then left' END AS note,
+       CASE o_orderstatus WHEN 'O' THEN 'moved' ELSE 'plain' END AS part, true AS named, CAST(0 AS BIGINT) AS _chunk_start,
+       TIMESTAMP '{RUN_TS}' AS _ingestion_timestamp
 FROM orders""")
 def q_csv_scan(spark, sf_dir):
-    df = FS.csv_scan(spark, orders_csv(spark, sf_dir), ORDER_COLS, run_ts=RUN_TS)
-    return df.drop("_source_file")
+    df = FS.csv_scan(spark, mixed_csv(spark, sf_dir), ORDER_COLS, run_ts=RUN_TS)
+    named = F.col("_source_file").endswith(".csv") & (F.col("_source_size") > 0)
+    return df.select(*ORDER_COLS, F.col('`a "note",\nor two`').alias("note"), "part", named.alias("named"), "_chunk_start", "_ingestion_timestamp")
 
 
 @register("csv_directory_manifest", """
-SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY 1""")
+SELECT 'part=plain' AS folder, true AS has_files, count(*) AS rows FROM orders WHERE o_orderstatus <> 'O'
+UNION ALL SELECT 'part=moved', true, count(*) FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'part=empty', true, CAST(0 AS BIGINT)""")
 def q_csv_directory_manifest(spark, sf_dir):
-    m = FS.directory_manifest(spark, orders_csv(spark, sf_dir), "*.csv")
-    return (m.groupBy(F.regexp_extract("file_path", "o_orderstatus=([^/]+)", 1).alias("o_orderstatus"))
-            .agg(F.sum("rows").alias("rows")))
-
-
-@register("file_profile", """
-SELECT o_orderstatus, count(*) AS row_estimate FROM orders GROUP BY 1""")
+    m = FS.directory_manifest(spark, mixed_csv(spark, sf_dir), "*.csv")
+    return (m.groupBy(F.regexp_extract("file_path", "(part=[^/]+)", 1).alias("folder"))
+            .agg((F.count(F.lit(1)) > 0).alias("has_files"), F.sum("rows").alias("rows")))
+
+
+@register("file_profile", f"""
+WITH t AS (SELECT CASE o_orderstatus WHEN 'O' THEN 'moved' ELSE 'plain' END AS part, {PRIO_SQL} AS priority
+           FROM orders),
+g AS (SELECT part, count(*) AS rows, CAST(sum(CASE WHEN priority IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing FROM t GROUP BY part),
+c AS (SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_totalprice', 'double'),
+                            ('o_orderdate', 'timestamp'), ('o_orderpriority', 'string')) AS c("column", type))
+SELECT part, "column", type, rows, CASE WHEN "column" = 'o_orderpriority' THEN missing ELSE CAST(0 AS BIGINT) END AS nulls FROM g, c
+UNION ALL SELECT 'moved', 'a "note",' || chr(10) || 'or two', 'string', rows, CAST(0 AS BIGINT) FROM g WHERE part = 'moved'
+UNION ALL SELECT 'empty', "column", 'null', CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM c""")
 def q_file_profile(spark, sf_dir):
-    prof = FS.file_profile(spark, orders_csv(spark, sf_dir), "*.csv")
-    return (prof.groupBy(F.regexp_extract("file_path", "o_orderstatus=([^/]+)", 1).alias("o_orderstatus"))
-            .agg(F.sum("row_estimate").alias("row_estimate")))
+    """Types and nulls by file, joined once more over each folder's files."""
+    prof = FS.file_profile(spark, mixed_csv(spark, sf_dir), "*.csv")
+    part = F.regexp_extract("file_path", "part=([^/]+)", 1)
+    return prof.groupBy(part.alias("part"), "column").agg(F.max("type").alias("type"), F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"))
 
 
 EXPECTED_HEADER = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -118,53 +147,30 @@ def q_lake_manifest(spark, sf_dir):
     return objects.join(rows, "o_orderstatus")
 
 
-# ------------------------------------------------------------------ paged sources
+# ------------------------------------------------------------------ range scans
 
-PAGE_SIZE = 100          # pages the "server" holds
-REQUESTED_PAGE = 250     # what the client asks for; the server caps it
-CUSTOMER_DDL = ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
-                "c_mktsegment string")
+PAGE_SIZE = 100
 
 
 @register("paged_offset_scan", f"""
 SELECT *, c_custkey // {PAGE_SIZE} AS _page FROM customer""")
 def q_paged_offset_scan(spark, sf_dir):
-    PG.register_sources(spark)
-    path = scratch_path(spark, "pages_customer")
-    PG.export_pages(_t(spark, sf_dir, "customer"), "c_custkey", PAGE_SIZE, path)
-    return (spark.read.format("martlake_paged_offset").schema(CUSTOMER_DDL + ", _page int")
-            .option("path", path).option("key", "c_custkey").option("page_size", REQUESTED_PAGE)
-            .option("page_column", "_page").load()
-            .withColumn("_page", F.col("_page").cast("bigint")))
+    return RG.key_pages(_t(spark, sf_dir, "customer"), "c_custkey", PAGE_SIZE)
 
 
 @register("paged_cursor_scan", """
 SELECT *, c_mktsegment AS _shard FROM customer""")
 def q_paged_cursor_scan(spark, sf_dir):
-    PG.register_sources(spark)
-    path = scratch_path(spark, "cursor_customer")
-    cust = _t(spark, sf_dir, "customer")
-    PG.export_pages(cust.withColumn("shard", F.col("c_mktsegment")), "c_custkey", PAGE_SIZE, path, shard="shard")
-    return (spark.read.format("martlake_paged_cursor").schema(CUSTOMER_DDL + ", _shard string")
-            .option("path", path).option("key", "c_custkey").option("shard_column", "_shard").load())
+    return RG.after_cursor(_t(spark, sf_dir, "customer"), "c_mktsegment", "c_custkey", {})
 
 
-ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp_ntz, o_orderpriority string")
 RANGE_START, RANGE_END = "1997-01-01 00:00:00", "1998-12-31 00:00:00"
 
 
 @register("date_range_scan", f"""
 SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{RANGE_START}' AND o_orderdate <= TIMESTAMP '{RANGE_END}'""")
 def q_date_range_scan(spark, sf_dir):
-    PG.register_sources(spark)
-    path = scratch_path(spark, "pages_orders")
-    PG.export_pages(_t(spark, sf_dir, "orders"), "o_orderkey", 1000, path)
-    df = (spark.read.format("martlake_paged_offset").schema(ORDERS_DDL)
-          .option("path", path).option("key", "o_orderkey").option("page_size", 1000)
-          .option("date_column", "o_orderdate").load())
-    lo, hi = F.lit(RANGE_START).cast("timestamp_ntz"), F.lit(RANGE_END).cast("timestamp_ntz")
-    return df.filter((F.col("o_orderdate") > lo) & (F.col("o_orderdate") <= hi))
+    return RG.date_range(_t(spark, sf_dir, "orders"), "o_orderdate", RANGE_START, RANGE_END)
 
 
 # ------------------------------------------------------------------ events
@@ -175,3 +181,20 @@ FROM events""")
 def q_event_flatten(spark, sf_dir):
     return EV.flatten_events(_t(spark, sf_dir, "events"), {"props": "struct<k:int>"}, timestamp_col="ts")
 
+
+@register("event_flatten_discovered", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k,
+       CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN 'once' END AS props_rare_note,
+       CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE 'odd' END AS props_mixed
+FROM events""")
+def q_event_flatten_discovered(spark, sf_dir):
+    """Payloads with a nested key that occurs in one event only and a key whose values
+    have no common type; no schema is declared."""
+    events = _t(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+    inner = F.regexp_extract("props", r"^\s*\{(.*)\}\s*$", 1)
+    mixed = F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise(F.lit('"odd"'))
+    rare = F.when(F.col("event_id") == last, F.lit(', "rare": {"note": "once"}')).otherwise(F.lit(""))
+    payload = F.concat(F.lit("{"), inner, F.lit(', "mixed": '), mixed, rare, F.lit("}"))
+    return EV.flatten_discovered(events.select("event_id", payload.alias("props")), "props").drop("props")
+

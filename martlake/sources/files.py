@@ -1,15 +1,26 @@
 """File sources: CSV scans with lineage, manifests, header drift, profiles,
 incremental (high-water mark) scans.
 
-All of them are single Spark reads; per-file facts come from the hidden
-``_metadata`` column (path, name, size, modification time, split start), so
-no driver-side listing or per-file loop is needed.
+CSV files of one folder may differ in their columns. A header is one CSV record:
+it is parsed from the first block of its file (quotes, doubled quotes, commas and
+line breaks in quotes included), files are grouped by header, each group is one
+scan with the group's own columns, and the scans are united by column name. Only
+names, sizes and headers reach the driver, as much as Spark's own file listing.
+Per-row facts come from the hidden ``_metadata`` column.
 """
 
 from __future__ import annotations
 
+import csv
+import fnmatch
+import io
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlake.functions.scalar import parse_timestamp
 
@@ -18,33 +29,130 @@ from martlake.functions.scalar import parse_timestamp
 NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
                "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
+FIRST_BLOCK = 64 * 1024  # bytes of a file read for its header; twice as many as long as the record goes on
+OPENERS = 16  # files opened at a time
+
 
 def _null_tokens(c: Column, tokens) -> Column:
     return F.when(c.isin(*tokens), F.lit(None)).otherwise(c)
 
 
+@dataclass(frozen=True)
+class CsvFile:
+    path: str
+    name: str
+    size: int
+    modified_ms: int
+    header: tuple[str, ...]  # empty: the file has no record
+
+
+def _is_whole(text: str) -> bool:
+    """Whether the first record ends in ``text``: a line break outside of quotes."""
+    quoted = False
+    for c in text:
+        if c == '"':
+            quoted = not quoted  # a doubled quote toggles twice
+        elif c in "\r\n" and not quoted:
+            return True
+    return False
+
+
+def parse_header(block: str) -> tuple[str, ...]:
+    """Column names of a file's first record. A name given twice gets ``.1``, ``.2`` ...
+    behind it, an empty one is ``_c<position>``."""
+    record = next(csv.reader(io.StringIO(block.removeprefix("\ufeff"), newline="")), [])
+    seen: dict[str, int] = {}
+    out = []
+    for i, name in enumerate(record):
+        name = name or f"_c{i}"
+        n = seen.get(name, 0)
+        seen[name] = n + 1
+        out.append(f"{name}.{n}" if n else name)
+    return tuple(out)
+
+
+def csv_files(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bool = False) -> list[CsvFile]:
+    """The files in a folder (or the file ``path``) that match ``glob``, by path, with
+    their headers. Hidden files are left out; subfolders are read if ``recursive`` or
+    if they are partitions (``column=value``)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(conf)
+    if not fs.exists(top):
+        raise FileNotFoundError(path)
+    found, folders = [], []
+    for s in fs.listStatus(top):
+        (folders if s.isDirectory() else found).append(s)
+    while folders:
+        folder = folders.pop()
+        name = folder.getPath().getName()
+        if name.startswith(("_", ".")) and "=" not in name or not (recursive or "=" in name):
+            continue
+        for s in fs.listStatus(folder.getPath()):
+            (folders if s.isDirectory() else found).append(s)
+
+    def first_record(p) -> tuple[str, ...]:
+        size = FIRST_BLOCK
+        while True:
+            stream = fs.open(p)
+            try:
+                raw = bytes(stream.readNBytes(size))
+            finally:
+                stream.close()
+            text = raw.decode("utf-8", "replace")
+            if len(raw) < size or _is_whole(text):
+                return parse_header(text)
+            size *= 2
+
+    chosen = [s for s in found if not s.getPath().getName().startswith(("_", ".")) and fnmatch.fnmatch(s.getPath().getName(), glob)]
+    with ThreadPoolExecutor(OPENERS) as pool:
+        headers = list(pool.map(lambda s: first_record(s.getPath()), chosen))
+    rows = [CsvFile(s.getPath().toString(), s.getPath().getName(), s.getLen(), s.getModificationTime(), h)
+            for s, h in zip(chosen, headers, strict=True)]
+    return sorted(rows, key=lambda f: f.path)
+
+
+def _reader(spark: SparkSession, header: tuple[str, ...], multiline: bool):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE") \
+        .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+
+
 def csv_scan(spark: SparkSession, path: str, expected_columns: list[str] | None = None,
-             run_ts: str | None = None, null_tokens=NULL_TOKENS, glob: str | None = None) -> DataFrame:
-    """All-string CSV read with lineage columns.
+             run_ts: str | None = None, null_tokens=NULL_TOKENS, glob: str = "*.csv", multiline: bool = True,
+             recursive: bool = False) -> DataFrame:
+    """All-string CSV read with lineage columns; columns are found by name in each file.
 
-    ``_source_file`` (file name), ``_chunk_start`` (byte offset of the file split
-    the row came from) and ``_ingestion_timestamp`` (one literal per run).
-    Missing expected columns raise; extra columns are kept.
+    ``_source_file`` (file name), ``_source_size`` (its bytes), ``_chunk_start`` (byte
+    offset of the file split the row came from) and ``_ingestion_timestamp`` (one
+    literal per run). A file that lacks an expected column raises, naming file and
+    column; extra columns are kept and null in the rows of files without them.
+    ``multiline`` reads line breaks in quotes; without it large files are split.
+    A folder without a file gives no rows, with the expected columns.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    raw = reader.csv(path)
-    if expected_columns:
-        missing = sorted(set(expected_columns) - set(raw.columns))
-        if missing:
-            raise ValueError(f"Missing expected columns in {path}: {missing}")
-    data = [_null_tokens(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
+    files = csv_files(spark, path, glob, recursive)
+    lacking = {f.path: gone for f in files if f.header and (gone := sorted(set(expected_columns or []) - set(f.header)))}
+    if lacking:
+        raise ValueError(f"Missing expected columns: {lacking}")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        if f.header:
+            groups.setdefault(f.header, []).append(f.path)
     ts = F.lit(run_ts).cast("timestamp_ntz") if run_ts else F.current_timestamp().cast("timestamp_ntz")
-    return raw.select(*data,
-                      F.col("_metadata.file_name").alias("_source_file"),
-                      F.col("_metadata.file_block_start").alias("_chunk_start"),
-                      ts.alias("_ingestion_timestamp"))
+    folder = any(f.path.rstrip("/").rsplit("/", 2)[-2].count("=") for f in files)
+    parts = []
+    for header, paths in groups.items():
+        reader = _reader(spark, header, multiline)
+        raw = (reader.option("basePath", path) if folder else reader).csv(paths)  # partition folders give columns
+        parts.append(raw.select(*[_null_tokens(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns],
+                                F.col("_metadata.file_name").alias("_source_file"),
+                                F.col("_metadata.file_size").alias("_source_size"),
+                                F.col("_metadata.file_block_start").alias("_chunk_start"),
+                                ts.alias("_ingestion_timestamp")))
+    if not parts:
+        text = ", ".join(f"`{c}` string" for c in [*(expected_columns or []), "_source_file"])
+        return spark.createDataFrame([], f"{text}, _source_size bigint, _chunk_start bigint, _ingestion_timestamp timestamp_ntz")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def typed_csv_scan(spark: SparkSession, path: str, schema: str,
@@ -53,37 +161,42 @@ def typed_csv_scan(spark: SparkSession, path: str, schema: str,
     number, bad timestamp, wrong field count) keeps its raw text in
     ``corrupt_column`` instead of failing the job (PERMISSIVE mode). Pair with
     ``operators.quarantine.corrupt_record_rule`` to split it off."""
-    from pyspark.sql import types as T
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     st = T.StructType(list(st.fields) + [T.StructField(corrupt_column, T.StringType())])
     return (spark.read.option("header", True).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", corrupt_column).schema(st).csv(path))
 
 
-def directory_manifest(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """One row per file under ``path`` matching ``glob``: path, name, size,
-    modification time and data rows, ordered by name."""
-    raw = (spark.read.option("header", True).option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", True).csv(path))
-    return (raw.select("_metadata.file_path", "_metadata.file_name", "_metadata.file_size",
-                       "_metadata.file_modification_time")
-            .groupBy("file_path", "file_name", "file_size", "file_modification_time")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .orderBy("file_name"))
+def _listing(spark: SparkSession, files: list[CsvFile]) -> DataFrame:
+    return spark.createDataFrame([(f.path, f.name, f.size, f.modified_ms, list(f.header)) for f in files],
+                                 "file_path string, file_name string, file_size bigint, modified_ms bigint, columns array<string>") \
+        .select("file_path", "file_name", "file_size", F.timestamp_millis("modified_ms").alias("file_modification_time"), "columns")
 
 
-def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """First line of every file (its header), read from the files' first splits only.
+def directory_manifest(spark: SparkSession, path: str, glob: str = "*.csv", multiline: bool = True,
+                       recursive: bool = False) -> DataFrame:
+    """One row per file under ``path`` matching ``glob``: path, name, size, modification
+    time and data rows (0 for a file that holds a header alone), ordered by name.
+    Rows are counted without parsing a column."""
+    files = csv_files(spark, path, glob, recursive)
+    listed = _listing(spark, files).drop("columns")
+    named = [f.path for f in files if f.header]
+    if not named:
+        return listed.withColumn("rows", F.lit(0).cast("bigint")).orderBy("file_name")
+    counts = _reader(spark, ("_first",), multiline).csv(named).groupBy(F.col("_metadata.file_path").alias("file_path")) \
+        .agg(F.count(F.lit(1)).alias("rows"))
+    return listed.join(counts.withColumnRenamed("file_path", "_path"), _plain_path(F.col("file_path")) == _plain_path(F.col("_path")), "left") \
+        .select("file_path", "file_name", "file_size", "file_modification_time", F.coalesce("rows", F.lit(0)).alias("rows")).orderBy("file_name")
+
+
+def _plain_path(c: Column) -> Column:
+    """One spelling of a path: listings say ``file:/x`` where rows say ``file:///x``."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace(c, r"\+", "%2B")), r"^file:/+", "file:/")
 
-    Within a split, rows keep file order, so the smallest generated id among a
-    file's first-split rows is its first line.
-    """
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
-             .filter(F.col("_metadata.file_block_start") == 0)
-             .select(F.col("_metadata.file_path").alias("file_path"), "value",
-                     F.monotonically_increasing_id().alias("_pos")))
-    first = lines.groupBy("file_path").agg(F.min_by("value", "_pos").alias("header"))
-    return first.select("file_path", F.split("header", ",").alias("columns"))
+
+def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """(file_path, columns): every file's header, read from its first block only."""
+    return _listing(spark, csv_files(spark, path, glob, recursive=True)).select("file_path", "columns")
 
 
 def header_drift(headers: DataFrame, expected: list[str]) -> DataFrame:
@@ -96,20 +209,52 @@ def header_drift(headers: DataFrame, expected: list[str]) -> DataFrame:
         (F.col("columns") != exp).alias("reordered_or_changed"))
 
 
-def file_profile(spark: SparkSession, path: str, glob: str = "*.csv", sample_rows: int = 5) -> DataFrame:
-    """Per file: name, size, row estimate (physical lines - 1, at least 0), mtime."""
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
-             .select("_metadata.file_path", "_metadata.file_name", "_metadata.file_size",
-                     "_metadata.file_modification_time"))
-    return (lines.groupBy("file_path", "file_name", "file_size", "file_modification_time")
-            .agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("row_estimate")))
+# The lattice of guessed types: a column's type is the join of its values' types.
+# null < long < double < string, null < timestamp < string. A value sets one bit;
+# bits are or-ed, so files and partitions merge in any order.
+LONG, DOUBLE, TIMESTAMP, TEXT = 1, 2, 4, 8
+_TIME = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
+
+
+def _type_bit(c: Column) -> Column:
+    number = c.try_cast("double")
+    return F.when(c.isNull(), 0).when(c.try_cast("bigint").isNotNull() & c.rlike(r"^[+-]?\d+$"), LONG) \
+        .when(number.isNotNull() & c.rlike(r"^[+-]?[0-9.]+([eE][+-]?\d+)?$"), DOUBLE) \
+        .when(c.rlike(_TIME) & c.try_cast("timestamp_ntz").isNotNull(), TIMESTAMP).otherwise(TEXT)
+
+
+def _type_name(bits: Column) -> Column:
+    return F.when(bits == 0, "null").when(bits == LONG, "bigint").when(bits <= LONG + DOUBLE, "double") \
+        .when(bits == TIMESTAMP, "timestamp").otherwise("string")
 
 
-def guess_types(spark: SparkSession, path: str, sample_ratio: float = 1.0) -> dict[str, str]:
-    """Column types guessed by Spark's CSV inference on a sample."""
-    df = (spark.read.option("header", True).option("inferSchema", True)
-          .option("samplingRatio", sample_ratio).csv(path))
-    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+def file_profile(spark: SparkSession, path: str, glob: str = "*.csv", null_tokens=NULL_TOKENS, multiline: bool = True,
+                 recursive: bool = False) -> DataFrame:
+    """One row per file and column: name, size, modification time, rows, position, column,
+    guessed type, nulls. One pass over each group of files with equal headers; the
+    type is that of all values, not of a sample. Files without rows have the type
+    ``null`` in every column of their header."""
+    files = csv_files(spark, path, glob, recursive)
+    listed = _listing(spark, files).select("*", F.posexplode("columns").alias("position", "column")).drop("columns")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        if f.header:
+            groups.setdefault(f.header, []).append(f.path)
+    facts = spark.createDataFrame([], "_path string, position int, rows bigint, bits int, nulls bigint")
+    for header, paths in groups.items():
+        raw = _reader(spark, header, multiline).csv(paths).select(
+            F.col("_metadata.file_path").alias("_path"), *[_null_tokens(F.col(f"`{c}`"), null_tokens).alias(f"c{i}") for i, c in enumerate(header)])
+        aggs = [a for i in range(len(header)) for a in (F.bit_or(_type_bit(F.col(f"c{i}"))).alias(f"b{i}"),
+                                                        F.count_if(F.col(f"c{i}").isNull()).alias(f"n{i}"))]
+        one = raw.groupBy("_path").agg(F.count(F.lit(1)).alias("rows"), *aggs)
+        each = F.inline(F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"b{i}").cast("int").alias("bits"), F.col(f"n{i}").alias("nulls"))
+                                  for i in range(len(header))]))
+        facts = facts.unionByName(one.select("_path", "rows", each))
+    facts = facts.withColumnRenamed("position", "_position")
+    joined = listed.join(facts, (_plain_path(F.col("file_path")) == _plain_path(F.col("_path"))) & (F.col("position") == F.col("_position")), "left")
+    return joined.select("file_path", "file_name", "file_size", "file_modification_time", F.coalesce("rows", F.lit(0)).alias("rows"),
+                         "position", "column", _type_name(F.coalesce("bits", F.lit(0))).alias("type"),
+                         F.coalesce("nulls", F.lit(0)).alias("nulls"))
 
 
 def incremental_scan(df: DataFrame, column: str, mark: str | None, lateness: str | None = None) -> DataFrame:

@@ -1,13 +1,9 @@
-"""File and paged sources, event flattening."""
+"""File sources, event flattening."""
 import pytest
 from pyspark.sql import functions as F
 
 from martlake.sources import events as EV
 from martlake.sources import files as FS
-from martlake.sources import paged as PG
-
-CUST = "id bigint, name string"
-
 
 def _csv(tmp_dir, lines, name="a.csv"):
     import os
@@ -40,11 +36,52 @@ def test_header_drift_per_file(spark, tmp_dir):
     assert drift["b.csv"]["missing"] == ["id"] and drift["b.csv"]["extra"] == ["extra"]
 
 
-def test_file_profile_header_only_is_zero(spark, tmp_dir):
-    _csv(tmp_dir, ["id,name"], "empty.csv")
-    _csv(tmp_dir, ["id,name", "1,a", "2,b"], "two.csv")
-    prof = {r["file_name"]: r["row_estimate"] for r in FS.file_profile(spark, tmp_dir).collect()}
-    assert prof == {"empty.csv": 0, "two.csv": 2}
+HEADERS = {"id,name": ("id", "name"), '"a, b","c ""d""","e\nf"': ("a, b", 'c "d"', "e\nf"), "x,x,,x": ("x", "x.1", "_c2", "x.2"),
+           "\ufeffid": ("id",), "": ()}
+
+
+@pytest.mark.parametrize("text", HEADERS)
+def test_headers_are_csv_records(spark, tmp_dir, monkeypatch, text):
+    monkeypatch.setattr(FS, "FIRST_BLOCK", 2)  # the record goes on behind the first block
+    _csv(tmp_dir, [text, "1,2"] if text else [], "a.csv")
+    if not text:
+        open(f"{tmp_dir}/a.csv", "w").close()
+    (f,) = FS.csv_files(spark, tmp_dir)
+    assert f.header == HEADERS[text]
+
+
+def test_csv_scan_finds_columns_by_name(spark, tmp_dir):
+    _csv(tmp_dir, ["id,name", "1,a", '2,"b, ""c""\nd"'], "a.csv")
+    _csv(tmp_dir, ['"name",extra,id', "x,y,3", ",,4"], "b.csv")
+    _csv(tmp_dir, ["name,id"], "c.csv")
+    _csv(tmp_dir, ["no,csv"], "d.txt")
+    df = FS.csv_scan(spark, tmp_dir, ["id", "name"])
+    got = {r["id"]: (r["name"], r["extra"], r["_source_file"], r["_source_size"]) for r in df.collect()}
+    size = {n: __import__("os").path.getsize(f"{tmp_dir}/{n}") for n in ("a.csv", "b.csv")}
+    assert got == {"1": ("a", None, "a.csv", size["a.csv"]), "2": ('b, "c"\nd', None, "a.csv", size["a.csv"]),
+                   "3": ("x", "y", "b.csv", size["b.csv"]), "4": (None, None, "b.csv", size["b.csv"])}
+    rows = {r["file_name"]: r["rows"] for r in FS.directory_manifest(spark, tmp_dir).collect()}
+    assert rows == {"a.csv": 2, "b.csv": 2, "c.csv": 0}
+    _csv(tmp_dir, ["name", "q"], "z.csv")
+    with pytest.raises(ValueError, match="z.csv.*id"):
+        FS.csv_scan(spark, tmp_dir, ["id", "name"])
+
+
+def test_csv_scan_of_nothing_has_the_expected_columns(spark, tmp_dir):
+    _csv(tmp_dir, ["a"], "other.txt")
+    df = FS.csv_scan(spark, tmp_dir, ["id"])
+    assert df.count() == 0 and df.columns[0] == "id" and FS.directory_manifest(spark, tmp_dir).count() == 0
+    assert FS.file_profile(spark, tmp_dir).count() == 0
+
+
+def test_file_profile_joins_types_of_all_values(spark, tmp_dir):
+    _csv(tmp_dir, ["n,d,t,s,e,m", "1,1,2024-01-01,1,,2024-01-01", "-2,2.5,2024-01-02 10:00:00,x,NA,7", "+3,1e3,2024-01-03T10:00,2,,"], "a.csv")
+    _csv(tmp_dir, ["n,d", "99999999999999999999,NaN"], "b.csv")
+    _csv(tmp_dir, ["n"], "c.csv")
+    got = {(r["file_name"], r["column"]): (r["type"], r["rows"], r["nulls"]) for r in FS.file_profile(spark, tmp_dir).collect()}
+    assert got == {("a.csv", "n"): ("bigint", 3, 0), ("a.csv", "d"): ("double", 3, 0), ("a.csv", "t"): ("timestamp", 3, 0),
+                   ("a.csv", "s"): ("string", 3, 0), ("a.csv", "e"): ("null", 3, 3), ("a.csv", "m"): ("string", 3, 1),
+                   ("b.csv", "n"): ("double", 1, 0), ("b.csv", "d"): ("null", 1, 1), ("c.csv", "n"): ("null", 0, 0)}
 
 
 def test_incremental_scan_pushes_filter(spark, tmp_dir):
@@ -62,39 +99,6 @@ def test_incremental_scan_text_column(spark):
     assert [r["id"] for r in FS.incremental_scan(df, "ts", "2024-01-01 09:00:00").collect()] == ["b"]
 
 
-def _pages(spark, tmp_dir, n=23, size=5):
-    df = spark.range(n).select(F.col("id"), F.concat(F.lit("n"), F.col("id")).alias("name"))
-    PG.export_pages(df, "id", size, tmp_dir)
-    PG.register_sources(spark)
-    return df
-
-
-def test_paged_offset_server_cap(spark, tmp_dir):
-    _pages(spark, tmp_dir)
-    df = (spark.read.format("martlake_paged_offset").schema(CUST).option("path", tmp_dir)
-          .option("key", "id").option("page_size", 10).load())
-    assert df.rdd.getNumPartitions() == 5          # server gives 5 rows per page
-    assert sorted(r["id"] for r in df.collect()) == list(range(23))
-
-
-def test_paged_offset_max_pages(spark, tmp_dir):
-    _pages(spark, tmp_dir)
-    df = (spark.read.format("martlake_paged_offset").schema(CUST).option("path", tmp_dir)
-          .option("key", "id").option("page_size", 5).option("max_pages", 2).load())
-    assert sorted(r["id"] for r in df.collect()) == list(range(10))
-
-
-def test_paged_cursor_walks_each_shard(spark, tmp_dir):
-    df = spark.range(20).select("id", F.concat(F.lit("n"), F.col("id")).alias("name"),
-                                (F.col("id") % 2).cast("string").alias("shard"))
-    PG.export_pages(df, "id", 3, tmp_dir, shard="shard")
-    PG.register_sources(spark)
-    out = (spark.read.format("martlake_paged_cursor").schema(CUST + ", _shard string").option("path", tmp_dir)
-           .option("key", "id").option("shard_column", "_shard").load())
-    assert out.rdd.getNumPartitions() == 2
-    assert sorted(r["id"] for r in out.collect()) == list(range(20))
-
-
 def test_event_flatten_nested(spark):
     df = spark.createDataFrame([(1, '{"order_id": "o1", "amount": 2.5, "meta": {"region": "EU"}}'),
                                 (2, None)], "event_id int, payload string")
@@ -105,26 +109,6 @@ def test_event_flatten_nested(spark):
     assert v["amt"] == 2.5
 
 
-def test_paged_offset_groups_pages_per_task(spark, tmp_dir):
-    _pages(spark, tmp_dir)
-    df = (spark.read.format("martlake_paged_offset").schema(CUST).option("path", tmp_dir)
-          .option("key", "id").option("page_size", 5).option("pages_per_partition", 2).load())
-    assert df.rdd.getNumPartitions() == 3
-    assert sorted(r["id"] for r in df.collect()) == list(range(23))
-
-
-def test_offset_source_without_date_column_needs_no_pushdown(spark, tmp_dir):
-    _pages(spark, tmp_dir)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
-    try:
-        df = (spark.read.format("martlake_paged_offset").schema(CUST).option("path", tmp_dir)
-              .option("key", "id").option("page_size", 5).load().filter(F.col("id") > 20))
-        assert sorted(r["id"] for r in df.collect()) == [21, 22]
-    finally:
-        PG.register_sources(spark)
-    assert spark.conf.get("spark.sql.python.filterPushdown.enabled") == "true"
-
-
 def test_typed_csv_quarantines_malformed_lines(spark, tmp_dir):
     from martlake.operators import quarantine as Q
     _csv(tmp_dir, ["id,amount,ts", "1,2.5,2024-01-01 10:00:00", "2,abc,2024-01-01 11:00:00",
