@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from martlake.registry import register
 from martlake.session import prepare, read_table, scratch_path
+from martlake.streaming import admission as AD
+from martlake.streaming import commits as CM
 from martlake.streaming import events as ST
 
 CHUNK_DAYS = 6          # each landing chunk spans this many days of event time
@@ -40,40 +42,81 @@ def land_chunks(events, landing: str, first: int = 0, last: int | None = None) -
 EVENTS_SQL = "SELECT * FROM events"
 
 
+ROWS = 750  # rows of a micro-batch
+AGAIN_SQL = f"""
+WITH c AS (SELECT event_id, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // {CHUNK_DAYS} AS chunk FROM events),
+n AS (SELECT count(*) + count(CASE WHEN event_id % {DUP_EVERY} = 0 AND chunk < (SELECT max(chunk) FROM c) THEN 1 END) AS total FROM c)"""
+
+
+def _admitted(spark, events):
+    """All chunks landed, admitted in batches of ``ROWS`` rows, the rest after its wait."""
+    landing, admitted = scratch_path(spark, "landing"), scratch_path(spark, "admitted")
+    n = land_chunks(events, landing, 0, 2)
+    AD.admit(spark, landing, admitted, events.schema, ROWS, wait_s=60, now_ms=0)  # nothing waits yet: whole batches only
+    land_chunks(events, landing, 2, n)
+    AD.admit(spark, landing, admitted, events.schema, ROWS, wait_s=60, now_ms=1 << 50)
+    return admitted
+
+
 @register("event_microbatch", EVENTS_SQL)
 def q_event_microbatch(spark, sf_dir):
     events = _events(spark, sf_dir)
-    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "sink")
-    land_chunks(events, landing)
-    stream = ST.event_stream(spark, landing, events.schema, max_files_per_trigger=4)
-    ST.run_to_completion(stream, sink, scratch_path(spark, "ckpt"))
+    sink = scratch_path(spark, "sink")
+    done = ST.run_to_completion(AD.batch_stream(spark, _admitted(spark, events), events.schema).drop("batch"), sink,
+                                scratch_path(spark, "ckpt"))
+    if sorted(done["sizes"])[1:] != [ROWS] * (done["batches"] - 1):
+        raise RuntimeError(f"batches of other sizes: {done['sizes']}")
     return ST.read_sink(spark, sink, key="event_id", order_by=["ts"])
 
 
+@register("event_batch_sizes", AGAIN_SQL + f"""
+SELECT b AS batch, least({ROWS}, total - b * {ROWS}) AS rows
+FROM n, (SELECT unnest(range(0, (SELECT (total + {ROWS} - 1) // {ROWS} FROM n))) AS b)""")
+def q_event_batch_sizes(spark, sf_dir):
+    """Every admitted batch has ``ROWS`` rows, all but the last."""
+    events = _events(spark, sf_dir)
+    path = f"{_admitted(spark, events)}/batches"
+    return spark.read.parquet(path).groupBy(F.col("batch").cast("bigint").alias("batch")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register("event_checkpoint_replay", EVENTS_SQL)
 def q_event_checkpoint_replay(spark, sf_dir):
+    """Restarts on one checkpoint. The sink is counted before any dedup: it holds each
+    landed row once, so a file read twice fails the query."""
     events = _events(spark, sf_dir)
     landing, sink, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+
+    def restart():
+        ST.drain(CM.write_batches(ST.event_stream(spark, landing, events.schema, 4), sink, ckpt, ["event_id"]))
     n = land_chunks(events, landing, 0, 3)
-    ST.run_to_completion(ST.event_stream(spark, landing, events.schema, 4), sink, ckpt)
-    first_rows = spark.read.parquet(sink).count()
+    restart()
     land_chunks(events, landing, 3, n)
-    # restart on the same checkpoint: only files not yet committed are read
-    ST.run_to_completion(ST.event_stream(spark, landing, events.schema, 4), sink, ckpt)
-    # a second restart with nothing new must not add rows
-    ST.run_to_completion(ST.event_stream(spark, landing, events.schema, 4), sink, ckpt)
-    total = spark.read.parquet(sink).count()
-    if total < first_rows:
-        raise RuntimeError("sink lost rows on restart")
-    return ST.read_sink(spark, sink, key="event_id", order_by=["ts"])
+    restart()
+    restart()  # nothing new
+    landed, delivered = spark.read.parquet(landing).count(), CM.read_deliveries(spark, sink, events.schema).count()
+    if landed != delivered or delivered != sum(b.rows for b in CM.committed(spark, sink)):
+        raise RuntimeError(f"{landed} rows landed, {delivered} in the sink")
+    return CM.read_latest(spark, sink, events.schema, ["event_id"], ["ts"])
+
+
+HELD = 50  # every 50th event of the first chunk lands after all others, far behind the watermark
 
 
 @register("event_dedup", EVENTS_SQL)
 def q_event_dedup(spark, sf_dir):
+    """Repeated deliveries are dropped; unique events behind the watermark are kept."""
     events = _events(spark, sf_dir)
-    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "sink")
-    land_chunks(events, landing)
-    stream = ST.dedup_within_watermark(ST.event_stream(spark, landing, events.schema, 2),
-                                       "event_id", "ts", WATERMARK)
-    ST.run_to_completion(stream, sink, scratch_path(spark, "ckpt"))
-    return spark.read.parquet(sink)
+    landing, sink, late, ckpt = (scratch_path(spark, x) for x in ("landing", "sink", "late", "ckpt"))
+    held = (F.col("event_id") % HELD == 7) & (F.col("ts") < F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
+    land_chunks(events.where(~held), landing)
+
+    def restart():
+        stream = ST.dedup_within_watermark(ST.event_stream(spark, landing, events.schema, 2), "event_id", "ts", WATERMARK)
+        ST.run_to_completion(stream.withColumn(ST.DAY, F.to_date("ts").cast("string")), sink, ckpt, partition_by=[ST.DAY])
+        return ST.keep_late(spark, landing, sink, late, events.schema, "event_id", "ts")
+    restart()
+    events.where(held).unionAll(events.where(held)).write.mode("append").parquet(landing)
+    kept, expected = restart(), events.where(held).count()
+    if kept != expected and spark.read.parquet(sink).count() + kept != events.count():
+        raise RuntimeError(f"{kept} late events kept, {expected} landed")
+    return ST.read_events(spark, sink, late, "event_id")
