@@ -5,6 +5,8 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ def rate(col) -> Column:
     return _c(col).cast(RATE)
 
 
-def units(col, scale: int):
+def units(col, scale: int, strict: bool = True) -> Column:
     """Exact fixed-point value as a 64-bit integer of 10^-scale units.
 
     Same result as ``cast(col as decimal(18, scale))`` scaled to an integer.
@@ -40,7 +42,9 @@ def units(col, scale: int):
     within 1e-6 of a half unit (where float error could flip the rounding)
     take the exact decimal route, so the cost of decimal arithmetic is paid
     on those rows alone. Null stays null; NaN, infinities and amounts of 1e15
-    units or more raise, so that no sum silently loses a row.
+    units or more raise, so that no sum silently loses a row. Not ``strict``: they
+    are null, for callers that check several amounts of a row at once
+    (``checked_units``).
     """
     c = _c(col)
     scaled = c * F.lit(float(10 ** scale))
@@ -49,9 +53,22 @@ def units(col, scale: int):
     exact = (c.cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("bigint")
     nearest = F.when(scaled >= 0, F.floor(scaled + F.lit(0.5))).otherwise(-F.floor(F.lit(0.5) - scaled))
     finite = ~F.isnan(c) & (F.abs(scaled) < F.lit(1e15))
+    value = F.when(finite, F.when(near_half, exact).otherwise(nearest.cast("bigint")))
+    if not strict:
+        return value
     broken = F.raise_error(F.concat(F.lit("amount out of range: "), c.cast("string"))).cast("bigint")
-    return F.when(finite, F.when(near_half, exact).otherwise(nearest.cast("bigint"))) \
-        .when(c.isNotNull(), broken)
+    return value.when(c.isNotNull() & ~finite, broken)
+
+
+def checked_units(cols: dict[str, str], scale: int) -> list[Column]:
+    """``units`` of several columns of a row (result name -> column), with one check for
+    all of them: a row with an amount out of range raises."""
+    values = {name: units(c, scale, strict=False) for name, c in cols.items()}
+    bad = reduce(lambda x, y: x | y, [F.col(c).isNotNull() & values[n].isNull() for n, c in cols.items()])
+    text = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols.values()])
+    broken = F.raise_error(F.concat(F.lit("amount out of range in: "), text)).cast("bigint")
+    (first, value), *rest = values.items()
+    return [F.when(bad, broken).otherwise(value).alias(first), *[v.alias(n) for n, v in rest]]
 
 
 def units_to_double(col, scale: int):

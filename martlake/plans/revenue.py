@@ -1,7 +1,7 @@
 """Daily revenue mart and the dashboard queries that read it.
 
 Plan shape (per day):
-  lineitem (5 columns) --join_dim (checked broadcast, else skew split)--> part
+  lineitem (5 columns) --join, its kind left to Spark and AQE--> part
       -> partial + final aggregate per order key  (one shuffle, map-side combine)
       -> join orders on the same key              (re-uses that partitioning)
       -> aggregate per day                        (tiny: one row per day)
@@ -20,8 +20,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.functions.scalar import safe_divide, units, units_to_double
-from martlake.operators.joins import join_dim
+from martlake.functions.scalar import checked_units, safe_divide, units, units_to_double
 from martlake.params import MartParams
 
 
@@ -43,15 +42,16 @@ def revenue_lines(lineitem: DataFrame, part: DataFrame, params: MartParams = Mar
     integer arithmetic keeps every line exact and stays on Spark's fast path
     (decimals wider than 18 digits fall back to arbitrary precision).
     """
-    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
-    p = part.select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_retailprice")
+    li = lineitem.select("l_orderkey", "l_partkey", *checked_units(
+        {"_price": "l_extendedprice", "_discount": "l_discount", "_quantity": "l_quantity"}, 2))
+    p = part.select(F.col("p_partkey").alias("l_partkey"), "p_type", units("p_retailprice", 2).alias("_retail"))
     k, r = _ratio(params.cost_ratio)
-    revenue = units("l_extendedprice", 2) * (F.lit(100) - units("l_discount", 2))
-    cost = F.lit(k) * units("p_retailprice", 2) * units("l_quantity", 2)
+    revenue = F.col("_price") * (F.lit(100) - F.col("_discount"))
+    cost = F.lit(k) * F.col("_retail") * F.col("_quantity")
     rev_c = revenue * F.lit(10 ** r)
     margin = F.lit(100.0) * safe_divide((rev_c - cost).cast("double") / F.lit(10.0 ** (4 + r)),
                                         rev_c.cast("double") / F.lit(10.0 ** (4 + r)))
-    return (join_dim(li, p, "l_partkey")
+    return (li.join(p, "l_partkey")
             .select("l_orderkey", "p_type", revenue.alias("revenue"), cost.alias("cost"),
                     margin.alias("margin_pct")))
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from martlake.functions.scalar import money
 from martlake.operators.dedup import latest_by_key
-from martlake.operators.joins import small_side
 from martlake.params import MartParams
 
 LOAD_TS = "_ingestion_timestamp"
@@ -47,8 +46,8 @@ def stg_products(raw_parts: DataFrame, params: MartParams = MartParams()) -> Dat
 
 
 def stg_customers(raw_customers: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    geo = small_side(nation.join(small_side(region), nation["n_regionkey"] == region["r_regionkey"])
-                     .select("n_nationkey", F.col("n_name").alias("country"), F.col("r_name").alias("region")))
+    geo = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]) \
+        .select("n_nationkey", F.col("n_name").alias("country"), F.col("r_name").alias("region"))
     typed = raw_customers.select(
         F.col("c_custkey").alias("customer_id"),
         F.trim("c_name").alias("full_name"),

@@ -98,12 +98,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(base, "scratch", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Input tables (one Parquet file or folder per table), read with their
     declared schema when one exists (``martlake.contracts``)."""
@@ -112,12 +106,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = TABLE_SCHEMAS.get(name)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
-
-
-def plan_size_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of a plan (Parquet: file sizes after pruning)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # pragma: no cover - connect sessions have no JVM handle
-        return 1 << 62
-    return int(size) if isinstance(size, int) else int(size.toString())

@@ -76,3 +76,12 @@ def test_units_match_decimal_cast(spark):
         with pytest.raises(Exception, match="amount out of range"):
             spark.createDataFrame([(bad,)], "x double").select(S.units("x", 2)).collect()
 
+
+
+def test_checked_units_check_a_row_once(spark):
+    df = spark.createDataFrame([(1.25, 0.1, None), (None, -2.5, 3.0)], "a double, b double, c double")
+    cols = {"x": "a", "y": "b", "z": "c"}
+    assert [tuple(r) for r in df.select(*S.checked_units(cols, 2)).collect()] == [(125, 10, None), (None, -250, 300)]
+    for row in ((1.0, float("nan"), 1.0), (1.0, 1.0, 1e300), (float("inf"), None, None)):
+        with pytest.raises(Exception, match="amount out of range"):
+            spark.createDataFrame([row], df.schema).select(*S.checked_units(cols, 2)).collect()
