@@ -46,9 +46,12 @@ CRLF = b"\r\n"
 
 def url_key(url: str | None) -> str:
     """Reversed-host key: host labels from the top, ``)``, path and query; the
-    scheme, a leading ``www.``, the default port and the fragment don't count."""
-    if not url:
-        return ""
+    scheme, a leading ``www.``, the default port and the fragment don't count. Tabs and
+    line feeds are escaped here, before keys are sorted, as index lines hold them so."""
+    return _key(url).replace("\t", "%09").replace("\n", "%0A") if url else ""
+
+
+def _key(url: str) -> str:
     try:
         parts = urlsplit(url.strip())
         host, port = (parts.hostname or "").rstrip("."), parts.port
@@ -72,6 +75,11 @@ def _store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
+def record_id(page_id: int | None, digest: str) -> str:
+    """Id of the record of a page with that payload (rows that repeat both share it)."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"
+
+
 def record_bytes(page_id, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None,
                  revisit: bool) -> bytes:
     """One WARC/1.1 record (not compressed); ``digest`` and ``size`` are the full
@@ -79,14 +87,14 @@ def record_bytes(page_id, url: str | None, payload: bytes, digest: str, size: in
     uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "urn:none")
     block = b"" if revisit else b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + payload
     head = [("WARC-Type", "revisit" if revisit else "response"),
-            ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {uri}')}>"),
+            ("WARC-Record-ID", record_id(page_id, digest)),
             ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", uri),
             ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(size)),
             ("X-Page-ID", "" if page_id is None else str(page_id)),
             ("Content-Type", "application/http;msgtype=response"), ("Content-Length", str(len(block)))]
     if revisit:
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                 ("X-Refers-To-Page-ID", str(refers_to))]
+                 ("WARC-Refers-To", record_id(refers_to, digest)), ("X-Refers-To-Page-ID", str(refers_to))]
     lines = "".join(f"{k}: {v}\r\n" for k, v in head).encode()
     return b"WARC/1.1" + CRLF + lines + CRLF + block + CRLF + CRLF
 
@@ -150,7 +158,7 @@ def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
 # --- index ------------------------------------------------------------------
 
 def _line(key, page_id, file, offset, length) -> str:
-    return "\t".join((key.replace("\t", "%09").replace("\n", "%0A"), "" if page_id is None else str(page_id), file,
+    return "\t".join((key, "" if page_id is None else str(page_id), file,
                       str(offset), str(length)))
 
 
@@ -236,7 +244,6 @@ class Reader:
 
     def lookup(self, key: str, page_id: int | None) -> list[tuple[str, int, int]]:
         """(file, offset, length) of all captures of a url key and id."""
-        key = key.replace("\t", "%09").replace("\n", "%0A")
         low = (key, page_id is not None, page_id or 0)
         found: list[tuple[str, int, int]] = []
         i = max(0, bisect.bisect_right(self.starts, low) - 1)
@@ -257,10 +264,11 @@ class Reader:
         return parse_record(gzip.decompress(self._read(f"{self.archives}/{file}", offset, length)))
 
 
-def read_captures(wanted: DataFrame, archives: str, index: str, ranges: list) -> DataFrame:
+def read_captures(wanted: DataFrame, archives: str, index: str, ranges: list, strict: bool = False) -> DataFrame:
     """Look up every (key, page_id) of ``wanted`` through the index and read its
     records: (page_id, url, payload_bytes, payload_digest, record_type, refers_to,
-    file, offset). Repeated requests are answered once."""
+    file, offset). Repeated requests are answered once; one without a capture gives
+    no row, ``strict`` makes it an error."""
     parts = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = wanted.select("key", "page_id").distinct().repartitionByRange(parts, "key", "page_id") \
         .sortWithinPartitions("key", "page_id")
@@ -273,7 +281,10 @@ def read_captures(wanted: DataFrame, archives: str, index: str, ranges: list) ->
         for b in it:
             out = []
             for key, page_id in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for file, offset, length in reader.lookup(key, page_id):
+                places = reader.lookup(key, page_id)
+                if strict and not places:
+                    raise KeyError(f"no capture of {key!r}, page {page_id}")
+                for file, offset, length in places:
                     head, block = reader.record(file, offset, length)
                     digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"])
                     if head["WARC-Type"] == "response":
@@ -297,5 +308,5 @@ def round_trip(df: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     archives, index = scratch(spark, "warc"), scratch(spark, "warc-index")
     entries = write_archives(df, archives, id_col, url_col, html_col, min_payload)
     ranges = build_index(entries, index)
-    return read_captures(entries, archives, index, ranges)
+    return read_captures(entries, archives, index, ranges, strict=True)
 

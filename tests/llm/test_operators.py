@@ -83,6 +83,20 @@ def test_warc_round_trip(spark):
     assert {r.record_type for r in warc.round_trip(pages, min_payload=5).where("page_id < 5").collect()} == {"response"}
 
 
+def test_warc_keys_without_a_host_repeated_and_null_pages(spark):
+    odd = [c + "b" + d for c in ("a", "a ", "a\t", "a\n", "a%", "a%09", "a!") for d in ("", "\t", "\n", " x")]
+    rows = [(i, u, f"page {i % 9}") for i, u in enumerate(odd * 30)]
+    rows += [(3, odd[3], "page 3"), (3, odd[3], "page 3"), (3, odd[5], "another"), (None, "http://h.example/", "x"), (None, None, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = warc.round_trip(pages).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest) for r in got) == Counter(
+        (i, len(h), warc.payload_digest(h.encode())) for i, _, h in rows)
+    assert all((r.record_type == "revisit") == (r.refers_to is not None) for r in got)
+    first = warc.record_bytes(5, "u", b"x", warc.payload_digest(b"x"), 1, None, False)
+    again = warc.record_bytes(8, "v", b"x", warc.payload_digest(b"x"), 1, 5, True)
+    assert warc.parse_record(again)[0]["WARC-Refers-To"] == warc.parse_record(first)[0]["WARC-Record-ID"]
+
+
 def test_toxicity(spark, empty):
     rows = [(i, " ".join(BASE[i % 9: i % 9 + 15]) + (" vile scoundrel" * (1 + i % 4) if i % 5 == 0 else "")) for i in range(300)]
     d = spark.createDataFrame(rows + [(900, None), (901, ""), (902, "vile scoundrel vile")], "doc_id long, text string")
