@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from martlake.llm.text import LOWER, SPACED, blocks, saved, texts, word_hashes, word_spans
 
 CAPACITY = 2048
+LANE = 50_000  # pieces of a lane
 #: byte classes for cutting: 1 ASCII letters and digits, 2 ASCII punctuation without the apostrophe
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[0x21:0x7F] = 2
@@ -225,15 +226,18 @@ def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
 
 
 def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = CAPACITY, lanes: int = 64) -> DataFrame:
+         capacity: int = CAPACITY, lanes: int | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) per piece.
 
-    Ranks within a length come from counts by (length, lane), at most
-    ``capacity * lanes`` rows.
+    Pieces of one length are numbered in ``lanes`` parts (default: one for each
+    ``LANE`` pieces of the whole, so that a length that most pieces have is as many
+    groups as it needs); the lanes' counts give each lane's first number.
     """
     spark = df.sparkSession
-    rows = saved(pieces(texts(df, id_col, text_col), tokenizer_path, capacity)
-                 .withColumn("lane", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(lanes)).cast("int")), "pieces")
+    rows = saved(pieces(texts(df, id_col, text_col), tokenizer_path, capacity), "pieces")
+    lanes = lanes or -(-rows.count() // LANE) + 1  # counted from Parquet footers
+    place = F.xxhash64(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), "_metadata.row_index")
+    rows = rows.withColumn("lane", F.pmod(place, F.lit(lanes)).cast("int"))  # by place, so that repeated rows are spread too
     counts = rows.groupBy("length", "lane").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = plan(histogram, capacity)
@@ -242,7 +246,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
     before = Window.partitionBy("length").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("length", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_rank"))
     inside = Window.partitionBy("length", "lane").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = rows.withColumn("nth", F.row_number().over(inside) - 1).join(F.broadcast(first), ["length", "lane"]) \
+    ranked = rows.withColumn("nth", F.row_number().over(inside) - 1).join(first, ["length", "lane"]) \
         .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first_rank") + F.col("nth")).alias("rank"))
 
     def place(it):
