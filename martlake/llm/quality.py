@@ -6,9 +6,10 @@ the log odds against the sample's own rate.
 
 Site evidence: posteriors are summed by host and by (host, path) over all
 documents (grouped aggregates, partial sums first). Moments over the hosts give
-the global rate and the strength of its Beta prior; a host's rate is shrunk
-towards the global rate, a path's towards its host's, each by its size, so a
-sparse site stays near what is known above it. A document's prior is its path's
+the global rate and the strength of its Beta prior, moments over the paths around
+their hosts the strength of the hosts'; a host's rate is shrunk towards the global
+rate, a path's towards its host's, each by its size, so a sparse site stays near
+what is known above it. A document's prior is its path's
 rate without the document itself. Posterior odds = prior odds x Bayes factor.
 
 Defined cases: null or empty text has zero features; null host and path are
@@ -137,11 +138,12 @@ def classify(df: DataFrame, labels: DataFrame, label: str = "quality", host_col:
     m = hosts.agg(F.sum("host_s").alias("s"), F.sum("host_n").alias("n"), F.count(F.lit(1)).alias("k"),
                   F.sum(F.col("host_s") * F.col("host_s") / F.col("host_n")).alias("q"), F.sum(F.col("host_n") ** 2).alias("n2")).first()
     mean, strength = prior_moments(m.s, m.n, m.k, m.q, m.n2)
+    own = path_strength(paths)
     shrunk = hosts.select(F.col("host").alias("host2"), ((F.col("host_s") + mean * strength) / (F.col("host_n") + strength)).alias("host_rate"))
     sites = paths.join(shrunk, F.col("host").eqNullSafe(F.col("host2"))) \
         .select(F.col("host").alias("host2"), F.col("path").alias("path2"), "s", "n", "host_rate")
     same = F.col("host").eqNullSafe(F.col("host2")) & F.col("path").eqNullSafe(F.col("path2"))
-    prior = (F.col("s") - good + F.col("host_rate") * strength) / (F.col("n") - 1 + strength)
+    prior = (F.col("s") - good + F.col("host_rate") * own) / (F.col("n") - 1 + own)
     prior = F.least(F.greatest(prior, F.lit(1e-6)), F.lit(1 - 1e-6))
     return rows.join(sites, same).withColumn("site_rate", prior) \
         .withColumn("quality", 1 / (1 + F.exp(-(F.col("log_odds") + _logit(F.col("site_rate")))))) \
@@ -163,6 +165,22 @@ def prior_moments(s: float | None, n: float | None, k: int, q: float | None, n2:
     return mean, float(min(max(noise / between - 1, 1.0), 1e6)) if between > 0 else 1e6
 
 
+def path_strength(paths: DataFrame) -> float:
+    """Strength of the prior over the paths of a host, of all hosts alike: the variance of
+    path rates around their host's rate that sampling noise leaves. ``paths``:
+    (host, path, s, n); one row reaches the driver."""
+    each = paths.groupBy("host").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
+                                     F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"), F.sum(F.col("n") ** 2).alias("n2"))
+    rate = F.least(F.greatest(F.col("s") / F.col("n"), F.lit(1e-6)), F.lit(1 - 1e-6))
+    m = each.agg(F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("spread"),
+                 F.sum((F.col("k") - 1) * rate * (1 - rate)).alias("noise"), F.sum(F.col("k") - 1).alias("free"),
+                 F.sum(F.col("n") - F.col("n2") / F.col("n")).alias("size")).first()
+    if not m.free or m.size <= 0:  # no host has two paths
+        return 100.0
+    between = (m.spread - m.noise) / m.size
+    return float(min(max(m.noise / m.free / between - 1, 1.0), 1e6)) if between > 0 else 1e6
+
+
 def keep_good(df: DataFrame, labels: DataFrame) -> DataFrame:
     """``df`` without the rejected rows; all columns stay."""
     return without(df, classify(df, labels).where(~F.col("keep")))

@@ -114,11 +114,20 @@ def test_quality_posteriors_by_hand(spark):
     hosts, sites = group(lambda r: r.host), group(lambda r: (r.host, r.path))
     mean, strength = quality.prior_moments(sum(s for s, _ in hosts.values()), float(len(got)), len(hosts),
                                            sum(s * s / n for s, n in hosts.values()), float(sum(n * n for _, n in hosts.values())))
+    spread = noise = free = size = 0.0
+    for h, (s, n) in hosts.items():
+        inside = [v for (x, _), v in sites.items() if x == h]
+        spread += sum(a * a / b for a, b in inside) - s * s / n
+        noise += (len(inside) - 1) * (s / n) * (1 - s / n)
+        free += len(inside) - 1
+        size += n - sum(b * b for _, b in inside) / n
+    between = (spread - noise) / size
+    own = min(max(noise / free / between - 1, 1.0), 1e6) if between > 0 else 1e6
     for r in got:
         s, n = hosts[r.host]
         host = (s + mean * strength) / (n + strength)
         s, n = sites[r.host, r.path]
-        site = min(max((s - good[id(r)] + host * strength) / (n - 1 + strength), 1e-6), 1 - 1e-6)
+        site = min(max((s - good[id(r)] + host * own) / (n - 1 + own), 1e-6), 1 - 1e-6)
         odds = r.log_odds + math.log(site / (1 - site))
         assert (r.host_rate, r.site_rate) == (pytest.approx(host), pytest.approx(site))
         assert r.quality == pytest.approx(1 / (1 + math.exp(-odds))) and r.keep == (r.quality >= quality.KEEP)
