@@ -15,6 +15,7 @@ commits its rows, its mark and its ledger of windows together.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.operators import checks as C
+from martlake.operators import control as CT
 from martlake.operators import monitor as M
 from martlake.operators import windows as W
 from martlake.operators.dedup import latest_by_key
@@ -42,6 +44,16 @@ class EntitySpec:
     checks: list = field(default_factory=list)
 
 
+@contextmanager
+def _logged(log: CT.RunLog | None, run_id: str | None, pipeline: str):
+    """The run's record in ``log``; without a log a record that nobody keeps."""
+    if log is None:
+        yield {"counts": {}, "meta": {}}
+    else:
+        with log.run(run_id or pipeline, pipeline) as rec:
+            yield rec
+
+
 def stage_and_check(spec: EntitySpec) -> tuple[DataFrame, DataFrame]:
     staged = L.stage(spec.extract(), f"raw_{spec.name}")
     suite = [C.row_count(1), *C.not_null(spec.key), *C.unique(spec.key), *spec.checks]
@@ -60,14 +72,23 @@ def read_release(spark: SparkSession, lake_root: str, entity: str) -> DataFrame:
     return SN.read(spark, L.lake_path(lake_root, "raw", entity), snap.notes["tables"][entity])
 
 
-def run_full_ingestion(spark: SparkSession, entities: list[EntitySpec], lake_root: str,
-                       default_date: str, loaded_at: str | None = None) -> DataFrame:
+def run_full_ingestion(spark: SparkSession, entities: list[EntitySpec], lake_root: str, default_date: str,
+                       loaded_at: str | None = None, log: CT.RunLog | None = None, run_id: str | None = None) -> DataFrame:
     """Extract -> stage -> checks -> gate (all checks first) -> tables -> release.
 
     Every run replaces the whole table, date folders without new rows included.
     ``loaded_at`` (one text per run) is noted with each table for freshness checks.
-    Returns one row per entity: name and rows of the published table.
+    Returns one row per entity: name and rows of the published table. With ``log`` the
+    run is recorded there, failed or not.
     """
+    with _logged(log, run_id, "full_ingestion") as rec:
+        rows = _full_ingestion(spark, entities, lake_root, default_date, loaded_at)
+        rec["counts"].update(processed=sum(n for _, n in rows), loaded=sum(n for _, n in rows))
+    return spark.createDataFrame(rows, "entity string, rows_loaded bigint")
+
+
+def _full_ingestion(spark: SparkSession, entities: list[EntitySpec], lake_root: str, default_date: str,
+                    loaded_at: str | None) -> list[tuple[str, int]]:
     checked = [(spec, *stage_and_check(spec)) for spec in entities]
     C.enforce_gate(reduce(lambda a, b: a.unionByName(b), [r for _, _, r in checked]))
     pending = {}
@@ -83,11 +104,20 @@ def run_full_ingestion(spark: SparkSession, entities: list[EntitySpec], lake_roo
     for name, snap in made.items():
         SN.register_view(spark, f"raw_{name}", L.lake_path(lake_root, "raw", name), snap.version)
         rows.append((name, spark.table(f"raw_{name}").count()))
-    return spark.createDataFrame(rows, "entity string, rows_loaded bigint")
+    return rows
 
 
-def run_entity_load(spark: SparkSession, spec: EntitySpec, lake_root: str, default_date: str) -> tuple:
+def run_entity_load(spark: SparkSession, spec: EntitySpec, lake_root: str, default_date: str,
+                    log: CT.RunLog | None = None, run_id: str | None = None) -> tuple:
     """One entity to the lake; an empty extract short-cuts to 'no_data'."""
+    with _logged(log, run_id, f"load_{spec.name}") as rec:
+        out = _entity_load(spark, spec, lake_root, default_date)
+        rec["counts"].update(processed=out[2], loaded=out[2])
+        rec["meta"]["status"] = out[1]
+    return out
+
+
+def _entity_load(spark: SparkSession, spec: EntitySpec, lake_root: str, default_date: str) -> tuple:
     staged = L.stage(spec.extract(), f"raw_{spec.name}")
     if staged.isEmpty():
         return (spec.name, "no_data", 0)
@@ -110,7 +140,8 @@ def _buckets_for(rows: int) -> int:
 
 def run_incremental(spark: SparkSession, source: DataFrame, target_path: str, batches_path: str,
                     pipeline: str, table: str, key: list[str], mark_column: str, window_end: str,
-                    default_start: str, lateness: str | None = None, window_start: str | None = None) -> dict:
+                    default_start: str, lateness: str | None = None, window_start: str | None = None,
+                    log: CT.RunLog | None = None, run_id: str | None = None) -> dict:
     """Mark lookup -> window scan (pushed to the scan) -> idempotent batch write ->
     upsert into the target -> one commit of rows, mark and ledger of windows.
 
@@ -125,6 +156,17 @@ def run_incremental(spark: SparkSession, source: DataFrame, target_path: str, ba
     average. Of rows that repeat a key the one with the greatest mark stays, in the
     first load too, and a row never replaces one with a greater mark.
     """
+    with _logged(log, run_id, pipeline) as rec:
+        out = _incremental(spark, source, target_path, batches_path, pipeline, table, key, mark_column, window_end,
+                           default_start, lateness, window_start)
+        rec["counts"].update(processed=out["rows"], loaded=out["rows"])
+        rec["meta"].update(batch_id=out["batch_id"], mark=out["mark"])
+    return out
+
+
+def _incremental(spark: SparkSession, source: DataFrame, target_path: str, batches_path: str, pipeline: str, table: str,
+                 key: list[str], mark_column: str, window_end: str, default_start: str, lateness: str | None,
+                 window_start: str | None) -> dict:
     base = SN.current(spark, target_path)
     notes = base.notes if base else {}
     start = window_start or notes.get("mark") or default_start
@@ -164,9 +206,19 @@ def read_target(spark: SparkSession, target_path: str) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, orders: DataFrame, products: DataFrame, lines: DataFrame, params: MartParams,
-              mart_path: str, loaded_at: str, table: str | None = None) -> DataFrame:
+              mart_path: str, loaded_at: str, table: str | None = None, log: CT.RunLog | None = None,
+              run_id: str | None = None) -> DataFrame:
     """Extract (raw written first) -> thresholds -> staging -> mart from staging -> mart
     tests -> gate -> publish; returns the published mart."""
+    with _logged(log, run_id, "batch_marts") as rec:
+        processed, loaded = _batch(spark, orders, products, lines, params, mart_path, loaded_at, table)
+        rec["counts"].update(processed=processed, loaded=loaded)
+    return SN.read(spark, mart_path)
+
+
+def _batch(spark: SparkSession, orders: DataFrame, products: DataFrame, lines: DataFrame, params: MartParams, mart_path: str,
+           loaded_at: str, table: str | None) -> tuple[int, int]:
+    """(rows extracted, rows of the mart)"""
     raw = {n: L.stage(df, f"raw_{n}") for n, df in (("orders", orders), ("products", products), ("lines", lines))}
     enough = M.extraction_thresholds({"orders": raw["orders"], "products": raw["products"]}, {"lines": raw["lines"]})
     if not enough.first()["passed"]:
@@ -177,8 +229,8 @@ def run_batch(spark: SparkSession, orders: DataFrame, products: DataFrame, lines
     mart = L.stage(rev.mart_revenue_staged(raw["lines"], staged["orders"], staged["products"], params), "mart_revenue")
     C.enforce_gate(C.run_checks(mart, [*C.unique("date_day"), *C.not_null("date_day", "total_revenue"),
                                        C.in_range("avg_gross_margin_pct", None, 100)], "mart_revenue"))
-    L.full_refresh(mart, mart_path, table, {"loaded_at": loaded_at})
-    return SN.read(spark, mart_path)
+    loaded = L.full_refresh(mart, mart_path, table, {"loaded_at": loaded_at})
+    return sum(df.count() for df in raw.values()), loaded
 
 
 def run_quality(spark: SparkSession, freshness: DataFrame, reconciliation: DataFrame,

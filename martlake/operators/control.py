@@ -62,6 +62,9 @@ class RunLog:
     as it ends, failed ones too, with the attempt's number (one more than the run
     has in the table). Without one the rows stay in this object. ``frame()`` gives
     the rows of this object either way.
+
+    The record given to the run takes row counts as ``counts`` (numbers) or through
+    the observations ``processed`` and ``loaded``.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
@@ -73,7 +76,7 @@ class RunLog:
     def run(self, run_id: str, pipeline: str, clock=None):
         clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         rec = {"processed": Observation(f"processed_{run_id}"), "loaded": Observation(f"loaded_{run_id}"),
-               "meta": {}}
+               "counts": {}, "meta": {}}
         start, failure = clock(), None
         try:
             yield rec
@@ -81,8 +84,9 @@ class RunLog:
             failure = "".join(traceback.format_exception_only(e)).strip()
             raise
         finally:
-            self._finish((run_id, pipeline, "failed" if failure else "success", start, clock(), self._n(rec["processed"]),
-                          self._n(rec["loaded"]), failure, json.dumps(rec["meta"], default=str)))
+            rows = [rec["counts"].get(k, self._n(rec[k])) for k in ("processed", "loaded")]
+            self._finish((run_id, pipeline, "failed" if failure else "success", start, clock(), *rows, failure,
+                          json.dumps(rec["meta"], default=str)))
 
     def _finish(self, row: tuple) -> None:
         self.rows.append(row)

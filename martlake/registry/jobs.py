@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from martlake.jobs import ingestion as J
 from martlake.operators import checks as C
+from martlake.operators import control as CT
 from martlake.operators import monitor as M
 from martlake.operators import windows as W
+from martlake.plans import dashboard as dash
 from martlake.registry import register
 from martlake.registry.marts import MART_REVENUE_SQL, P
 from martlake.registry.monitors import FRESHNESS_SQL, RECONCILE_SQL, _freshness, _reconcile
@@ -168,3 +170,29 @@ def q_run_entity_load(spark, sf_dir):
     rows = [J.run_entity_load(spark, s, root, DEFAULT_DATE) for s in specs]
     return spark.createDataFrame(rows, "entity string, status string, rows bigint")
 
+
+@register("job_runs", """
+SELECT 'orders_incremental' AS pipeline_name, 'success' AS status, n1 AS rows_processed, n1 AS rows_loaded, CAST(1 AS INTEGER) AS attempt
+FROM (SELECT count(*) AS n1 FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01 00:00:00')
+UNION ALL SELECT 'orders_incremental', 'success', n2, n2, CAST(2 AS INTEGER)
+FROM (SELECT count(*) AS n2 FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00')
+UNION ALL SELECT 'load_products', 'failed', CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS INTEGER)
+UNION ALL SELECT 'full_ingestion', 'success', count(*), count(*), CAST(1 AS INTEGER) FROM customer""")
+def q_job_runs(spark, sf_dir):
+    """The jobs' own run log, read back from its table: two attempts of a load, a load that
+    the gate stops, a full ingestion."""
+    root = scratch_path(spark, "logged")
+    log = CT.RunLog(spark, f"{root}/log")
+    orders = _t(spark, sf_dir, "orders")
+    for end in ("1998-01-01 00:00:00", "2030-01-01 00:00:00"):
+        J.run_incremental(spark, orders, window_end=end, **_incremental_args(root), log=log, run_id="nightly")
+    refused = J.EntitySpec("products", lambda: _t(spark, sf_dir, "part").withColumn("p_partkey", F.lit(None).cast("bigint")), "p_partkey")
+    try:
+        J.run_entity_load(spark, refused, root, DEFAULT_DATE, log=log)
+    except C.QualityGateError:
+        pass
+    customers = J.EntitySpec("logged_customers", lambda: _t(spark, sf_dir, "customer"), "c_custkey")
+    J.run_full_ingestion(spark, [customers], root, DEFAULT_DATE, log=log)
+    runs = CT.read_run_log(spark, f"{root}/log")
+    shown = dash.latest_runs(runs).select("pipeline_name", "status", "start_time", "rows_processed", "rows_loaded")
+    return shown.join(runs.select("pipeline_name", "start_time", "attempt"), ["pipeline_name", "start_time"]).drop("start_time")
