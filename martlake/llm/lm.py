@@ -49,8 +49,8 @@ DEPTH = 7  # with the next byte, a key fills 64 bits
 MIN_COUNT = 8
 KEPT = 3  # contexts of up to so many bytes stay without a divergence test
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
-CHUNK = 24 << 20
-HELD_KEYS = 2_500_000  # keys that wait before they are merged
+CHUNK = 28 << 20
+HELD_KEYS = 1_500_000  # keys that wait before they are merged
 SHORT_BUCKETS = 8
 END = 0x0A
 
@@ -301,7 +301,7 @@ def shorter_keys(keys: np.ndarray, depth: int, whole: int = 7) -> np.ndarray:
     return (keys >> U64(8 * (whole - depth + 1)) << U64(8)) | (keys & U64(255))
 
 
-def _sub_blocks(off: np.ndarray, size: int = 1 << 20):
+def _sub_blocks(off: np.ndarray, size: int = 1 << 19):
     lo, n = 0, len(off) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + size, "right")) - 1)
