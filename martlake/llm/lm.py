@@ -33,7 +33,6 @@ training token the base and the model are uniform.
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +48,7 @@ DEPTH = 7  # with the next byte, a key fills 64 bits
 MIN_COUNT = 8
 KEPT = 3  # contexts of up to so many bytes stay without a divergence test
 GAIN_BITS = 6.0  # a context must save this many bits per next byte that it stores
-CHUNK = 28 << 20
+CHUNK = 20 << 20
 HELD_KEYS = 1_500_000  # keys that wait before they are merged
 SHORT_BUCKETS = 8
 END = 0x0A
@@ -171,22 +170,22 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _pack_planes(x: np.ndarray) -> bytes:
     """Values byte by byte, which leaves like bytes side by side."""
-    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 3)
 
 
 def _unpack_planes(raw: bytes, kind) -> np.ndarray:
-    flat = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    flat = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(flat.T).view(kind)[:, 0] if flat.size else np.zeros(0, kind)
 
 
 def _pack_keys(k: np.ndarray) -> bytes:
     """Ascending keys as differences, byte by byte: most of those bytes are zero."""
     d = np.diff(k, prepend=U64(0))
-    return zlib.compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
 
 
 def _unpack_keys(raw: bytes) -> np.ndarray:
-    d = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1)
+    d = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(d.T).view(U64)[:, 0], dtype=U64)
 
 
