@@ -61,7 +61,7 @@ def splice(history: DataFrame, batch: DataFrame, keys: list[str], as_of: str,
     attrs = [c for c in history.columns if c not in SCD_COLUMNS]
     b = batch.select(*attrs).withColumn(VALID_FROM, F.lit(as_of).cast("timestamp_ntz")).withColumn("_given", F.lit(1))
     known = history.select(*attrs, VALID_FROM).withColumn("_given", F.lit(0))
-    rows = known.unionByName(b)
+    rows = known.unionByName(b).repartition(*keys)  # the one shuffle: versions and their order both follow the key
     others = [c for c in attrs if c not in keys]
     row = F.struct(*[F.col(c) for c in others], F.lit(0).alias("_"))
     one = rows.groupBy(*keys, VALID_FROM).agg(F.max_by(row, F.struct("_given", F.xxhash64(*_plain(rows, others)))).alias("_row")) \
