@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from martlake.sinks import snapshots as SN
 
 LEDGER = "file string, arrived_ms bigint, first bigint, rows bigint"
+TASK_ROWS = 50_000  # rows that a task cuts into batches, once every core has a task
 
 
 def landed_files(spark: SparkSession, landing: str) -> DataFrame:
@@ -38,7 +39,7 @@ def enter_files(spark: SparkSession, landing: str, ledger: str, schema: T.Struct
     new = landed_files(spark, landing).join(known.select("file"), "file", "left_anti").collect()  # names
     if new:
         counts = spark.read.schema(schema).parquet(*[r.file for r in new]) \
-            .groupBy(F.regexp_extract("_metadata.file_path", "[^/]+$", 0).alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+            .groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
         before = known.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
         order = Window.orderBy("arrived_ms", "file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
         listed = spark.createDataFrame(new, "file string, arrived_ms bigint").withColumn("name", F.regexp_extract("file", "[^/]+$", 0))
@@ -71,16 +72,20 @@ def admit(spark: SparkSession, landing: str, admitted: str, schema: T.StructType
     if not number:
         return 0
     end = min(tail, first + number * rows)
+    # what a died admission of this state has left; batches before it are all there
     there = {int(n.split("=")[1]) for n, folder in SN.listing(spark, f"{admitted}/batches") if folder and n.startswith("batch=")}
+    there = sorted(b for b in there if b >= batch)
     files = [r.file for r in waiting.where(F.col("first") < end).select("file").collect()]
-    name = F.regexp_extract("_metadata.file_path", "[^/]+$", 0)
-    data = spark.read.schema(schema).parquet(*files).select("*", name.alias("_name"), F.col("_metadata.row_index").alias("_index"))
+    data = spark.read.schema(schema).parquet(*files).select("*", F.col("_metadata.file_name").alias("_name"), F.col("_metadata.row_index").alias("_index"))
     starts = F.broadcast(waiting.select(F.regexp_extract("file", "[^/]+$", 0).alias("_name"), F.col("first").alias("_first")))  # one row a file
     numbered = data.join(starts, "_name").withColumn("_row", F.col("_first") + F.col("_index")) \
         .where((F.col("_row") >= first) & (F.col("_row") < end)) \
-        .withColumn("batch", (F.lit(batch) + F.floor((F.col("_row") - first) / rows)).cast("bigint")) \
-        .where(~F.col("batch").isin(*there) if there else F.lit(True))
-    numbered.drop("_name", "_index", "_first").repartition(number, "batch").sortWithinPartitions("batch", "_row").drop("_row") \
+        .withColumn("batch", (F.lit(batch) + F.floor((F.col("_row") - first) / rows)).cast("bigint"))
+    if there:
+        numbered = numbered.join(F.broadcast(spark.createDataFrame([(b,) for b in there], "batch bigint")), "batch", "left_anti")
+    # a batch is one task's, a task has many: batches of few rows would be as many tasks
+    tasks = min(number, max(spark.sparkContext.defaultParallelism, -(-number // max(1, TASK_ROWS // rows))))
+    numbered.drop("_name", "_index", "_first").repartition(tasks, "batch").sortWithinPartitions("batch", "_row").drop("_row") \
         .write.mode("append").partitionBy("batch").parquet(f"{admitted}/batches")
     SN.note(spark, f"{admitted}/cut", {"next_row": end, "next_batch": batch + number}, state)
     return number

@@ -125,3 +125,12 @@ def test_an_admission_that_died_is_repeated_without_doubling(spark, monkeypatch)
     assert AD.admit(spark, landing, admitted, schema, 10, 0, 1 << 50) == 3
     got = spark.read.parquet(f"{admitted}/batches")
     assert got.count() == 25 and got.select("event_id").distinct().count() == 25
+
+
+def test_small_batches_are_cut_by_few_tasks(spark):
+    landing, admitted = scratch_path(spark, "landing"), scratch_path(spark, "admitted")
+    _land(spark, landing, [(i, i, i) for i in range(60)])
+    assert AD.admit(spark, landing, admitted, spark.createDataFrame([], SCHEMA).schema, 1, 0, 1 << 50) == 60
+    files = [r[0] for r in spark.read.parquet(f"{admitted}/batches").select("_metadata.file_name").collect()]
+    assert len(set(files)) <= len(files) == 60
+    assert {int(f.split("-")[1]) for f in files} <= set(range(spark.sparkContext.defaultParallelism))
