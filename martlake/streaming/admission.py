@@ -91,8 +91,23 @@ def admit(spark: SparkSession, landing: str, admitted: str, schema: T.StructType
     return number
 
 
-def batch_stream(spark: SparkSession, admitted: str, schema: T.StructType) -> DataFrame:
-    """One admitted batch at each trigger, with its number as ``batch``."""
+def batch_stream(spark: SparkSession, admitted: str, schema: T.StructType, batches_per_trigger: int = 1) -> DataFrame:
+    """Admitted batches, whole (a file each) and with their number as ``batch``: one at
+    each trigger, or up to ``batches_per_trigger``. A trigger has a fixed cost, whatever
+    it holds, so a backlog of many small batches is read by many at once."""
     full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return spark.readStream.schema(full).option("maxFilesPerTrigger", 1).option("basePath", f"{admitted}/batches") \
-        .parquet(f"{admitted}/batches")
+    return spark.readStream.schema(full).option("maxFilesPerTrigger", batches_per_trigger) \
+        .option("basePath", f"{admitted}/batches").parquet(f"{admitted}/batches")
+
+
+def check_batches(delivered: DataFrame, rows: int) -> int:
+    """Raise unless the delivered batches are numbered from 0 without gaps and have ``rows``
+    rows each, all but the last, which may have fewer. Returns their number."""
+    sizes = delivered.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.count(F.lit(1)).alias("batches"), F.min("batch").alias("low"), F.max("batch").alias("high"),
+                      F.max("n").alias("most"), F.count_if(F.col("n") != rows).alias("other"),
+                      F.max_by(F.col("n"), "batch").alias("last")).first()
+    if found.batches and (found.low != 0 or found.high != found.batches - 1 or found.most > rows
+                          or found.other != int(found.last != rows)):
+        raise RuntimeError(f"batches of other sizes: {found.asDict()}")
+    return found.batches

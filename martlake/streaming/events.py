@@ -74,9 +74,10 @@ def drain(q: StreamingQuery, timeout_s: int | None = None) -> dict:
 
 
 def read_sink(spark: SparkSession, sink: str, key: str | None = None,
-              order_by: list[str] | None = None) -> DataFrame:
-    """Committed sink files; with ``key``, one row per key (late duplicates removed)."""
-    df = spark.read.parquet(sink)
+              order_by: list[str] | None = None, drop: list[str] | None = None) -> DataFrame:
+    """Committed sink files, without the columns ``drop``; with ``key``, one row per key
+    (late duplicates removed)."""
+    df = spark.read.parquet(sink).drop(*(drop or []))
     if key:
         df = latest_by_key(df, [key], order_by or [c for c in df.columns if c != key][:1])
     return df

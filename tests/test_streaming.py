@@ -134,3 +134,27 @@ def test_small_batches_are_cut_by_few_tasks(spark):
     files = [r[0] for r in spark.read.parquet(f"{admitted}/batches").select("_metadata.file_name").collect()]
     assert len(set(files)) <= len(files) == 60
     assert {int(f.split("-")[1]) for f in files} <= set(range(spark.sparkContext.defaultParallelism))
+
+
+def test_a_trigger_takes_many_batches_whole(spark):
+    landing, admitted, sink = (scratch_path(spark, x) for x in ("landing", "admitted", "sink"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    _land(spark, landing, [(i, i, i) for i in range(47)])
+    assert AD.admit(spark, landing, admitted, schema, 10, 0, 1 << 50) == 5
+    done = ST.run_to_completion(AD.batch_stream(spark, admitted, schema, 3), sink, scratch_path(spark, "ckpt"))
+    assert done["batches"] == 2 and done["rows"] == 47 and max(done["sizes"]) <= 30
+    assert AD.check_batches(spark.read.parquet(sink), 10) == 5
+    assert sorted(r["event_id"] for r in ST.read_sink(spark, sink, "event_id", ["ts"], drop=["batch"]).collect()) == list(range(47))
+
+
+def test_check_batches_sees_every_batch(spark):
+    def check(*sizes):
+        rows = [(b,) for b, n in enumerate(sizes) for _ in range(n)]
+        return AD.check_batches(spark.createDataFrame(rows, "batch bigint"), 3)
+    assert check() == 0 and check(2) == 1 and check(3, 3) == 2 and check(3, 3, 1) == 3
+    for wrong in ((2, 3), (3, 4), (3, 0, 3), (0, 3), (4,), (3, 2, 3, 3)):
+        try:
+            check(*wrong)
+        except RuntimeError:
+            continue
+        raise AssertionError(wrong)
