@@ -146,12 +146,18 @@ class Distinct:
             self.merge()
 
     def merge(self) -> np.ndarray:
-        self.keys, self.waiting = [_distinct(np.concatenate(self.keys))] if self.keys else [np.zeros(0, U64)], 0
+        k = np.concatenate([np.zeros(0, U64), *self.keys])
+        self.keys.clear()
+        k.sort(kind="stable")  # merges ascending runs
+        self.keys, self.waiting = [_unrepeated(k)], 0
         return self.keys[0]
 
 
 def _distinct(keys: np.ndarray) -> np.ndarray:
-    k = np.sort(keys)
+    return _unrepeated(np.sort(keys))
+
+
+def _unrepeated(k: np.ndarray) -> np.ndarray:
     return k[np.concatenate([[True], k[1:] != k[:-1]])] if len(k) else k
 
 
@@ -195,7 +201,10 @@ def gram_buckets(keys: np.ndarray, buckets: int, dense: np.ndarray) -> tuple[np.
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(buckets + 1, np.int64)
     near = keys >> U64(40)
-    near = np.where(_among(dense)[near.astype(np.int64)], keys >> U64(32) | U64(1 << 32), near) if len(dense) else near
+    if len(dense):
+        split = _among(dense)[near.view(np.int64)]
+        near[split] = keys[split] >> U64(32) | U64(1 << 32)
+        del split
     new = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
     of = ((mix64(near[new]) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int16 if buckets < 1 << 15 else np.int32)
     of = np.repeat(of, np.diff(np.append(new, len(keys))))
@@ -499,9 +508,7 @@ def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, dense: np
             base[lo:hi] = np.bincount(doc, value[at], minlength=hi - lo) + end
             n_known[lo:hi] = np.bincount(doc, known[at], minlength=hi - lo) + (ends > 0)
             k = _contexts(np.frombuffer(unpack.decompress(x), np.uint8), upto[lo: hi + 1] - upto[lo])
-            order = np.argsort(k)
-            per_byte = np.empty(len(k))
-            per_byte[order] = model[np.searchsorted(keys, k[order])]
+            per_byte = _looked_up(k, keys, model)
             total[lo:hi] = np.bincount(np.repeat(np.arange(hi - lo), size[lo:hi]), per_byte, minlength=hi - lo)
         return pa.table([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens), pa.array(n_known),
                          pa.array(np.full(len(size), n)), pa.array(base), pa.array(total)], schema=schema)
@@ -510,6 +517,27 @@ def document_scores(rows: DataFrame, answers: DataFrame, buckets: int, dense: np
     return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, ddl)
 
 
+def _radix_order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of 64-bit keys, 16 bits at a time: numpy sorts those in linear time."""
+    digits = np.ascontiguousarray(keys, "<u8").view("<u2").reshape(-1, 4)
+    order = np.argsort(digits[:, 0], kind="stable")
+    for i in range(1, 4):
+        order = order[np.argsort(digits[:, i].copy()[order], kind="stable")]
+    return order
+
+
+def _looked_up(asked: np.ndarray, keys: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Value of each asked key, as doubles; all are among the ascending ``keys``. Distinct
+    ones are searched for once."""
+    out = np.empty(len(asked))
+    if len(asked):
+        order = _radix_order(asked)
+        k = asked[order]
+        new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        out[order] = np.repeat(value[np.searchsorted(keys, k[new])], np.diff(np.append(new, len(k))))
+    return out
+
+
 def _contexts(text: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Context keys of spelled documents."""
     return context_keys(text, own_bytes(off[:-1] + DEPTH, off[1:]))

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from martlake.llm import decontam, fingerprints, jaccard, langid, packing, quality, toxicity
+from martlake.llm import decontam, fingerprints, jaccard, langid, lm, packing, quality, toxicity
 from martlake.llm.queries import tokenizer_path
 
 BASE = ("the quick brown fox jumps over the lazy dog while seven wise owls count silver coins near an old stone mill "
@@ -248,3 +248,13 @@ def test_pipeline_stages_of_empty_tables(spark, small_tables):
     docs = spark.read.parquet(f"{small_tables}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, small_tables).count() == 0
+
+
+def test_looked_up_gives_each_key_its_value():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 63, 500, np.uint64) * np.uint64(2) + np.uint64(1))
+    value = rng.random(len(keys)).astype(np.float32)
+    at = rng.integers(0, len(keys), 3000)
+    assert (lm._looked_up(keys[at], keys, value) == value[at].astype(float)).all()
+    assert (lm._radix_order(keys[at]) == np.argsort(keys[at], kind="stable")).all()
+    assert len(lm._looked_up(keys[:0], keys, value)) == 0
