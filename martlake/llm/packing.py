@@ -21,6 +21,7 @@ packed each; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -64,28 +65,33 @@ class ChunkEncoder:
 
     def reset(self) -> None:
         self.slot: dict[int, int] = {}
-        self.begin, self.count = [0], [1]  # slot 0: the end of a document
-        self.pool, self.size = [np.zeros(1, np.uint32)], 1
+        # slot 0: the end of a document
+        self.begin, self.count, self.pool = np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, np.uint32)
+
+    def remember(self, hashes: list[int], ids: np.ndarray, count: np.ndarray) -> None:
+        """Units by hash: their ids one after the other, and each one's number of ids."""
+        first = len(self.begin)
+        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.pool = np.concatenate([self.pool, ids])
+        self.slot.update(zip(hashes, range(first, first + len(hashes)), strict=True))
 
     def learn(self, words: list[str], hashes: list[int]) -> None:
         # units of letters only are one word of the tokenizer each: encoded together, parted at word ends
-        even = [w for w in words if w.isalpha() and (w.isascii() or is_normalized("NFC", w))]
-        ids: dict[str, np.ndarray] = {}
+        is_even = [w.isalpha() and (w.isascii() or is_normalized("NFC", w)) for w in words]
+        even = [w for w, e in zip(words, is_even, strict=True) if e]
         if even:
             flat = np.array(self.plain.encode_batch_fast([" ".join(even)], add_special_tokens=False)[0].ids, np.uint32)
             stop = np.flatnonzero(self.ends_word[flat]) + 1
             if len(stop) == len(even):
-                ids = dict(zip(even, np.split(flat, stop[:-1]), strict=True))
-        odd = [w for w in words if w not in ids]
-        for w, e in zip(odd, self.plain.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            ids[w] = np.array(e.ids, np.uint32)
-        for w, h in zip(words, hashes, strict=True):
-            self.slot[h] = len(self.begin)
-            self.begin.append(self.size)
-            self.count.append(len(ids[w]))
-            self.pool.append(ids[w])
-            self.size += len(ids[w])
-        self.pool = [np.concatenate(self.pool)]
+                self.remember([h for h, e in zip(hashes, is_even, strict=True) if e], flat[:stop[-1]], np.diff(stop, prepend=0))
+            else:
+                is_even = [False] * len(words)
+        odd = [w for w, e in zip(words, is_even, strict=True) if not e]
+        if odd:
+            ids = [e.ids for e in self.plain.encode_batch_fast(odd, add_special_tokens=False)]
+            self.remember([h for h, e in zip(hashes, is_even, strict=True) if not e], np.array(list(chain.from_iterable(ids)), np.uint32),
+                          np.array([len(x) for x in ids], np.int64))
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents, each ended by id 0; offsets by document)."""
@@ -106,7 +112,7 @@ class ChunkEncoder:
                        [hashes[i] for i in new])
         slots = np.array([self.slot[h] for h in hashes], np.int64)[back] if hashes else np.zeros(0, np.int64)
         slots = np.insert(slots, first[1:], 0)
-        begin, count, pool = np.array(self.begin), np.array(self.count), self.pool[0]
+        begin, count, pool = self.begin, self.count, self.pool
         n = count[slots]
         at = np.cumsum(n) - n
         ids = pool[np.arange(int(n.sum())) + np.repeat(begin[slots] - at, n)]

@@ -258,3 +258,15 @@ def test_looked_up_gives_each_key_its_value():
     assert (lm._looked_up(keys[at], keys, value) == value[at].astype(float)).all()
     assert (lm._radix_order(keys[at]) == np.argsort(keys[at], kind="stable")).all()
     assert len(lm._looked_up(keys[:0], keys, value)) == 0
+
+
+def test_units_are_remembered_in_arrays_and_learned_once():
+    encoder = packing.ChunkEncoder(tokenizer_path())
+    text = "Well-known  words, don't 12ab café 漢字 zyxwvq".encode()
+    data, off = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    first = encoder.encode(data, off)[0].tolist()
+    known = len(encoder.slot)
+    again = encoder.encode(data, off)[0].tolist()
+    assert first == again == [*encoder.plain.encode(text.decode(), add_special_tokens=False).ids, 0]
+    assert encoder.begin.dtype == encoder.count.dtype == np.int64 and len(encoder.pool) == encoder.count.sum()
+    assert len(encoder.slot) == known == len(encoder.begin) - 1 == len(encoder.count) - 1
