@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.text import saved
+from martlake.llm.text import removed, saved
 
 
 def _neighbours(edges: DataFrame) -> DataFrame:
@@ -32,18 +32,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", paths: list[str] | None = None) -> DataFrame:
     """(node, component) for every node that has a link; the component is its
     smallest node. Self links, null ends and repeated links are ignored; an
-    empty link table gives an empty result."""
+    empty link table gives an empty result. A round's links go when the next has
+    been saved; ``paths`` gets the path of the last, which the result reads."""
+    spark, last = edges.sparkSession, []
     edges = edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")) \
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("a") != F.col("b"))).distinct()
-    edges, before = saved(edges, "cc"), None
+    edges, before = saved(edges, "cc", last), None
     while True:
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now[0] == 0 or now == before:
             break
-        before = now
-        edges = saved(_star(_star(edges, large=True), large=False), "cc")
+        before, used, last = now, last, []
+        edges = saved(_star(_star(edges, large=True), large=False), "cc", last)
+        removed(spark, used)
+    if paths is not None:
+        paths += last
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")) \
         .unionAll(edges.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()

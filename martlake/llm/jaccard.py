@@ -40,11 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.components import components
-from martlake.llm.text import (LOWER, PART_DDL, SPACED, U64, blocks, bloom_bits, bloom_has, gram_hashes, in_parts,
-                               keyed, may_repeat, merged, repeated_bits, saved, word_hashes, word_spans)
+from martlake.llm.text import (LOWER, PART_DDL, PART_VALUES, PARTS, SPACED, U64, blocks, bloom_bits, bloom_has, gram_hashes,
+                               in_parts, keyed, may_repeat, merged, removed, repeat_answers, saved, word_hashes, word_spans)
 
 SKETCH_BITS = 22
 SHARED = 3  # n-grams of the prefixes that a link must share
+BLOCK = 1 << 17  # first n-grams in a block of classes, about
 
 
 def _words(data: np.ndarray, off: np.ndarray):
@@ -152,24 +153,54 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sa, "a").join(sb, "b").where(may_link("na", "nb", "odda", "oddb", percent)).select("a", "b")
 
 
-def repeated_grams(classes: DataFrame) -> DataFrame:
-    """(cls, n, gram, central) of the classes' first n-grams, without most of those
-    that only one class has (a bitmap of fixed size knows them); the joins behind
-    are exact. ``central``: the part of the class's first n-grams that stayed."""
-    seen = classes.sparkSession.sparkContext.broadcast(repeated_bits(classes, "prefix"))
+def gram_blocks(classes: DataFrame) -> DataFrame:
+    """(block, cls, n, size, gram): whole classes with the numbers and, one after the other,
+    their first n-grams, about ``BLOCK`` in a row (a longer class alone); a block is known
+    by its first class."""
+    def run(it):
+        for b in it:
+            cls, n, lists = (b.column(i) for i in range(3))
+            off, lo = lists.offsets.to_numpy().astype(np.int64), 0
+            while lo < b.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + BLOCK, "right")) - 1)
+                part = slice(lo, hi)
+                gram = lists.slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [cls[lo: lo + 1], *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t)) for x, t in (
+                        (cls.to_numpy()[part], pa.int64()), (n.to_numpy()[part], pa.int64()), (np.diff(off[lo: hi + 1]), pa.int32()),
+                        (gram, pa.int64())))], ["block", "cls", "n", "size", "gram"])
+                lo = hi
+    return classes.select("cls", "n", "prefix") \
+        .mapInArrow(run, "block long, cls array<long>, n array<long>, size array<int>, gram array<long>")
+
+
+def repeated_grams(classes: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """(cls, n, gram, central) of the classes' first n-grams, almost without those
+    that only one class has (``repeat_answers``, whose share of single ones that pass
+    doesn't depend on the table's size); the joins behind are exact. ``central``: the
+    part of the class's first n-grams that stayed."""
+    asked: list[str] = []
+    grams = classes.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0
+    parts = max(PARTS, grams // PART_VALUES)
+    packed = saved(gram_blocks(classes), "blocks", asked)
 
     def run(it):
         for b in it:
-            lists = b.column(2)
-            gram = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            size = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(b.num_rows), size)
-            keep = may_repeat(seen.value, gram)
-            central = np.bincount(row[keep], minlength=b.num_rows) / np.maximum(size, 1)
-            take = pa.array(row[keep])
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(gram[keep]),
-                                              pa.array(central[row[keep]], pa.float64())], ["cls", "n", "gram", "central"])
-    return classes.select("cls", "n", "prefix").mapInArrow(run, "cls long, n long, gram long, central double")
+            for i in range(b.num_rows):
+                cls, n, size, gram = (b.column(k)[i].values.to_numpy(zero_copy_only=False) for k in range(4))
+                found = b.column(4)[i].values
+                keep = may_repeat(gram, parts, dict(zip(found.field("part").to_pylist(), found.field("raw").to_pylist(), strict=True)))
+                row = np.repeat(np.arange(len(cls)), size)
+                central = np.bincount(row[keep], minlength=len(cls)) / np.maximum(size, 1)
+                row = row[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(cls[row]), pa.array(n[row]), pa.array(gram[keep]), pa.array(central[row])],
+                                                 ["cls", "n", "gram", "central"])
+
+    given = repeat_answers(packed, "gram", parts).groupBy("block").agg(F.collect_list(F.struct("part", "raw")).alias("found"))
+    kept = saved(packed.join(given, "block").select("cls", "n", "size", "gram", "found")
+                 .mapInArrow(run, "cls long, n long, gram long, central double"), "first-grams", paths)
+    removed(classes.sparkSession, asked)
+    return kept
 
 
 def _of_classes(docs: DataFrame, ids: DataFrame, n: int, levels, row, schema: pa.Schema, ddl: str) -> DataFrame:
@@ -223,22 +254,32 @@ def confirmed(pairs: DataFrame, segs: DataFrame, sizes: DataFrame, percent: int,
         .select("a", "b")
 
 
-def linked_classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def linked_classes(docs: DataFrame, n: int, percent: int, fragments: int,
+                   paths: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, components) of ``docs`` (doc_id, fp, text): (doc_id, fp, n_shingles,
     cls) of every row, (cls, doc_id, ...) of the distinct sets, (node, component) of
-    the classes that have a link. Rows without doc_id make no class."""
+    the classes that have a link. Rows without doc_id make no class. ``paths`` gets
+    the paths of the three; what else is saved on the way goes as soon as it is used."""
     spark = docs.sparkSession
+    paths = [] if paths is None else paths
+    whole: list[str] = []  # what the next result replaces
+    work: list[str] = []
     levels = spark.sparkContext.broadcast(word_levels(docs))
-    rows = saved(class_rows(docs, n, percent, levels), "sets")
-    classes = saved(rows.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
-                    .groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
-                                        F.first("prefix").alias("prefix"), F.first("odd").alias("odd")), "classes")
+    sets = saved(class_rows(docs, n, percent, levels), "sets", whole)
+    rows = saved(sets.select("doc_id", "fp", "n_shingles", "cls"), "rows", paths)
+    full = saved(sets.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
+                 .groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
+                                     F.first("prefix").alias("prefix"), F.first("odd").alias("odd")), "classes", work)
+    removed(spark, whole)
+    classes = saved(full.drop("prefix"), "classes", paths)
     sizes, sketches = classes.select("cls", "n"), classes.select("cls", "n", "odd")
-    prefix = repeated_grams(classes)
+    prefix = repeated_grams(full, whole)
+    removed(spark, work)
     stars = prefix.groupBy("gram").agg(F.min("cls").alias("low"), F.max("cls").alias("high"),
                                        F.max(F.struct("central", "cls"))["cls"].alias("centre")) \
         .where(F.col("low") != F.col("high")).drop("high")
-    shared = saved(prefix.drop("central").join(stars, "gram"), "shared")
+    shared = saved(prefix.drop("central").join(stars, "gram"), "shared", work)
+    removed(spark, whole)
 
     def fits(x: str, y: str) -> Column:
         return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
@@ -254,13 +295,15 @@ def linked_classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tup
         .select(*pair("hub", "cls")).distinct()
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        near = saved(possible(pairs, sketches, percent), "near")
+        near = saved(possible(pairs, sketches, percent), "near", whole)
         ends = near.select(F.col("a").alias("cls")).unionAll(near.select(F.col("b").alias("cls"))).distinct()
-        segs = saved(segments(docs, classes.select("cls", "doc_id").join(ends, "cls"), n, levels, fragments), "segments")
-        return saved(confirmed(near, segs, sizes, percent, fragments), "links")
+        segs = saved(segments(docs, classes.select("cls", "doc_id").join(ends, "cls"), n, levels, fragments), "segments", whole)
+        links = saved(confirmed(near, segs, sizes, percent, fragments), "links", work)
+        removed(spark, whole)
+        return links
 
     links = links_of(star)
-    joined = components(links)
+    joined = components(links, paths=work)
 
     open_ = shared.select("gram", "cls", "n").join(joined.withColumnRenamed("node", "cls"), "cls", "left") \
         .select("gram", "cls", "n", F.coalesce("component", "cls").alias("comp"))
@@ -268,7 +311,7 @@ def linked_classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tup
     open_ = open_.join(mixed.select("gram"), "gram", "left_semi")
     enough = open_.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("k")) \
         .where(F.col("k") >= F.least(_longs(SHARED), _least_overlap("n", percent))).select("cls")
-    left = saved(open_.join(enough.join(sketches.select("cls", "odd"), "cls"), "cls"), "rest") \
+    left = saved(open_.join(enough.join(sketches.select("cls", "odd"), "cls"), "cls"), "rest", work) \
         .select("gram", "cls", "n", "comp", "odd")
     right = left.toDF("gram2", "cls2", "n2", "comp2", "odd2")
     both = left.join(right, (F.col("gram") == F.col("gram2")) & (F.col("cls") < F.col("cls2"))
@@ -277,8 +320,8 @@ def linked_classes(docs: DataFrame, n: int, percent: int, fragments: int) -> tup
         .groupBy("cls", "cls2", "n", "n2").agg(F.count(F.lit(1)).alias("k")) \
         .where(F.col("k") >= F.least(_longs(SHARED), F.greatest(_least_overlap("n", percent), _least_overlap("n2", percent))))
     rest = both.select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
-    final = saved(components(links.unionAll(links_of(rest))), "components")
-
+    final = saved(components(links.unionAll(links_of(rest)), paths=work), "components", paths)
+    removed(spark, work)
     return rows, classes, final
 
 
@@ -312,7 +355,8 @@ def keep_one(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     keyed_rows = keyed(df)
     # rows without an id take part under the hash of their text, which is no id of the result
     docs = keyed_rows.withColumn("doc_id", F.coalesce("doc_id", "fp"))
-    rows, _, final = linked_classes(docs, n, percent, 8)
+    paths: list[str] = []
+    rows, _, final = linked_classes(docs, n, percent, 8, paths)
     lone = keyed_rows.where(F.col("doc_id").isNull()).select("fp").distinct().withColumn("lone", F.lit(True))
     member = rows.where(F.col("cls").isNotNull()).select("doc_id", "fp", "cls") \
         .join(final.withColumnRenamed("node", "cls"), "cls", "left").join(lone, "fp", "left") \
@@ -324,6 +368,7 @@ def keep_one(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         .select(F.col("lone").isNotNull() & (F.col("doc_id") == F.col("fp")), "doc_id", "fp", F.lit(1)).toDF("lone", "doc_id", "fp", "n")
     stays = saved(first.unionByName(bare).select(F.when(~F.col("lone"), F.col("doc_id")).alias("_kept_id"), F.col("fp").alias("_kept_fp"),
                                                  (F.col("n") > 1).alias("_again")), "stays")
+    removed(df.sparkSession, paths)
     equal = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_fp"))
     single = df.join(stays.where(~F.col("_again")), equal, "left_semi")
     # rows equal in id and text: only they are compared whole

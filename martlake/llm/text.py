@@ -140,12 +140,37 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+#: shuffle files of a query go when it ends, not when the driver next collects its garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, label: str, paths: list[str] | None = None) -> DataFrame:
     """Write to the shared folder and read back: work is done once, the lineage
-    is cut, and the result survives the loss of any executor."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    is cut, and the result survives the loss of any executor. The shuffle files
+    of the write are released with it. ``paths`` gets the new path, for ``removed``."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    if paths is not None:
+        paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    """Delete what ``saved`` wrote to ``paths``, and empty the list: only once all that
+    reads it is saved itself."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    paths.clear()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -230,40 +255,60 @@ def bloom_has(seen: np.ndarray, x: np.ndarray) -> np.ndarray:
     return hit
 
 
-REPEAT_BITS = 1 << 27
+ASK_DDL = "block long, part int, raw binary"
+PART_VALUES = 1 << 22  # values that one part compares at most, about
 
 
-def _bit(packed: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 != 0
+def _asked(x: np.ndarray, parts: int) -> np.ndarray:
+    """Part and remainder of each value's hash, as one key: the part in the upper 32 bits."""
+    h = mix64(x.astype(np.int64).view(U64) + M2)
+    return ((h & U64(0xFFFFFFFF)) % U64(parts) << U64(32)) | (h >> U64(32))
 
 
-def _set(packed: np.ndarray, slot: np.ndarray) -> None:
-    np.bitwise_or.at(packed, slot >> 3, np.uint8(1) << (slot & 7).astype(np.uint8))
+def _cuts(keys: np.ndarray, parts: int) -> np.ndarray:
+    return np.searchsorted(keys, np.arange(parts + 1, dtype=U64) << U64(32))
 
 
-def repeat_slots(x: np.ndarray, bits: int) -> np.ndarray:
-    return (mix64(x.view(U64) + M2) & U64(bits - 1)).astype(np.int64)
+def may_repeat(x: np.ndarray, parts: int, answers: dict[int, bytes]) -> np.ndarray:
+    """Of the values of a block, those that are in it twice or in another block, by
+    the answers of ``repeat_answers``."""
+    keys, back, n = np.unique(_asked(x, parts), return_inverse=True, return_counts=True)
+    cuts = _cuts(keys, parts)
+    again = n > 1
+    for part, raw in answers.items():
+        lo, hi = cuts[part], cuts[part + 1]
+        again[lo:hi] |= np.unpackbits(np.frombuffer(raw, np.uint8), count=hi - lo).astype(bool)
+    return again[back]
 
 
-def repeated_bits(df: DataFrame, col: str, bits: int = REPEAT_BITS) -> np.ndarray:
-    """Packed bitmap of fixed size (``bits``/8 bytes) of the values of an array<long>
-    column that may occur in it more than once: no repeated value is missed, a
-    few single ones pass. A prefilter in front of an exact join."""
-    def mark(it):
-        once, twice = state = np.zeros((2, bits // 8), np.uint8)
+def repeat_answers(blocks: DataFrame, col: str, parts: int) -> DataFrame:
+    """(block, part, raw): for the values of ``col`` (array<long>) in a row of
+    ``blocks`` (block, col), a bit each that tells whether another block may have the
+    value: no repeated value is missed, and at most about one in 2^32 / ``PART_VALUES``
+    single ones passes. Remainders of four bytes meet in hash parts, whose number
+    follows the table, so neither a task nor the driver holds the values of all."""
+    def ask(it):
         for b in it:
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            slot, n = np.unique(repeat_slots(x, bits), return_counts=True)
-            _set(twice, slot[(n > 1) | _bit(once, slot)])
-            _set(once, slot)
-        yield in_parts(state)
-
-    def add(total, more):
-        total[1] |= more[1] | (total[0] & more[0])
-        total[0] |= more[0]
-
-    return merged(df.select(col).mapInArrow(mark, PART_DDL), np.zeros((2, bits // 8), np.uint8), add)[1].copy()
-
-
-def may_repeat(packed: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return _bit(packed, repeat_slots(x, len(packed) * 8))
+            for block, values in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                keys = np.unique(_asked(values.values.to_numpy(zero_copy_only=False), parts))
+                cuts = _cuts(keys, parts)
+                rest = keys.astype(np.uint32)
+                own = np.flatnonzero(np.diff(cuts))
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(own), pa.int64()), pa.array(own, pa.int32()), pa.array(
+                    [rest[cuts[i]: cuts[i + 1]].tobytes() for i in own], pa.binary())], ["block", "part", "raw"])
+
+    def answer(it):
+        asked: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for b in it:
+            for block, part, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                asked.setdefault(part, []).append((block, np.frombuffer(raw, np.uint32)))
+        for part in list(asked):
+            rows = asked.pop(part)
+            every = np.sort(np.concatenate([x for _, x in rows]))
+            again = np.append(np.unique(every[1:][every[1:] == every[:-1]]), np.uint32(0))
+            bits = [np.packbits(again[np.searchsorted(again[:-1], x)] == x if len(again) > 1 else np.zeros(len(x), bool)).tobytes()
+                    for _, x in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([block for block, _ in rows], pa.int64()), pa.array([part] * len(rows), pa.int32()),
+                                              pa.array(bits, pa.binary())], ["block", "part", "raw"])
+
+    return blocks.select("block", col).mapInArrow(ask, ASK_DDL).repartition("part").mapInArrow(answer, ASK_DDL)
